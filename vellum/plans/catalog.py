@@ -119,3 +119,105 @@ def _q_top_products(spark, sf):
 def _q_top_customers(spark, sf):
     s = _silver(spark, sf)
     return revenue.top_customers(revenue.customer_sales(s, revenue.fact_order(s)))
+
+
+# ------------------------------------------------------------------ C ---
+from vellum.plans import client, migration  # noqa: E402
+
+
+def _client(spark, sf) -> client.Silver:
+    return client.Silver.from_tables(Tables(spark, sf))
+
+
+for _entity, _qname in (("accounts", "silver_accounts"), ("invoices", "silver_invoices"),
+                        ("support_tickets", "silver_tickets"), ("account_events", "silver_account_events")):
+    register(_qname)((lambda e: lambda spark, sf: getattr(_client(spark, sf), e))(_entity))
+
+
+@register("client_scorecard")
+def _q_client_scorecard(spark, sf):
+    return client.client_scorecard(_client(spark, sf))
+
+
+@register("account_health")
+def _q_account_health(spark, sf):
+    return client.account_health(_client(spark, sf))
+
+
+@register("client_daily_operations")
+def _q_client_daily(spark, sf):
+    return client.daily_operations(_client(spark, sf))
+
+
+@register("needs_attention")
+def _q_needs_attention(spark, sf):
+    return client.needs_attention(client.account_health(_client(spark, sf)))
+
+
+@register("accounts_by_risk")
+def _q_accounts_by_risk(spark, sf):
+    return client.accounts_by_risk(client.account_health(_client(spark, sf)))
+
+
+@register("quality_client")
+def _q_quality_client(spark, sf):
+    return client.quality_report(_client(spark, sf))
+
+
+@register("quality_revenue")
+def _q_quality_revenue(spark, sf):
+    return revenue.quality_report(_silver(spark, sf))
+
+
+# ------------------------------------------------------------------ M ---
+def _snap(spark, sf) -> migration.Snapshots:
+    return migration.Snapshots.from_tables(Tables(spark, sf))
+
+
+for _side in migration.SIDES:
+    for _entity in migration.ENTITIES:
+        register(f"silver_{_side}_{_entity}")(
+            (lambda sd, e: lambda spark, sf: _snap(spark, sf).get(sd, e))(_side, _entity))
+
+
+@register("quality_migration")
+def _q_quality_migration(spark, sf):
+    return migration.quality_report(_snap(spark, sf))
+
+
+@register("reconcile_totals")
+def _q_reconcile_totals(spark, sf):
+    return migration.reconciliation(_snap(spark, sf))
+
+
+@register("reconcile_keys")
+def _q_reconcile_keys(spark, sf):
+    return migration.key_reconciliation(_snap(spark, sf))
+
+
+@register("exception_queue")
+def _q_exception_queue(spark, sf):
+    return migration.exception_queue(_snap(spark, sf))
+
+
+@register("exceptions_ranked")
+def _q_exceptions_ranked(spark, sf):
+    return migration.exceptions_ranked(migration.exceptions(_snap(spark, sf)))
+
+
+@register("exceptions_by_severity")
+def _q_exceptions_by_severity(spark, sf):
+    return migration.exceptions_by_severity(migration.exceptions(_snap(spark, sf)))
+
+
+@register("cutover_readiness")
+def _q_cutover_readiness(spark, sf):
+    m = _snap(spark, sf)
+    return migration.cutover_readiness(migration.exceptions(m), migration.reconciliation(m))
+
+
+@register("cutover_checklist")
+def _q_cutover_checklist(spark, sf):
+    m = _snap(spark, sf)
+    ready = migration.cutover_readiness(migration.exceptions(m), migration.reconciliation(m))
+    return migration.cutover_checklist(ready, migration.quality_report(m))

@@ -338,3 +338,49 @@ def gold(s: Silver) -> dict[str, DataFrame]:
 
 
 __all__ = [n for n in dir() if not n.startswith("_")] + ["MONEY_TOTAL"]
+
+
+# ------------------------------------------------------------------ gate ---
+def gate_checks() -> list:
+    from vellum.operators import quality as Q
+    return [
+        Q.duplicate_key("duplicate_customer_ids", "customers", "customer_id"),
+        Q.duplicate_key("duplicate_product_ids", "products", "product_id"),
+        Q.orphan("orphan_order_customers", "orders", "customer_id", "customers"),
+        Q.orphan("orphan_order_items", "order_items", "order_id", "orders"),
+        Q.orphan("orphan_products", "order_items", "product_id", "products"),
+        Q.orphan("orphan_shipments", "shipments", "order_id", "orders"),
+        Q.orphan("orphan_refunds", "refunds", "order_id", "orders"),
+    ]
+
+
+def quality_report(s: Silver) -> DataFrame:
+    from vellum.operators import quality as Q
+    return Q.report(gate_checks(), {n: getattr(s, n) for n in SILVER})
+
+
+def gold_tests() -> list:
+    """The 23 schema tests of the gold models."""
+    from vellum.operators import quality as Q
+    T = Q.Test
+    return [
+        T("gold_dim_customer", "customer_id", "not_null"), T("gold_dim_customer", "customer_id", "unique"),
+        T("gold_dim_customer", "email", "not_null"),
+        T("gold_dim_product", "product_id", "not_null"), T("gold_dim_product", "product_id", "unique"),
+        T("gold_fact_order", "order_id", "not_null"), T("gold_fact_order", "order_id", "unique"),
+        T("gold_fact_order", "customer_id", "not_null"),
+        T("gold_fact_order", "customer_id", "relationships", to="gold_dim_customer", field="customer_id"),
+        T("gold_fact_order", "order_status", "accepted_values", values=ORDER_STATUSES),
+        T("gold_fact_order", "net_revenue", "not_null"), T("gold_fact_order", "leakage_amount", "not_null"),
+        T("gold_daily_sales", "order_date", "not_null"), T("gold_daily_sales", "order_date", "unique"),
+        T("gold_product_sales", "product_id", "not_null"), T("gold_product_sales", "product_id", "unique"),
+        T("gold_operations_daily", "order_date", "not_null"), T("gold_operations_daily", "order_date", "unique"),
+        T("gold_operations_daily", "net_revenue", "not_null"),
+        T("gold_operations_daily", "late_delivery_rate", "not_null"),
+        T("gold_revenue_leakage", "leakage_type", "not_null"), T("gold_revenue_leakage", "leakage_type", "unique"),
+        T("gold_revenue_leakage", "leakage_amount", "not_null"),
+    ]
+
+
+def gold_models(s: Silver) -> dict[str, DataFrame]:
+    return {f"gold_{k}": v for k, v in gold(s).items()}
