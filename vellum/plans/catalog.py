@@ -25,8 +25,19 @@ def register(name: str):
 
 
 # ------------------------------------------------------------------ T ---
+_BUILT: dict[tuple, object] = {}
+
+
+def _memo(kind: str, spark, sf, build):
+    """Lazy plans shared by the queries of one session (plans, not data)."""
+    key = (kind, id(spark), sf)
+    if key not in _BUILT:
+        _BUILT[key] = build()
+    return _BUILT[key]
+
+
 def _raw_trips(spark, sf):
-    return trips.raw_trips(adapters.trip_source(Tables(spark, sf)))
+    return _memo("raw_trips", spark, sf, lambda: trips.raw_trips(adapters.trip_source(Tables(spark, sf))))
 
 
 @register("trips_staged")
@@ -52,7 +63,7 @@ def _q_trips_month(spark, sf):
 
 # ------------------------------------------------------------------ E ---
 def _silver(spark, sf) -> revenue.Silver:
-    return revenue.Silver.from_tables(Tables(spark, sf))
+    return _memo("revenue", spark, sf, lambda: revenue.Silver.from_tables(Tables(spark, sf)))
 
 
 def _silver_query(entity: str):
@@ -126,7 +137,7 @@ from vellum.plans import client, migration  # noqa: E402
 
 
 def _client(spark, sf) -> client.Silver:
-    return client.Silver.from_tables(Tables(spark, sf))
+    return _memo("client", spark, sf, lambda: client.Silver.from_tables(Tables(spark, sf)))
 
 
 for _entity, _qname in (("accounts", "silver_accounts"), ("invoices", "silver_invoices"),
@@ -171,7 +182,7 @@ def _q_quality_revenue(spark, sf):
 
 # ------------------------------------------------------------------ M ---
 def _snap(spark, sf) -> migration.Snapshots:
-    return migration.Snapshots.from_tables(Tables(spark, sf))
+    return _memo("migration", spark, sf, lambda: migration.Snapshots.from_tables(Tables(spark, sf)))
 
 
 for _side in migration.SIDES:
@@ -221,3 +232,242 @@ def _q_cutover_checklist(spark, sf):
     m = _snap(spark, sf)
     ready = migration.cutover_readiness(migration.exceptions(m), migration.reconciliation(m))
     return migration.cutover_checklist(ready, migration.quality_report(m))
+
+
+# ------------------------------------------- quality, evidence, intake ---
+from functools import reduce as _reduce  # noqa: E402
+
+from pyspark.sql import DataFrame as _DF  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from vellum.functions import money_text, title_label  # noqa: E402
+from vellum.operators import incremental, profile as _profile, quality as Q  # noqa: E402
+from vellum.plans import evidence  # noqa: E402
+from vellum.session import work_dir  # noqa: E402
+from vellum.sources import files  # noqa: E402
+
+
+def _gold_models(spark, sf) -> dict:
+    s, c, m = _silver(spark, sf), _client(spark, sf), _snap(spark, sf)
+    models = revenue.gold_models(s)
+    models.update(client.gold(c))
+    models["gold_reconciliation"] = migration.reconciliation(m)
+    queue = migration.exception_queue(m)
+    models["gold_exception_queue"] = queue
+    models["gold_cutover_readiness"] = migration.cutover_readiness(queue, models["gold_reconciliation"])
+    return models
+
+
+@register("rules_gold")
+def _q_rules_gold(spark, sf):
+    """Q8–Q11/Q13: the 47 schema tests of the three products' gold models."""
+    tests = revenue.gold_tests() + client.gold_tests() + migration.gold_tests()
+    return Q.run_tests(tests, _gold_models(spark, sf))
+
+
+# declared keys of the contract entities (D14: every entity, not only the gate's)
+CONTRACT_KEYS = (
+    ("revenue", "customers", "customer_id"), ("revenue", "products", "product_id"),
+    ("revenue", "orders", "order_id"), ("revenue", "order_items", "order_item_id"),
+    ("revenue", "payments", "payment_id"), ("revenue", "shipments", "shipment_id"),
+    ("revenue", "refunds", "refund_id"),
+    ("client", "accounts", "account_id"), ("client", "invoices", "invoice_id"),
+    ("client", "support_tickets", "ticket_id"), ("client", "account_events", "event_id"),
+)
+
+
+def _product_table(spark, sf, product, entity):
+    return getattr(_silver(spark, sf) if product == "revenue" else _client(spark, sf), entity)
+
+
+@register("duplicate_keys")
+def _q_duplicate_keys(spark, sf):
+    """Every repeated key value of every contract entity, with its rows."""
+    parts = []
+    for product, entity, key in CONTRACT_KEYS:
+        df = _product_table(spark, sf, product, entity)
+        parts.append(df.groupBy(F.col(key).cast("string").alias("record_key"))
+                     .agg(F.count(F.lit(1)).alias("row_count"))
+                     .where(F.col("row_count") > 1)
+                     .select(F.lit(entity).alias("entity"), "record_key", "row_count"))
+    return _reduce(_DF.unionByName, parts)
+
+
+CONTRACT_FKS = (
+    ("revenue", "orders", "customer_id", "customers", "customer_id"),
+    ("revenue", "order_items", "order_id", "orders", "order_id"),
+    ("revenue", "order_items", "product_id", "products", "product_id"),
+    ("revenue", "payments", "order_id", "orders", "order_id"),
+    ("revenue", "shipments", "order_id", "orders", "order_id"),
+    ("revenue", "refunds", "order_id", "orders", "order_id"),
+    ("client", "invoices", "account_id", "accounts", "account_id"),
+    ("client", "support_tickets", "account_id", "accounts", "account_id"),
+    ("client", "account_events", "account_id", "accounts", "account_id"),
+)
+
+
+@register("orphan_rows")
+def _q_orphan_rows(spark, sf):
+    """Orphan child rows per foreign-key value (counted per value)."""
+    parts = []
+    for product, child, fk, parent, pk in CONTRACT_FKS:
+        c = _product_table(spark, sf, product, child)
+        p = _product_table(spark, sf, product, parent).select(F.col(pk).alias("_k")).distinct()
+        per = c.groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("row_count"))
+        parts.append(per.join(p, "_k", "left_anti")
+                     .select(F.lit(child).alias("entity"), F.lit(fk).alias("foreign_key"),
+                             F.col("_k").cast("string").alias("key_value"), "row_count"))
+    return _reduce(_DF.unionByName, parts)
+
+
+CONTRACT_DOMAINS = (
+    ("revenue", "orders", "order_status", revenue.ORDER_STATUSES),
+    ("revenue", "payments", "payment_status", ("paid", "refunded")),
+    ("revenue", "shipments", "shipment_status", ("delivered", "in_transit", "cancelled")),
+    ("revenue", "refunds", "refund_status", ("processed",)),
+    ("client", "accounts", "account_status", client.ACCOUNT_STATUSES),
+    ("client", "invoices", "invoice_status", client.INVOICE_STATUSES),
+    ("client", "support_tickets", "priority", client.TICKET_PRIORITIES),
+    ("client", "support_tickets", "ticket_status", client.TICKET_STATUSES),
+    ("client", "account_events", "event_type", client.EVENT_TYPES),
+)
+
+
+@register("domain_violations")
+def _q_domain_violations(spark, sf):
+    """Values outside each contract domain (NULL reported too), with rows."""
+    parts = []
+    for product, entity, column, values in CONTRACT_DOMAINS:
+        df = _product_table(spark, sf, product, entity)
+        bad = ~F.col(column).isin(*values) | F.col(column).isNull()
+        parts.append(df.where(bad).groupBy(F.col(column).alias("value"))
+                     .agg(F.count(F.lit(1)).alias("row_count"))
+                     .select(F.lit(entity).alias("entity"), F.lit(column).alias("column_name"),
+                             "value", "row_count"))
+    return _reduce(_DF.unionByName, parts)
+
+
+def _account_rules():
+    return {
+        "missing_account_id": F.col("account_id").isNull(),
+        "missing_account_name": F.col("account_name").isNull(),
+        "unparseable_signup_date": F.col("signup_date").try_cast("date").isNull(),
+        "negative_mrr": F.col("monthly_recurring_revenue") < 0,
+        "unknown_status": ~F.lower(F.trim("account_status")).isin(*client.ACCOUNT_STATUSES),
+    }
+
+
+@register("quarantine")
+def _q_quarantine(spark, sf):
+    """Q12: account rows that fail a contract rule, with every reason."""
+    _, bad = Q.quarantine(_client(spark, sf).bronze["accounts"], _account_rules())
+    return bad.select("account_id", "account_name", "monthly_recurring_revenue", "reasons")
+
+
+@register("table_profile")
+def _q_table_profile(spark, sf):
+    """Profile of the order fact and the silver orders."""
+    s = _silver(spark, sf)
+    return (_profile.profile(s.orders, "silver_orders")
+            .unionByName(_profile.profile(revenue.fact_order(s), "gold_fact_order",
+                                          ["order_id", "customer_id", "carrier", "actual_delivery_date",
+                                           "net_revenue", "is_late"])))
+
+
+@register("change_set")
+def _q_change_set(spark, sf):
+    """Accounts changed between the source and target snapshots."""
+    m = _snap(spark, sf)
+    return incremental.change_set(m.get("source", "accounts"), m.get("target", "accounts"), "account_id")
+
+
+@register("layer_counts")
+def _q_layer_counts(spark, sf):
+    """V1: bronze, silver and gold row counts of the revenue product."""
+    s = _silver(spark, sf)
+    return evidence.layer_counts({
+        "bronze": s.bronze,
+        "silver": {n: getattr(s, n) for n in revenue.SILVER},
+        "gold": revenue.gold(s),
+    })
+
+
+@register("run_evidence")
+def _q_run_evidence(spark, sf):
+    """V2: the revenue run's summary row (maps of counts, checks, totals)."""
+    s = _silver(spark, sf)
+    fact = revenue.fact_order(s)
+    counts = _q_layer_counts(spark, sf)
+    return evidence.run_summary(counts, revenue.quality_report(s), revenue.run_totals(fact), "full_refresh")
+
+
+@register("exception_severity_map")
+def _q_exception_severity_map(spark, sf):
+    """Exception counts per severity as one map."""
+    return migration.severity_map(migration.exceptions(_snap(spark, sf)))
+
+
+@register("quality_summary")
+def _q_quality_summary(spark, sf):
+    """Q15: status and score of the client delivery gate."""
+    return Q.summary(client.quality_report(_client(spark, sf)))
+
+
+@register("quality_display")
+def _q_quality_display(spark, sf):
+    """The gate report as the dashboard shows it."""
+    rep = revenue.quality_report(_silver(spark, sf)).unionByName(client.quality_report(_client(spark, sf)))
+    return rep.select(title_label("check_name").alias("control"), F.col("incidents"))
+
+
+@register("leakage_display")
+def _q_leakage_display(spark, sf):
+    """Leakage per cause with title labels and money text."""
+    leak = revenue.revenue_leakage(revenue.fact_order(_silver(spark, sf)))
+    return leak.select(title_label("leakage_type").alias("cause"), F.col("affected_orders"),
+                       money_text("leakage_amount").alias("leakage"), F.col("priority"))
+
+
+_RUN_IDS: dict = {}
+
+
+def _scratch(spark, name):
+    """A fresh folder under the shared checkpoint folder for a written table."""
+    import uuid
+    return work_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("csv_round_trip")
+def _q_csv_round_trip(spark, sf):
+    """Bronze customers written as CSV and read back under the contract."""
+    bronze = _silver(spark, sf).bronze["customers"]
+    path = _scratch(spark, "csv-customers")
+    files.write_csv(bronze, path)
+    return files.read_csv(spark, path, bronze.schema)
+
+
+@register("parquet_round_trip")
+def _q_parquet_round_trip(spark, sf):
+    """The order fact written as a parquet snapshot and read back."""
+    path = _scratch(spark, "fact-order")
+    files.write_parquet(revenue.fact_order(_silver(spark, sf)), path)
+    return spark.read.parquet(path)
+
+
+INCREMENTAL_FIRST_LOAD_BEFORE = "1996-01-01"
+
+
+@register("fact_order_incremental")
+def _q_fact_incremental(spark, sf):
+    """First load = orders before a date; the second run appends the
+    orders above the stored key watermark (delete+insert on order_id)."""
+    s = _silver(spark, sf)
+    first = revenue.fact_order(s, s.orders.where(F.col("order_date") < F.lit(INCREMENTAL_FIRST_LOAD_BEFORE).cast("date")))
+    base = _scratch(spark, "fact-incremental")
+    incremental.write_version(first, base)
+    existing = incremental.read_current(spark, base)
+    mark = incremental.watermark(existing, "order_id")
+    candidates = revenue.fact_order(s, s.orders.where(F.col("order_id") > F.lit(mark)))
+    merged = incremental.append_above_watermark(existing, candidates, "order_id", mark=mark)
+    incremental.write_version(merged, base, expected_schema=existing.schema)
+    return incremental.read_current(spark, base)

@@ -15,11 +15,26 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
+    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    The scan (file listing and footer schema) is resolved once per session
+    and path; every query then starts from the same lazy relation.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(table_path(sf_dir, name))
+    key = (id(spark), table_path(sf_dir, name))
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(key[1])
+    return _SCANS[key]
+
+
+def forget_scans() -> None:
+    """Drop the resolved scans (after the files under a path changed)."""
+    _SCANS.clear()
 
 
 class Tables:
