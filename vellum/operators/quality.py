@@ -182,8 +182,38 @@ def test_failures(t: Test, models: dict[str, DataFrame]) -> DataFrame:
                       F.col("failures").cast("long").alias("failures"))
 
 
-def run_tests(tests: list[Test], models: dict[str, DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [test_failures(t, models) for t in tests])
+def _row_test(t: Test) -> Column:
+    c = F.col(t.column)
+    if t.kind == "not_null":
+        return F.count_if(c.isNull())
+    return F.count_distinct(F.when(~c.isin(*t.values), c))
+
+
+def run_tests(tests: list[Test], models: dict[str, DataFrame], materialize: bool = False) -> DataFrame:
+    """All tests as one report (test_name, model, column_name, rule, failures).
+
+    Like the test runner, a model is materialized once before it is tested
+    (``materialize``); the row-level tests of a model (not_null,
+    accepted_values) share one aggregate over it.
+    """
+    from vellum.sources.tables import materialized
+    used = {t.model for t in tests} | {t.to for t in tests if t.to}
+    m = {k: materialized(models[k], materialize) for k in models if k in used}
+    parts: list[DataFrame] = []
+    by_model: dict[str, list[Test]] = {}
+    for t in tests:
+        by_model.setdefault(t.model, []).append(t)
+    for model, ts in by_model.items():
+        row = [t for t in ts if t.kind in ("not_null", "accepted_values")]
+        if row:
+            agg = m[model].agg(*[_row_test(t).alias(f"f{i}") for i, t in enumerate(row)])
+            items = F.array(*[F.struct(F.lit(t.name).alias("test_name"), F.lit(t.model).alias("model"),
+                                       F.lit(t.column).alias("column_name"), F.lit(t.kind).alias("rule"),
+                                       F.col(f"f{i}").cast("long").alias("failures"))
+                              for i, t in enumerate(row)])
+            parts.append(agg.select(F.explode(items).alias("t")).select("t.*"))
+        parts += [test_failures(t, m) for t in ts if t.kind not in ("not_null", "accepted_values")]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ------------------------------------------------------------- quarantine

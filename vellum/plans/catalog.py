@@ -63,7 +63,7 @@ def _q_trips_month(spark, sf):
 
 # ------------------------------------------------------------------ E ---
 def _silver(spark, sf) -> revenue.Silver:
-    return _memo("revenue", spark, sf, lambda: revenue.Silver.from_tables(Tables(spark, sf)))
+    return _memo("revenue", spark, sf, lambda: revenue.Silver.from_tables(Tables(spark, sf), materialize=True))
 
 
 def _silver_query(entity: str):
@@ -86,14 +86,20 @@ def _q_dim_product(spark, sf):
     return revenue.dim_product(_silver(spark, sf))
 
 
+def _fact(spark, sf):
+    """The order fact, materialized once per run like the gold table it is."""
+    from vellum.sources.tables import materialized
+    return _memo("fact", spark, sf, lambda: materialized(revenue.fact_order(_silver(spark, sf))))
+
+
 @register("fact_order")
 def _q_fact_order(spark, sf):
-    return revenue.fact_order(_silver(spark, sf))
+    return _fact(spark, sf)
 
 
 def _fact_query(mart):
     def q(spark, sf):
-        return mart(revenue.fact_order(_silver(spark, sf)))
+        return mart(_fact(spark, sf))
     return q
 
 
@@ -118,7 +124,7 @@ def _q_product_sales(spark, sf):
 @register("customer_sales")
 def _q_customer_sales(spark, sf):
     s = _silver(spark, sf)
-    return revenue.customer_sales(s, revenue.fact_order(s))
+    return revenue.customer_sales(s, _fact(spark, sf))
 
 
 @register("top_products")
@@ -129,7 +135,7 @@ def _q_top_products(spark, sf):
 @register("top_customers")
 def _q_top_customers(spark, sf):
     s = _silver(spark, sf)
-    return revenue.top_customers(revenue.customer_sales(s, revenue.fact_order(s)))
+    return revenue.top_customers(revenue.customer_sales(s, _fact(spark, sf)))
 
 
 # ------------------------------------------------------------------ C ---
@@ -137,7 +143,7 @@ from vellum.plans import client, migration  # noqa: E402
 
 
 def _client(spark, sf) -> client.Silver:
-    return _memo("client", spark, sf, lambda: client.Silver.from_tables(Tables(spark, sf)))
+    return _memo("client", spark, sf, lambda: client.Silver.from_tables(Tables(spark, sf), materialize=True))
 
 
 for _entity, _qname in (("accounts", "silver_accounts"), ("invoices", "silver_invoices"),
@@ -182,7 +188,7 @@ def _q_quality_revenue(spark, sf):
 
 # ------------------------------------------------------------------ M ---
 def _snap(spark, sf) -> migration.Snapshots:
-    return _memo("migration", spark, sf, lambda: migration.Snapshots.from_tables(Tables(spark, sf)))
+    return _memo("migration", spark, sf, lambda: migration.Snapshots.from_tables(Tables(spark, sf), materialize=True))
 
 
 for _side in migration.SIDES:
@@ -249,7 +255,7 @@ from vellum.sources import files  # noqa: E402
 
 def _gold_models(spark, sf) -> dict:
     s, c, m = _silver(spark, sf), _client(spark, sf), _snap(spark, sf)
-    models = revenue.gold_models(s)
+    models = revenue.gold_models(s, _fact(spark, sf))
     models.update(client.gold(c))
     models["gold_reconciliation"] = migration.reconciliation(m)
     queue = migration.exception_queue(m)
@@ -262,7 +268,7 @@ def _gold_models(spark, sf) -> dict:
 def _q_rules_gold(spark, sf):
     """Q8–Q11/Q13: the 47 schema tests of the three products' gold models."""
     tests = revenue.gold_tests() + client.gold_tests() + migration.gold_tests()
-    return Q.run_tests(tests, _gold_models(spark, sf))
+    return Q.run_tests(tests, _gold_models(spark, sf), materialize=True)
 
 
 # declared keys of the contract entities (D14: every entity, not only the gate's)
@@ -369,7 +375,7 @@ def _q_table_profile(spark, sf):
     """Profile of the order fact and the silver orders."""
     s = _silver(spark, sf)
     return (_profile.profile(s.orders, "silver_orders")
-            .unionByName(_profile.profile(revenue.fact_order(s), "gold_fact_order",
+            .unionByName(_profile.profile(_fact(spark, sf), "gold_fact_order",
                                           ["order_id", "customer_id", "carrier", "actual_delivery_date",
                                            "net_revenue", "is_late"])))
 
@@ -388,7 +394,7 @@ def _q_layer_counts(spark, sf):
     return evidence.layer_counts({
         "bronze": s.bronze,
         "silver": {n: getattr(s, n) for n in revenue.SILVER},
-        "gold": revenue.gold(s),
+        "gold": revenue.gold(s, _fact(spark, sf)),
     })
 
 
@@ -396,7 +402,7 @@ def _q_layer_counts(spark, sf):
 def _q_run_evidence(spark, sf):
     """V2: the revenue run's summary row (maps of counts, checks, totals)."""
     s = _silver(spark, sf)
-    fact = revenue.fact_order(s)
+    fact = _fact(spark, sf)
     counts = _q_layer_counts(spark, sf)
     return evidence.run_summary(counts, revenue.quality_report(s), revenue.run_totals(fact), "full_refresh")
 
@@ -423,7 +429,7 @@ def _q_quality_display(spark, sf):
 @register("leakage_display")
 def _q_leakage_display(spark, sf):
     """Leakage per cause with title labels and money text."""
-    leak = revenue.revenue_leakage(revenue.fact_order(_silver(spark, sf)))
+    leak = revenue.revenue_leakage(_fact(spark, sf))
     return leak.select(title_label("leakage_type").alias("cause"), F.col("affected_orders"),
                        money_text("leakage_amount").alias("leakage"), F.col("priority"))
 
@@ -450,7 +456,7 @@ def _q_csv_round_trip(spark, sf):
 def _q_parquet_round_trip(spark, sf):
     """The order fact written as a parquet snapshot and read back."""
     path = _scratch(spark, "fact-order")
-    files.write_parquet(revenue.fact_order(_silver(spark, sf)), path)
+    files.write_parquet(_fact(spark, sf), path)
     return spark.read.parquet(path)
 
 

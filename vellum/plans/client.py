@@ -15,7 +15,7 @@ from vellum.functions import (MONEY, RATE, days_between, money, money_total, nor
                               norm_upper, ratio_pct)
 from vellum.operators import quality as Q
 from vellum.sources import adapters
-from vellum.sources.tables import Tables
+from vellum.sources.tables import Tables, materialized
 
 KEY = "long"
 
@@ -82,19 +82,20 @@ SILVER = {
 
 
 class Silver:
-    def __init__(self, bronze: dict[str, DataFrame]):
+    def __init__(self, bronze: dict[str, DataFrame], materialize: bool = False):
         self.bronze = bronze
+        self.materialize = materialize
         self._s: dict[str, DataFrame] = {}
 
     @classmethod
-    def from_tables(cls, t: Tables) -> "Silver":
-        return cls({n: b(t) for n, b in adapters.CLIENT_SOURCES.items()})
+    def from_tables(cls, t: Tables, materialize: bool = False) -> "Silver":
+        return cls({n: b(t) for n, b in adapters.CLIENT_SOURCES.items()}, materialize)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in SILVER:
             raise AttributeError(name)
         if name not in self._s:
-            self._s[name] = SILVER[name](self.bronze[name])
+            self._s[name] = materialized(SILVER[name](self.bronze[name]), self.materialize)
         return self._s[name]
 
     def tables(self) -> dict[str, DataFrame]:

@@ -13,7 +13,7 @@ from vellum.operators import quality as Q
 from vellum.operators.numbering import number_rows
 from vellum.operators.reconcile import reconcile_keys, reconcile_totals
 from vellum.sources import adapters
-from vellum.sources.tables import Tables
+from vellum.sources.tables import Tables, materialized
 
 KEY = "long"
 SIDES = ("source", "target")
@@ -82,21 +82,22 @@ def silver(entity: str, b: DataFrame) -> DataFrame:
 class Snapshots:
     """Silver tables of both sides, keyed (side, entity)."""
 
-    def __init__(self, bronze: dict[tuple[str, str], DataFrame]):
+    def __init__(self, bronze: dict[tuple[str, str], DataFrame], materialize: bool = False):
         self.bronze = bronze
+        self.materialize = materialize
         self._s: dict[tuple[str, str], DataFrame] = {}
 
     @classmethod
-    def from_tables(cls, t: Tables) -> "Snapshots":
+    def from_tables(cls, t: Tables, materialize: bool = False) -> "Snapshots":
         b = {}
         for e in ENTITIES:
             b[("source", e)] = adapters.migration_source(t, e)
             b[("target", e)] = adapters.migration_target(t, e)
-        return cls(b)
+        return cls(b, materialize)
 
     def get(self, side: str, entity: str) -> DataFrame:
         if (side, entity) not in self._s:
-            self._s[(side, entity)] = silver(entity, self.bronze[(side, entity)])
+            self._s[(side, entity)] = materialized(silver(entity, self.bronze[(side, entity)]), self.materialize)
         return self._s[(side, entity)]
 
 

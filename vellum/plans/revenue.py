@@ -18,7 +18,7 @@ from vellum.functions import (MONEY, MONEY_TOTAL, RATE, days_between, money, mon
                               norm_lower, norm_upper, ratio_pct)
 from vellum.functions.exprs import avg_money
 from vellum.sources import adapters
-from vellum.sources.tables import Tables
+from vellum.sources.tables import Tables, materialized
 
 ORDER_STATUSES = ("delivered", "shipped", "cancelled")
 KEY = "long"  # ids are BIGINT: INTEGER order keys overflow past ~2^31 orders
@@ -108,19 +108,20 @@ SILVER = {
 class Silver:
     """The seven silver tables of one run, built lazily from bronze frames."""
 
-    def __init__(self, bronze: dict[str, DataFrame]):
+    def __init__(self, bronze: dict[str, DataFrame], materialize: bool = False):
         self.bronze = bronze
+        self.materialize = materialize
         self._silver: dict[str, DataFrame] = {}
 
     @classmethod
-    def from_tables(cls, t: Tables) -> "Silver":
-        return cls({name: build(t) for name, build in adapters.REVENUE_SOURCES.items()})
+    def from_tables(cls, t: Tables, materialize: bool = False) -> "Silver":
+        return cls({name: build(t) for name, build in adapters.REVENUE_SOURCES.items()}, materialize)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in SILVER:
             raise AttributeError(name)
         if name not in self._silver:
-            self._silver[name] = SILVER[name](self.bronze[name])
+            self._silver[name] = materialized(SILVER[name](self.bronze[name]), self.materialize)
         return self._silver[name]
 
 
@@ -321,9 +322,9 @@ def top_customers(customers: DataFrame, n: int = 10) -> DataFrame:
     return customers.orderBy(F.col("lifetime_value").desc_nulls_last(), F.col("customer_id").asc()).limit(n)
 
 
-def gold(s: Silver) -> dict[str, DataFrame]:
+def gold(s: Silver, fact: DataFrame | None = None) -> dict[str, DataFrame]:
     """All nine gold models of one run (lazy)."""
-    fact = fact_order(s)
+    fact = fact_order(s) if fact is None else fact
     return {
         "dim_customer": dim_customer(s),
         "dim_product": dim_product(s),
@@ -382,5 +383,5 @@ def gold_tests() -> list:
     ]
 
 
-def gold_models(s: Silver) -> dict[str, DataFrame]:
-    return {f"gold_{k}": v for k, v in gold(s).items()}
+def gold_models(s: Silver, fact: DataFrame | None = None) -> dict[str, DataFrame]:
+    return {f"gold_{k}": v for k, v in gold(s, fact).items()}

@@ -51,3 +51,18 @@ class Tables:
         if name not in self._cache:
             self._cache[name] = read_table(self.spark, self.sf_dir, name)
         return self._cache[name]
+
+
+def materialized(df: DataFrame, enabled: bool = True) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    This is the layer boundary of a medallion run (silver, then gold built
+    from the written silver): later plans start from the written files, the
+    lineage is cut, and a lost executor does not force a recomputation of
+    the layer below.
+    """
+    if not enabled:
+        return df
+    from vellum.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
