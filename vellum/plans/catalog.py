@@ -477,3 +477,21 @@ def _q_fact_incremental(spark, sf):
     merged = incremental.append_above_watermark(existing, candidates, "order_id", mark=mark)
     incremental.write_version(merged, base, expected_schema=existing.schema)
     return incremental.read_current(spark, base)
+
+
+@register("fact_order_stream")
+def _q_fact_stream(spark, sf):
+    """S5 as a stream: orders land in two arrivals (before / from a date);
+    each availableNow run appends the fact rows above the key watermark."""
+    from vellum.streaming import incremental_stream as stream
+    s = _silver(spark, sf)
+    landing, base, ckpt = _scratch(spark, "landing"), _scratch(spark, "fact-stream"), _scratch(spark, "stream-ckpt")
+    cut = F.lit(INCREMENTAL_FIRST_LOAD_BEFORE).cast("date")
+
+    def build(orders):
+        return revenue.fact_order(s, orders)
+
+    for arrival in (F.col("order_date") < cut, F.col("order_date") >= cut):
+        s.orders.where(arrival).write.mode("append").parquet(landing)
+        stream.run_available(spark, landing, s.orders.schema, build, base, ckpt)
+    return stream.read_fact(spark, base)

@@ -343,8 +343,9 @@ def migration_target(t: Tables, entity: str) -> DataFrame:
         shifted = F.when(F.pmod(n, F.lit(TARGET_SHIFT_EVERY)) == 0,
                          F.col(amount) + F.lit(TARGET_SHIFT_AMOUNT)).otherwise(F.col(amount))
         kept = kept.withColumn(amount, shifted)
-    doubled = kept.where(F.pmod(n, F.lit(TARGET_DUPLICATE_EVERY)) == 0)
-    return kept.unionByName(doubled).drop("_n")
+    # doubled keys: one pass that emits a second copy, not a second scan
+    copies = F.when(F.pmod(n, F.lit(TARGET_DUPLICATE_EVERY)) == 0, F.lit(2)).otherwise(F.lit(1))
+    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_n", "_copy")
 
 
 MIGRATION_ENTITIES = tuple(MIGRATION_BUILDERS)
