@@ -191,9 +191,11 @@ def run_tests(tests: list[Test], models: dict[str, DataFrame], materialize: bool
     (``materialize``); the row-level tests of a model (not_null,
     accepted_values) share one aggregate over it.
     """
-    from vellum.sources.tables import materialized
+    from vellum.sources.tables import materialize_all
     used = {t.model for t in tests} | {t.to for t in tests if t.to}
-    m = {k: materialized(models[k], materialize) for k in models if k in used}
+    m = {k: models[k] for k in models if k in used}
+    if materialize:
+        m = materialize_all(m, "gold")
     parts: list[DataFrame] = []
     by_model: dict[str, list[Test]] = {}
     for t in tests:

@@ -63,7 +63,7 @@ def _q_trips_month(spark, sf):
 
 # ------------------------------------------------------------------ E ---
 def _silver(spark, sf) -> revenue.Silver:
-    return _memo("revenue", spark, sf, lambda: revenue.Silver.from_tables(Tables(spark, sf), materialize=True))
+    return _memo("revenue", spark, sf, lambda: revenue.Silver.from_tables(Tables(spark, sf), materialize=True).materialize_all())
 
 
 def _silver_query(entity: str):
@@ -89,7 +89,7 @@ def _q_dim_product(spark, sf):
 def _fact(spark, sf):
     """The order fact, materialized once per run like the gold table it is."""
     from vellum.sources.tables import materialized
-    return _memo("fact", spark, sf, lambda: materialized(revenue.fact_order(_silver(spark, sf))))
+    return _memo("fact", spark, sf, lambda: materialized(revenue.fact_order(_silver(spark, sf)), name="gold-fact-order"))
 
 
 @register("fact_order")
@@ -143,7 +143,7 @@ from vellum.plans import client, migration  # noqa: E402
 
 
 def _client(spark, sf) -> client.Silver:
-    return _memo("client", spark, sf, lambda: client.Silver.from_tables(Tables(spark, sf), materialize=True))
+    return _memo("client", spark, sf, lambda: client.Silver.from_tables(Tables(spark, sf), materialize=True).materialize_all())
 
 
 for _entity, _qname in (("accounts", "silver_accounts"), ("invoices", "silver_invoices"),
@@ -188,7 +188,7 @@ def _q_quality_revenue(spark, sf):
 
 # ------------------------------------------------------------------ M ---
 def _snap(spark, sf) -> migration.Snapshots:
-    return _memo("migration", spark, sf, lambda: migration.Snapshots.from_tables(Tables(spark, sf), materialize=True))
+    return _memo("migration", spark, sf, lambda: migration.Snapshots.from_tables(Tables(spark, sf), materialize=True).materialize_all())
 
 
 for _side in migration.SIDES:

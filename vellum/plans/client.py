@@ -15,7 +15,7 @@ from vellum.functions import (MONEY, RATE, days_between, money, money_total, nor
                               norm_upper, ratio_pct)
 from vellum.operators import quality as Q
 from vellum.sources import adapters
-from vellum.sources.tables import Tables, materialized
+from vellum.sources.tables import Tables, materialize_all, materialized
 
 KEY = "long"
 
@@ -95,9 +95,14 @@ class Silver:
         if name.startswith("_") or name not in SILVER:
             raise AttributeError(name)
         if name not in self._s:
-            self._s[name] = materialized(SILVER[name](self.bronze[name]), self.materialize)
+            self._s[name] = materialized(SILVER[name](self.bronze[name]), self.materialize, f"silver-{name}")
         return self._s[name]
 
+    def materialize_all(self) -> "Silver":
+        todo = {n: SILVER[n](self.bronze[n]) for n in SILVER if n not in self._s}
+        self._s.update(materialize_all(todo, "silver"))
+        return self
+
     def tables(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in SILVER}
 

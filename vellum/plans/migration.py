@@ -13,7 +13,7 @@ from vellum.operators import quality as Q
 from vellum.operators.numbering import number_rows
 from vellum.operators.reconcile import reconcile_keys, reconcile_totals
 from vellum.sources import adapters
-from vellum.sources.tables import Tables, materialized
+from vellum.sources.tables import Tables, materialize_all, materialized
 
 KEY = "long"
 SIDES = ("source", "target")
@@ -97,9 +97,15 @@ class Snapshots:
 
     def get(self, side: str, entity: str) -> DataFrame:
         if (side, entity) not in self._s:
-            self._s[(side, entity)] = materialized(silver(entity, self.bronze[(side, entity)]), self.materialize)
+            self._s[(side, entity)] = materialized(silver(entity, self.bronze[(side, entity)]), self.materialize,
+                                                   f"silver-{side}-{entity}")
         return self._s[(side, entity)]
 
+    def materialize_all(self) -> "Snapshots":
+        todo = {k: silver(k[1], b) for k, b in self.bronze.items() if k not in self._s}
+        self._s.update(materialize_all(todo, "silver"))
+        return self
+
 
 # ------------------------------------------------------------------ gate ---
 def gate_checks() -> list[Q.Check]:

@@ -18,7 +18,7 @@ from vellum.functions import (MONEY, MONEY_TOTAL, RATE, days_between, money, mon
                               norm_lower, norm_upper, ratio_pct)
 from vellum.functions.exprs import avg_money
 from vellum.sources import adapters
-from vellum.sources.tables import Tables, materialized
+from vellum.sources.tables import Tables, materialize_all, materialized
 
 ORDER_STATUSES = ("delivered", "shipped", "cancelled")
 KEY = "long"  # ids are BIGINT: INTEGER order keys overflow past ~2^31 orders
@@ -121,9 +121,15 @@ class Silver:
         if name.startswith("_") or name not in SILVER:
             raise AttributeError(name)
         if name not in self._silver:
-            self._silver[name] = materialized(SILVER[name](self.bronze[name]), self.materialize)
+            self._silver[name] = materialized(SILVER[name](self.bronze[name]), self.materialize, f"silver-{name}")
         return self._silver[name]
 
+    def materialize_all(self) -> "Silver":
+        """Write every silver table (concurrent jobs) and read them back."""
+        todo = {n: SILVER[n](self.bronze[n]) for n in SILVER if n not in self._silver}
+        self._silver.update(materialize_all(todo, "silver"))
+        return self
+
 
 # ------------------------------------------------------------------ gold ---
 def dim_customer(s: Silver) -> DataFrame:
