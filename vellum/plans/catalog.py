@@ -495,3 +495,28 @@ def _q_fact_stream(spark, sf):
         s.orders.where(arrival).write.mode("append").parquet(landing)
         stream.run_available(spark, landing, s.orders.schema, build, base, ckpt)
     return stream.read_fact(spark, base)
+
+
+@register("contract_rules_revenue")
+def _q_contract_rules_revenue(spark, sf):
+    """Contract rules on the revenue bronze entities."""
+    from vellum import contracts
+    s = _silver(spark, sf)
+    return Q.report(contracts.revenue_contract_rules(), contracts.revenue_rule_inputs(s.bronze))
+
+
+@register("migration_rows")
+def _q_migration_rows(spark, sf):
+    """D-S4: delivered (bronze) and accepted (silver) rows per side and entity."""
+    m = _snap(spark, sf)
+    parts = []
+    for side in migration.SIDES:
+        for e in migration.ENTITIES:
+            b = m.bronze[(side, e)].agg(F.count(F.lit(1)).alias("bronze_rows"))
+            parts.append(b.select(F.lit(side).alias("side"), F.lit(e).alias("entity"), "bronze_rows",
+                                  F.lit(None).cast("long").alias("silver_rows")))
+            sv = m.get(side, e).agg(F.count(F.lit(1)).alias("silver_rows"))
+            parts.append(sv.select(F.lit(side).alias("side"), F.lit(e).alias("entity"),
+                                   F.lit(None).cast("long").alias("bronze_rows"), "silver_rows"))
+    return (_reduce(_DF.unionByName, parts).groupBy("side", "entity")
+            .agg(F.max("bronze_rows").alias("bronze_rows"), F.max("silver_rows").alias("silver_rows")))

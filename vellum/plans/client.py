@@ -87,6 +87,13 @@ class Silver:
         self.materialize = materialize
         self._s: dict[str, DataFrame] = {}
 
+    @classmethod
+    def from_silver(cls, frames: dict) -> "Silver":
+        """Wrap silver tables that were already built (e.g. read from a written layer)."""
+        obj = cls({})
+        obj._s.update(frames)
+        return obj
+
     @classmethod
     def from_tables(cls, t: Tables, materialize: bool = False) -> "Silver":
         return cls({n: b(t) for n, b in adapters.CLIENT_SOURCES.items()}, materialize)

@@ -87,6 +87,13 @@ class Snapshots:
         self.materialize = materialize
         self._s: dict[tuple[str, str], DataFrame] = {}
 
+    @classmethod
+    def from_silver(cls, frames: dict) -> "Snapshots":
+        """Wrap silver tables that were already built (e.g. read from a written layer)."""
+        obj = cls({})
+        obj._s.update(frames)
+        return obj
+
     @classmethod
     def from_tables(cls, t: Tables, materialize: bool = False) -> "Snapshots":
         b = {}

@@ -113,6 +113,13 @@ class Silver:
         self.materialize = materialize
         self._silver: dict[str, DataFrame] = {}
 
+    @classmethod
+    def from_silver(cls, frames: dict) -> "Silver":
+        """Wrap silver tables that were already built (e.g. read from a written layer)."""
+        obj = cls({})
+        obj._silver.update(frames)
+        return obj
+
     @classmethod
     def from_tables(cls, t: Tables, materialize: bool = False) -> "Silver":
         return cls({name: build(t) for name, build in adapters.REVENUE_SOURCES.items()}, materialize)
