@@ -50,6 +50,13 @@ def _collect_row(df: DataFrame) -> dict:
     return json.loads(df.toJSON().first())
 
 
+def _write_evidence(row: DataFrame, path: str) -> dict:
+    """Write the one-row evidence and return it as read back from the file
+    (the row is computed once; the returned dict is what was published)."""
+    files.write_json(row, path)
+    return json.loads(row.sparkSession.read.text(path).first()[0])
+
+
 # ------------------------------------------------------------------- T ---
 def run_trips(spark: SparkSession, sf_dir: str, out_dir: str, month: str | None = None) -> dict:
     """T: raw → staged → quality gate → daily metrics (parquet) → summary JSON."""
@@ -104,8 +111,7 @@ def run_revenue(spark: SparkSession, sf_dir: str, out_dir: str, incremental_load
     summary = evidence.run_summary(counts, revenue.quality_report(s), revenue.run_totals(fact),
                                    "incremental" if incremental_load else "full_refresh",
                                    round(time.time() - started, 3))
-    files.write_json(summary, f"{out_dir}/evidence/run={_stamp()}")
-    out = _collect_row(summary)
+    out = _write_evidence(summary, f"{out_dir}/evidence/run={_stamp()}")
     out["quality_checks"] = checks
     out["data_tests"] = len(tests)
     return out
@@ -146,8 +152,7 @@ def run_client(spark: SparkSession, sf_dir: str, out_dir: str, client_id: str =
     duration = round(time.time() - started, 3)
     manifest = delivery_manifest(gold["gold_client_scorecard"], bronze, checks, client_id,
                                  reporting_period, duration, target_hours)
-    files.write_json(manifest, f"{out_dir}/evidence/run={_stamp()}")
-    return _collect_row(manifest)
+    return _write_evidence(manifest, f"{out_dir}/evidence/run={_stamp()}")
 
 
 def delivery_manifest(scorecard: DataFrame, bronze: dict, checks: dict, client_id: str,
@@ -200,8 +205,7 @@ def run_migration(spark: SparkSession, sf_dir: str, out_dir: str,
     _fail_on_tests(Q.run_tests(migration.gold_tests(), gold))
     manifest = migration_manifest(gold, migration.quality_report(m), migration_id,
                                   round(time.time() - started, 3), target_hours)
-    files.write_json(manifest, f"{out_dir}/evidence/run={_stamp()}")
-    out = _collect_row(manifest)
+    out = _write_evidence(manifest, f"{out_dir}/evidence/run={_stamp()}")
     out["quality_checks"] = checks
     return out
 
