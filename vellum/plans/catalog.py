@@ -520,3 +520,10 @@ def _q_migration_rows(spark, sf):
                                    F.lit(None).cast("long").alias("bronze_rows"), "silver_rows"))
     return (_reduce(_DF.unionByName, parts).groupBy("side", "entity")
             .agg(F.max("bronze_rows").alias("bronze_rows"), F.max("silver_rows").alias("silver_rows")))
+
+
+@register("sales_for_period")
+def _q_sales_for_period(spark, sf):
+    """Completed sales per day of one calendar year, through bound SQL parameters."""
+    import datetime as dt
+    return revenue.sales_for_period(_fact(spark, sf), dt.date(1995, 1, 1), dt.date(1996, 1, 1))

@@ -398,3 +398,16 @@ def gold_tests() -> list:
 
 def gold_models(s: Silver, fact: DataFrame | None = None) -> dict[str, DataFrame]:
     return {f"gold_{k}": v for k, v in gold(s, fact).items()}
+
+
+def sales_for_period(fact: DataFrame, start, end) -> DataFrame:
+    """A serving query with bound parameters (named markers, no string
+    formatting of values); the fact is passed as a DataFrame argument."""
+    return fact.sparkSession.sql(
+        """SELECT order_date, count(*) AS order_count,
+                  CAST(sum(net_revenue) AS DECIMAL(22,2)) AS revenue,
+                  CAST(sum(leakage_amount) AS DECIMAL(22,2)) AS leakage_amount
+           FROM {fact}
+           WHERE is_completed AND order_date >= :start AND order_date < :end
+           GROUP BY order_date""",
+        args={"start": start, "end": end}, fact=fact)
