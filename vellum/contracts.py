@@ -94,3 +94,21 @@ def revenue_rule_inputs(bronze: dict) -> dict:
     out["payments"] = norm(bronze["payments"], "payment_status")
     out["shipments"] = norm(bronze["shipments"], "shipment_status")
     return out
+
+
+MIGRATION_AMOUNTS = {"accounts": "monthly_value", "invoices": "amount", "transactions": "amount"}
+
+
+def migration_contract_rules(entities: dict) -> list[Q.Check]:
+    """D13/D16 on both bronze snapshots: NULL keys (silver drops them before
+    the gate looks), repeated keys and negative amounts, per side."""
+    checks = []
+    for side in ("source", "target"):
+        for e, (key, _) in entities.items():
+            t = f"{side}_{e}"
+            checks.append(Q.null_key(f"null_{t}_keys", t, key))
+            checks.append(Q.duplicate_key(f"duplicate_{t}_keys", t, key))
+            amount = MIGRATION_AMOUNTS.get(e)
+            if amount:
+                checks.append(Q.row_rule(f"negative_{t}_amounts", t, F.col(amount) < 0))
+    return checks

@@ -434,7 +434,6 @@ def _q_leakage_display(spark, sf):
                        money_text("leakage_amount").alias("leakage"), F.col("priority"))
 
 
-_RUN_IDS: dict = {}
 
 
 def _scratch(spark, name):
@@ -527,3 +526,12 @@ def _q_sales_for_period(spark, sf):
     """Completed sales per day of one calendar year, through bound SQL parameters."""
     import datetime as dt
     return revenue.sales_for_period(_fact(spark, sf), dt.date(1995, 1, 1), dt.date(1996, 1, 1))
+
+
+@register("contract_rules_migration")
+def _q_contract_rules_migration(spark, sf):
+    """Key and amount rules on both bronze snapshots."""
+    from vellum import contracts
+    m = _snap(spark, sf)
+    tables = {f"{side}_{e}": m.bronze[(side, e)] for side in migration.SIDES for e in migration.ENTITIES}
+    return Q.report(contracts.migration_contract_rules(migration.ENTITIES), tables)

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.functions import (MONEY, RATE, days_between, money, money_total, norm_lower,
-                              norm_upper, ratio_pct)
+from vellum.functions import (RATE, days_between, money, money_total, norm_lower, norm_upper,
+                              ratio_pct)
 from vellum.operators import quality as Q
 from vellum.sources import adapters
 from vellum.sources.tables import Tables, materialize_all, materialized
@@ -277,5 +277,3 @@ def gold(s: Silver) -> dict[str, DataFrame]:
         "gold_daily_operations": daily_operations(s),
     }
 
-
-__all__ = ["MONEY"]

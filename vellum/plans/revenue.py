@@ -14,9 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.functions import (MONEY, MONEY_TOTAL, RATE, days_between, money, money_total,
-                              norm_lower, norm_upper, ratio_pct)
-from vellum.functions.exprs import avg_money
+from vellum.functions import (MONEY, RATE, avg_money, days_between, money, money_total, norm_lower,
+                              norm_upper, ratio_pct)
 from vellum.sources import adapters
 from vellum.sources.tables import Tables, materialize_all, materialized
 
@@ -351,8 +350,6 @@ def gold(s: Silver, fact: DataFrame | None = None) -> dict[str, DataFrame]:
     }
 
 
-__all__ = [n for n in dir() if not n.startswith("_")] + ["MONEY_TOTAL"]
-
 
 # ------------------------------------------------------------------ gate ---
 def gate_checks() -> list:
