@@ -535,3 +535,37 @@ def _q_contract_rules_migration(spark, sf):
     m = _snap(spark, sf)
     tables = {f"{side}_{e}": m.bronze[(side, e)] for side in migration.SIDES for e in migration.ENTITIES}
     return Q.report(contracts.migration_contract_rules(migration.ENTITIES), tables)
+
+
+# ------------------------------------- the generic gate on other tables ---
+def _documents(spark, sf):
+    t = Tables(spark, sf)
+    # exact copies are found on a digest of the whole text: the shuffle
+    # carries 32 bytes per row instead of texts of up to 20,000 words
+    docs = t.documents.select("doc_id", "lang", "source", "n_chars",
+                              F.sha2(F.col("text"), 256).alias("text_sha256"))
+    return docs, t.labels
+
+
+@register("quality_documents")
+def _q_quality_documents(spark, sf):
+    """Q2–Q5 on documents and their labels (keys, copies, orphans, label domains)."""
+    docs, labels = _documents(spark, sf)
+    checks = [
+        Q.null_key("null_document_ids", "documents", "doc_id"),
+        Q.duplicate_key("duplicate_document_ids", "documents", "doc_id"),
+        Q.duplicate_key("duplicate_document_texts", "documents", "text_sha256"),
+        Q.row_rule("empty_documents", "documents", F.col("n_chars") <= 0),
+        Q.duplicate_key("duplicate_label_doc_ids", "labels", "doc_id"),
+        Q.orphan("orphan_labels", "labels", "doc_id", "documents"),
+        Q.domain("invalid_quality_labels", "labels", "quality", (0, 1), null_violates=True),
+        Q.domain("invalid_toxic_labels", "labels", "toxic", (0, 1), null_violates=True),
+    ]
+    return Q.report(checks, {"documents": docs, "labels": labels})
+
+
+@register("documents_profile")
+def _q_documents_profile(spark, sf):
+    """G4 on documents (text distinctness on the digest of the whole text) and labels."""
+    docs, labels = _documents(spark, sf)
+    return _profile.profile(docs, "documents").unionByName(_profile.profile(labels, "labels"))
