@@ -46,9 +46,10 @@ def _row_fingerprint(cols: list[str]) -> Column:
 def change_set(old: DataFrame, new: DataFrame, key: str, cols: list[str] | None = None) -> DataFrame:
     """Keys that are new, removed or changed between two snapshots.
 
-    Each side is reduced per key to (rows, min and max row fingerprint), so
-    repeated keys collapse before the full outer join; a key is changed when
-    its row count or fingerprint range differs. Output: record_key,
+    Each side is reduced per key to a fingerprint of its rows as a multiset
+    (row count, min, max and sum of 64-bit row hashes), so repeated keys
+    collapse before the full outer join and no group is ever collected; a
+    key is changed when the fingerprints differ. Output: record_key,
     change_type, old_rows, new_rows.
     """
     cols = cols or [c for c in old.columns if c != key]
@@ -56,29 +57,35 @@ def change_set(old: DataFrame, new: DataFrame, key: str, cols: list[str] | None
     def per_key(df: DataFrame, p: str) -> DataFrame:
         h = _row_fingerprint(cols)
         return df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias(f"{p}_n"),
-                                                      F.min(h).alias(f"{p}_lo"), F.max(h).alias(f"{p}_hi"))
+                                                      F.min(h).alias(f"{p}_lo"), F.max(h).alias(f"{p}_hi"),
+                                                      F.sum(h.cast("decimal(38,0)")).alias(f"{p}_sum"))
 
     j = per_key(old, "o").join(per_key(new, "n"), "_k", "full_outer")
     on, nn = F.col("o_n"), F.col("n_n")
-    kind = (F.when(on.isNull(), "new").when(nn.isNull(), "removed")
-            .when((on != nn) | (F.col("o_lo") != F.col("n_lo")) | (F.col("o_hi") != F.col("n_hi")), "changed"))
+    differs = ((on != nn) | (F.col("o_lo") != F.col("n_lo")) | (F.col("o_hi") != F.col("n_hi"))
+               | (F.col("o_sum") != F.col("n_sum")))
+    kind = F.when(on.isNull(), "new").when(nn.isNull(), "removed").when(differs, "changed")
     return (j.select(F.col("_k").cast("string").alias("record_key"), kind.alias("change_type"),
                      F.coalesce(on, F.lit(0)).alias("old_rows"), F.coalesce(nn, F.lit(0)).alias("new_rows"))
             .where(F.col("change_type").isNotNull()))
 
 
 # ------------------------------------------------------- versioned tables
-def _pointer(base: str) -> str:
-    return f"{base.rstrip('/')}/_current"
+# A table is a folder of immutable versions ``v=<n>`` plus a ``versions``
+# log: a version becomes current when its number is appended to the log,
+# after its data job committed. Nothing is overwritten or deleted, so a
+# reader never sees a half-written version or a missing pointer.
+def _log(base: str) -> str:
+    return f"{base.rstrip('/')}/versions"
 
 
 def current_version(spark: SparkSession, base: str) -> int | None:
-    """Version number the pointer names, or None for a new table."""
-    try:
-        rows = spark.read.text(_pointer(base)).collect()
-    except Exception:  # noqa: BLE001 - a missing pointer means no table yet
+    """Highest committed version, or None for a new table."""
+    from vellum.sources.files import exists
+    if not exists(spark, _log(base)):
         return None
-    return int(rows[0][0]) if rows else None
+    row = spark.read.parquet(_log(base)).agg(F.max("version").alias("v")).first()
+    return None if row is None or row["v"] is None else int(row["v"])
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame | None:
@@ -88,11 +95,10 @@ def read_current(spark: SparkSession, base: str) -> DataFrame | None:
 
 def write_version(df: DataFrame, base: str, partition_by: list[str] | None = None,
                   expected_schema=None) -> int:
-    """Write ``df`` as the next version, then move the pointer (last step).
+    """Write ``df`` as the next version, then log it as current (last step).
 
     ``expected_schema`` enforces the fail-on-schema-change policy against
-    the current version. A reader that started before the pointer moved
-    keeps reading the old version folder, which is never modified.
+    the current version.
     """
     spark = df.sparkSession
     v = current_version(spark, base)
@@ -105,5 +111,5 @@ def write_version(df: DataFrame, base: str, partition_by: list[str] | None = Non
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{base.rstrip('/')}/v={nxt}")
-    spark.createDataFrame([(str(nxt),)], "value string").coalesce(1).write.mode("overwrite").text(_pointer(base))
+    spark.createDataFrame([(nxt,)], "version long").write.mode("append").parquet(_log(base))
     return nxt
