@@ -56,3 +56,19 @@ def test_profile(spark):
     assert p == {"k": (3, 0, 2), "v": (3, 1, 2)}
     pa = {r.column_name: r.distinct_count for r in profile(df, "t", approx=True).collect()}
     assert pa == {"k": 2, "v": 2}
+
+
+def test_silver_and_quarantine_partition_bronze(spark):
+    """Every bronze row is either accepted by silver or quarantined with a reason."""
+    from vellum.plans import catalog, client
+    bronze = catalog._client(spark, "/root/testdata/sf0.001").bronze["accounts"]
+    rules = {
+        "missing_account_id": F.col("account_id").isNull(),
+        "missing_account_name": F.col("account_name").isNull(),
+        "unparseable_signup_date": F.col("signup_date").try_cast("date").isNull(),
+        "negative_or_missing_mrr": ~F.coalesce(F.col("monthly_recurring_revenue") >= 0, F.lit(False)),
+    }
+    valid, bad = Q.quarantine(bronze, rules)
+    silver = client.silver_accounts(bronze)
+    assert valid.count() == silver.count() and bad.count() > 0
+    assert valid.count() + bad.count() == bronze.count()

@@ -8,9 +8,9 @@ the low 33 bits), and each partition's offset is the running total of the
 partition sizes — a table with one row per partition, so its broadcast is
 bounded by the partition count, not by the data.
 
-The sorted frame is checkpointed (reliable checkpoint in the shared
-``spark.checkpoint.dir``) so the count pass and the numbering pass see the
-same partitions even if an executor is lost in between.
+The tagged frame is written once (parquet under the shared
+``spark.checkpoint.dir``) so the count pass and the numbering pass read the
+same positions even if an executor is lost in between.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.session import ensure_checkpoint_dir
+from vellum.sources.tables import materialized
 
 _LOW_BITS = 33
 
@@ -32,8 +32,7 @@ def number_rows(df: DataFrame, order: list[Column], name: str = "row_number",
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     tagged = ranged.withColumn("_mid", F.monotonically_increasing_id())
     if checkpoint:
-        ensure_checkpoint_dir(spark)
-        tagged = tagged.checkpoint(eager=True)
+        tagged = materialized(tagged, name="numbering")
     pid = F.shiftright(F.col("_mid"), _LOW_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
     sizes = tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_size"))

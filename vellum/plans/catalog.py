@@ -30,7 +30,7 @@ _BUILT: dict[tuple, object] = {}
 
 def _memo(kind: str, spark, sf, build):
     """Lazy plans shared by the queries of one session (plans, not data)."""
-    key = (kind, id(spark), sf)
+    key = (kind, spark, sf.rstrip("/"))
     if key not in _BUILT:
         _BUILT[key] = build()
     return _BUILT[key]

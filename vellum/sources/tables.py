@@ -15,7 +15,7 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+_SCANS: dict[tuple[SparkSession, str], DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +26,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    key = (id(spark), table_path(sf_dir, name))
+    key = (spark, table_path(sf_dir, name))
     if key not in _SCANS:
         _SCANS[key] = spark.read.parquet(key[1])
     return _SCANS[key]
