@@ -51,16 +51,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     unset (local tests) a private scratch folder is created.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote session has no SparkContext
+        sc = None
     if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
         return configured
-    current = spark.sparkContext.getCheckpointDir()
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     local = tempfile.mkdtemp(prefix="vellum-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir() or local
     return local
 
 
