@@ -569,3 +569,38 @@ def _q_documents_profile(spark, sf):
     """G4 on documents (text distinctness on the digest of the whole text) and labels."""
     docs, labels = _documents(spark, sf)
     return _profile.profile(docs, "documents").unionByName(_profile.profile(labels, "labels"))
+
+
+# ------------------------------------------- focused operator queries ---
+@register("literals_and_casts")
+def _q_literals_and_casts(spark, sf):
+    """Key to text, date literal, typed NULL, decimal widening."""
+    inv = _snap(spark, sf).get("source", "invoices")
+    return inv.select(
+        F.col("account_id").cast("string").alias("account_key"),
+        F.col("invoice_id"),
+        F.lit("2025-03-31").cast("date").alias("reporting_period"),
+        F.lit(None).cast("decimal(14,2)").alias("no_amount"),
+        F.col("amount").cast("decimal(14,2)").alias("amount_14_2"),
+        F.lit("open").alias("status"))
+
+
+@register("earliest_deliveries")
+def _q_earliest_deliveries(spark, sf):
+    """Top-N ascending with NULLs last (Spark's ascending default
+    puts NULLs first; the reference engine puts them last)."""
+    fact = _fact(spark, sf)
+    return (fact.select("order_id", "actual_delivery_date", "carrier")
+            .orderBy(F.col("actual_delivery_date").asc_nulls_last(), F.col("order_id")).limit(10))
+
+
+@register("filtered_vs_conditional_sum")
+def _q_filtered_vs_conditional(spark, sf):
+    """A8 vs A9: a filtered sum is NULL when no row matches, a conditional
+    sum with ELSE 0 is 0."""
+    inv = _client(spark, sf).invoices
+    paid = F.col("invoice_status") == "paid"
+    return (inv.groupBy("account_id")
+            .agg(F.sum(F.when(paid, F.col("amount"))).cast("decimal(22,2)").alias("paid_filtered"),
+                 F.sum(F.when(paid, F.col("amount")).otherwise(F.lit(0))).cast("decimal(22,2)").alias("paid_conditional"),
+                 F.count_if(~paid).alias("unpaid_invoices")))
