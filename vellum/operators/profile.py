@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellum.functions import ratio_pct
+
 
 def profile(df: DataFrame, table_name: str, columns: list[str] | None = None,
             approx: bool = False, rsd: float = 0.01) -> DataFrame:
@@ -26,3 +28,17 @@ def profile(df: DataFrame, table_name: str, columns: list[str] | None = None,
     return (g.select(F.col("_rows").alias("row_count"), F.explode(rows).alias("p"))
             .select(F.lit(table_name).alias("table_name"), "p.column_name", "row_count",
                     "p.null_count", "p.distinct_count"))
+
+
+def referential_coverage(child: DataFrame, fk: str, parent: DataFrame, pk: str,
+                         label: str) -> DataFrame:
+    """How many child rows find their parent (per-key counts joined to the
+    distinct parent keys, so a hot foreign key is one row before the join)."""
+    per_key = child.groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    parents = parent.select(F.col(pk).alias("_k")).distinct().withColumn("_hit", F.lit(True))
+    j = per_key.join(parents, "_k", "left")
+    g = j.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("child_rows"),
+              F.coalesce(F.sum(F.when(F.col("_hit"), F.col("_n"))), F.lit(0)).alias("matched_rows"))
+    return g.select(F.lit(label).alias("relationship"), F.col("child_rows").cast("long").alias("child_rows"),
+                    F.col("matched_rows").cast("long").alias("matched_rows"),
+                    ratio_pct("matched_rows", "child_rows").alias("coverage_pct"))

@@ -29,7 +29,8 @@ _BUILT: dict[tuple, object] = {}
 
 
 def _memo(kind: str, spark, sf, build):
-    """Lazy plans shared by the queries of one session (plans, not data)."""
+    """Inputs shared by the queries of one session: a lazy plan, or a layer
+    written once per run (silver, the order fact) that later queries read."""
     key = (kind, spark, sf.rstrip("/"))
     if key not in _BUILT:
         _BUILT[key] = build()
@@ -63,7 +64,8 @@ def _q_trips_month(spark, sf):
 
 # ------------------------------------------------------------------ E ---
 def _silver(spark, sf) -> revenue.Silver:
-    return _memo("revenue", spark, sf, lambda: revenue.Silver.from_tables(Tables(spark, sf), materialize=True).materialize_all())
+    return _memo("revenue", spark, sf,
+                 lambda: revenue.Silver.from_tables(Tables(spark, sf), materialize=True).materialize_all())
 
 
 def _silver_query(entity: str):
@@ -89,7 +91,8 @@ def _q_dim_product(spark, sf):
 def _fact(spark, sf):
     """The order fact, materialized once per run like the gold table it is."""
     from vellum.sources.tables import materialized
-    return _memo("fact", spark, sf, lambda: materialized(revenue.fact_order(_silver(spark, sf)), name="gold-fact-order"))
+    return _memo("fact", spark, sf,
+                 lambda: materialized(revenue.fact_order(_silver(spark, sf)), name="gold-fact-order"))
 
 
 @register("fact_order")
@@ -143,7 +146,8 @@ from vellum.plans import client, migration  # noqa: E402
 
 
 def _client(spark, sf) -> client.Silver:
-    return _memo("client", spark, sf, lambda: client.Silver.from_tables(Tables(spark, sf), materialize=True).materialize_all())
+    return _memo("client", spark, sf,
+                 lambda: client.Silver.from_tables(Tables(spark, sf), materialize=True).materialize_all())
 
 
 for _entity, _qname in (("accounts", "silver_accounts"), ("invoices", "silver_invoices"),
@@ -188,7 +192,8 @@ def _q_quality_revenue(spark, sf):
 
 # ------------------------------------------------------------------ M ---
 def _snap(spark, sf) -> migration.Snapshots:
-    return _memo("migration", spark, sf, lambda: migration.Snapshots.from_tables(Tables(spark, sf), materialize=True).materialize_all())
+    return _memo("migration", spark, sf,
+                 lambda: migration.Snapshots.from_tables(Tables(spark, sf), materialize=True).materialize_all())
 
 
 for _side in migration.SIDES:
@@ -604,3 +609,14 @@ def _q_filtered_vs_conditional(spark, sf):
             .agg(F.sum(F.when(paid, F.col("amount"))).cast("decimal(22,2)").alias("paid_filtered"),
                  F.sum(F.when(paid, F.col("amount")).otherwise(F.lit(0))).cast("decimal(22,2)").alias("paid_conditional"),
                  F.count_if(~paid).alias("unpaid_invoices")))
+
+
+@register("referential_coverage")
+def _q_referential_coverage(spark, sf):
+    """Share of child rows with a parent, for every contract foreign key."""
+    parts = []
+    for product, child, fk, parent, pk in CONTRACT_FKS:
+        parts.append(_profile.referential_coverage(_product_table(spark, sf, product, child), fk,
+                                                   _product_table(spark, sf, product, parent), pk,
+                                                   f"{child}.{fk} -> {parent}.{pk}"))
+    return _reduce(_DF.unionByName, parts)
