@@ -78,8 +78,24 @@ def test_delivery_manifest(spark):
     from vellum.plans import client
     s = silver(spark)
     checks = {r.check_name: r.incidents for r in client.quality_report(s).collect()}
-    row = pipeline._collect_row(pipeline.delivery_manifest(client.client_scorecard(s), s.bronze, checks,
+    source_rows = {n: df.count() for n, df in s.bronze.items()}
+    row = pipeline._collect_row(pipeline.delivery_manifest(client.client_scorecard(s), source_rows, checks,
                                                            "acme", "2025-03-31", 2.5, 24))
     assert (row["delivery_id"], row["reporting_period"], row["delivery_status"]) == ("acme-2025-03", "2025-03", "accepted")
     assert row["quality_gate"]["source_rows"]["accounts"] == 5
     assert row["scorecard"]["active_accounts"] == 2 and row["sla"]["status"] == "within_target"
+
+
+def test_trips_run_reads_the_month_file(spark):
+    import datetime as dt
+    src = _out(spark, "tlc")
+    row = (1, dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 10, 15), 1.0, 2.0, 1, 2, 3, 1, 10.0, 1.0, 0.0, 12.0)
+    spark.createDataFrame([row], "VendorID long, tpep_pickup_datetime timestamp_ntz, "
+                                 "tpep_dropoff_datetime timestamp_ntz, passenger_count double, trip_distance double, "
+                                 "RatecodeID long, PULocationID long, DOLocationID long, payment_type long, "
+                                 "fare_amount double, tip_amount double, tolls_amount double, total_amount double") \
+        .write.parquet(files.monthly_file(src, "2024-01"))
+    s = pipeline.run_trips(spark, None, _out(spark, "trips-file"), month="2024-01", source_dir=src)
+    assert s["quality"]["raw_rows"] == 1 and s["metric_days"] == 1
+    with pytest.raises(FileNotFoundError):
+        pipeline.run_trips(spark, None, _out(spark, "trips-file"), month="2024-02", source_dir=src)

@@ -22,6 +22,11 @@ CSV_OPTIONS = {
 }
 
 
+def monthly_file(source_dir: str, month: str) -> str:
+    """The file of one month of trips (month validated by the caller)."""
+    return f"{source_dir.rstrip('/')}/yellow_tripdata_{month}.parquet"
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              corrupt_column: str | None = None) -> DataFrame:
     """Header CSV; with a contract schema there is no inference pass.
