@@ -58,13 +58,19 @@ def test_trip_filters_reach_the_scan(spark):
     assert "l_returnflag" not in scan and "l_discount" not in scan      # only the columns used are read
 
 
-def test_fact_has_one_exchange_per_input_at_scale(spark):
+def test_fact_exchanges_at_scale(spark):
+    """Broadcast off (the large-input shape): unbucketed silver gives one
+    exchange per fact input; silver bucketed on order_id gives none."""
+    from vellum.sources.tables import Tables
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        s = catalog._silver(spark, "/root/testdata/sf0.001")
-        plan = _plan(revenue.fact_order(s))
+        plain_silver = revenue.Silver.from_tables(Tables(spark, "/root/testdata/sf0.001"),
+                                                  materialize=True).materialize_all(bucketed=False)
+        plain = _plan(revenue.fact_order(plain_silver))
+        bucketed = _plan(revenue.fact_order(catalog._silver(spark, "/root/testdata/sf0.001")))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # orders + four per-order rollups; the chained joins on order_id reuse it
-    assert plan.count("Exchange hashpartitioning(order_id") == 5
-    assert plan.count("SortMergeJoin") == 4 and "CartesianProduct" not in plan
+    assert plain.count("Exchange hashpartitioning(order_id") == 5
+    assert "Exchange" not in bucketed and bucketed.count("SortMergeJoin") == 4
+    assert "CartesianProduct" not in plain + bucketed

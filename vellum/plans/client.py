@@ -105,9 +105,11 @@ class Silver:
             self._s[name] = materialized(SILVER[name](self.bronze[name]), self.materialize, f"silver-{name}")
         return self._s[name]
 
-    def materialize_all(self) -> "Silver":
+    def materialize_all(self, bucketed: bool = True) -> "Silver":
+        """Write every silver table; ``bucketed`` co-locates them on account_id."""
         todo = {n: SILVER[n](self.bronze[n]) for n in SILVER if n not in self._s}
-        self._s.update(materialize_all(todo, "silver"))
+        keys = {n: "account_id" for n in todo} if bucketed else None
+        self._s.update(materialize_all(todo, "silver", bucket_by=keys))
         return self
 
     def tables(self) -> dict[str, DataFrame]:

@@ -108,9 +108,12 @@ class Snapshots:
                                                    f"silver-{side}-{entity}")
         return self._s[(side, entity)]
 
-    def materialize_all(self) -> "Snapshots":
+    def materialize_all(self, bucketed: bool = True) -> "Snapshots":
+        """Write both snapshots; ``bucketed`` co-locates source and target of
+        an entity on its key, so the key reconcile needs no exchange."""
         todo = {k: silver(k[1], b) for k, b in self.bronze.items() if k not in self._s}
-        self._s.update(materialize_all(todo, "silver"))
+        keys = {k: ENTITIES[k[1]][0] for k in todo} if bucketed else None
+        self._s.update(materialize_all(todo, "silver", bucket_by=keys))
         return self
 
 

@@ -20,6 +20,10 @@ from vellum.sources import adapters
 from vellum.sources.tables import Tables, materialize_all, materialized
 
 ORDER_STATUSES = ("delivered", "shipped", "cancelled")
+# silver tables are bucketed on the key they are joined and grouped on most
+BUCKET_KEYS = {"orders": "order_id", "order_items": "order_id", "payments": "order_id",
+               "refunds": "order_id", "shipments": "order_id", "customers": "customer_id",
+               "products": "product_id"}
 KEY = "long"  # ids are BIGINT: INTEGER order keys overflow past ~2^31 orders
 
 
@@ -130,10 +134,11 @@ class Silver:
             self._silver[name] = materialized(SILVER[name](self.bronze[name]), self.materialize, f"silver-{name}")
         return self._silver[name]
 
-    def materialize_all(self) -> "Silver":
-        """Write every silver table (concurrent jobs) and read them back."""
+    def materialize_all(self, bucketed: bool = True) -> "Silver":
+        """Write every silver table (concurrent jobs) and read them back;
+        ``bucketed`` co-locates the order children with orders on order_id."""
         todo = {n: SILVER[n](self.bronze[n]) for n in SILVER if n not in self._silver}
-        self._silver.update(materialize_all(todo, "silver"))
+        self._silver.update(materialize_all(todo, "silver", bucket_by=BUCKET_KEYS if bucketed else None))
         return self
 
 
