@@ -23,29 +23,33 @@ from vellum.sources import adapters, files
 from vellum.sources.tables import Tables
 
 
-def write_layer(frames: dict, base: str, parallel: int = 8,
-                counts: dict | None = None) -> dict[str, DataFrame]:
+def write_layer(frames: dict, base: str, parallel: int = 8, counts: dict | None = None,
+                bucket_by: dict | None = None) -> dict[str, DataFrame]:
     """Write each frame to ``base/<name>`` (concurrent jobs) and read them back.
 
     With ``counts``, each table's row count is observed while it is written
     (``DataFrame.observe``), so the run evidence needs no second scan.
+    ``bucket_by`` maps a table to the key it is bucketed on.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark.sql import Observation
-    spark = next(iter(frames.values())).sparkSession
+
+    from vellum.sources.tables import write_table
+    keys = bucket_by or {}
 
     def one(item):
         name, df = item
         label = name if isinstance(name, str) else "_".join(name)
         path = f"{base.rstrip('/')}/{label}"
+        obs = None
         if counts is not None:
             obs = Observation(f"rows_{label}_{time.time_ns()}")
-            files.write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path)
+            df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        written = write_table(df, path, keys.get(name))
+        if obs is not None:
             counts[label] = int(obs.get["rows"])
-        else:
-            files.write_parquet(df, path)
-        return name, spark.read.parquet(path)
+        return name, written
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(frames)))) as pool:
         return dict(pool.map(one, frames.items()))
@@ -121,7 +125,8 @@ def run_revenue(spark: SparkSession, sf_dir: str, out_dir: str, incremental_load
     observed = {"bronze": {}, "silver": {}, "gold": {}}
     bronze = write_layer(raw, f"{out_dir}/bronze", counts=observed["bronze"])
     s = revenue.Silver.from_silver(write_layer({n: revenue.SILVER[n](bronze[n]) for n in revenue.SILVER},
-                                               f"{out_dir}/silver", counts=observed["silver"]))
+                                               f"{out_dir}/silver", counts=observed["silver"],
+                                               bucket_by=revenue.BUCKET_KEYS))
     checks = Q.gate(revenue.quality_report(s))
 
     fact_base = f"{out_dir}/gold/fact_order"
@@ -179,7 +184,7 @@ def run_client(spark: SparkSession, sf_dir: str, out_dir: str, client_id: str =
     source_rows: dict[str, int] = {}
     bronze = write_layer(raw, f"{out_dir}/bronze", counts=source_rows)
     s = client.Silver.from_silver(write_layer({n: client.SILVER[n](bronze[n]) for n in client.SILVER},
-                                              f"{out_dir}/silver"))
+                                              f"{out_dir}/silver", bucket_by={n: "account_id" for n in client.SILVER}))
     checks = Q.gate(client.quality_report(s))
     gold = write_layer({"gold_client_scorecard": client.client_scorecard(s, client_id, reporting_period),
                         "gold_account_health": client.account_health(s),
@@ -227,7 +232,8 @@ def run_migration(spark: SparkSession, sf_dir: str, out_dir: str,
         raw[("target", e)] = adapters.migration_target(t, e)
     bronze = write_layer(raw, f"{out_dir}/bronze")
     m = migration.Snapshots.from_silver(write_layer({k: migration.silver(k[1], b) for k, b in bronze.items()},
-                                                    f"{out_dir}/silver"))
+                                                    f"{out_dir}/silver",
+                                                    bucket_by={k: migration.ENTITIES[k[1]][0] for k in bronze}))
     checks = Q.gate(migration.quality_report(m))
     recon = migration.reconciliation(m)
     gold = write_layer({"gold_reconciliation": recon, "gold_exception_queue": migration.exception_queue(m)},

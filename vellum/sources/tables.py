@@ -70,18 +70,25 @@ def materialized(df: DataFrame, enabled: bool = True, name: str = "layer",
     """
     if not enabled:
         return df
-    import re
     import uuid
 
     from vellum.session import work_dir
+    path = work_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    return write_table(df, path, bucket_by, buckets)
+
+
+def write_table(df: DataFrame, path: str, bucket_by: str | None = None,
+                buckets: int | None = None) -> DataFrame:
+    """Write ``df`` as parquet at ``path`` (bucketed on ``bucket_by`` as an
+    external table when given) and return the written table."""
+    import re
+    import uuid
     spark = df.sparkSession
-    tag = uuid.uuid4().hex[:12]
-    path = work_dir(spark, f"{name}-{tag}")
     if bucket_by is None:
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = re.sub(r"[^A-Za-z0-9_]", "_", f"vellum_{name}_{tag}")
+    table = re.sub(r"[^A-Za-z0-9_]", "_", f"vellum_{path.rstrip('/').rsplit('/', 1)[-1]}_{uuid.uuid4().hex[:8]}")
     (df.repartition(n, bucket_by).write.mode("overwrite").option("path", path)
      .bucketBy(n, bucket_by).sortBy(bucket_by).format("parquet").saveAsTable(table))
     return spark.table(table)
