@@ -61,7 +61,19 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """True if ``path`` resolves through Spark's data source file listing."""
+    """True if ``path`` exists, asked of the Hadoop file system the session
+    uses (any URI scheme the cluster is configured for).
+
+    A remote session without a JVM gateway falls back to resolving the path
+    through a data source."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - remote session: no gateway
+        jvm = None
+    if jvm is not None:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(conf).exists(p))
     from pyspark.errors import AnalysisException
     try:
         spark.read.format("binaryFile").load(path).schema  # noqa: B018 - resolves the path
