@@ -105,8 +105,10 @@ class Silver:
             self._s[name] = materialized(SILVER[name](self.bronze[name]), self.materialize, f"silver-{name}")
         return self._s[name]
 
-    def materialize_all(self, bucketed: bool = True) -> "Silver":
-        """Write every silver table; ``bucketed`` co-locates them on account_id."""
+    def materialize_all(self, bucketed: bool = False) -> "Silver":
+        """Write every silver table; ``bucketed`` co-locates them on account_id
+        (off by default: only the account rollups reuse that key, so the
+        bucketing shuffle at write time would not be repaid)."""
         todo = {n: SILVER[n](self.bronze[n]) for n in SILVER if n not in self._s}
         keys = {n: "account_id" for n in todo} if bucketed else None
         self._s.update(materialize_all(todo, "silver", bucket_by=keys))

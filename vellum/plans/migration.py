@@ -108,9 +108,11 @@ class Snapshots:
                                                    f"silver-{side}-{entity}")
         return self._s[(side, entity)]
 
-    def materialize_all(self, bucketed: bool = True) -> "Snapshots":
+    def materialize_all(self, bucketed: bool = False) -> "Snapshots":
         """Write both snapshots; ``bucketed`` co-locates source and target of
-        an entity on its key, so the key reconcile needs no exchange."""
+        an entity on its key, so the key reconcile needs no exchange (off by
+        default: the key is used by one reconcile per side, which the
+        bucketing shuffle at write time would cost as much as it saves)."""
         todo = {k: silver(k[1], b) for k, b in self.bronze.items() if k not in self._s}
         keys = {k: ENTITIES[k[1]][0] for k in todo} if bucketed else None
         self._s.update(materialize_all(todo, "silver", bucket_by=keys))
