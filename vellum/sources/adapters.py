@@ -6,7 +6,10 @@ dates as text where the product parses them). The silver builders in
 ``vellum.plans`` then apply the products' own typing and filtering rules.
 
 All rules are row-local projections or keyed aggregations, so every
-entity scales with its driver table; no row is dropped or capped here.
+entity scales with its driver table; no source row is dropped or capped.
+The one exception is deliberate: the migration *target* snapshot loses,
+doubles and shifts records by fixed key rules — the defects the
+reconciliation has to find.
 """
 
 from __future__ import annotations
