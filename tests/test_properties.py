@@ -91,3 +91,33 @@ def test_gate_counts_match_sql_semantics(spark, parent, child):
     assert rep["nul"] == parent.count(None)
     present = {x for x in parent if x is not None}
     assert rep["orph"] == sum(1 for x in child if x is None or x not in present)   # NOT EXISTS
+
+
+trip_rows = st.lists(st.tuples(
+    st.integers(0, 3),                                   # pickup day offset
+    st.integers(-2, 2),                                  # drop-off minus pick-up, hours
+    st.one_of(st.none(), st.integers(-3, 30)),           # distance
+    st.one_of(st.none(), st.integers(-500, 5000))),      # total, cents
+    max_size=30)
+
+
+@SETTINGS
+@given(rows=trip_rows)
+def test_trip_acceptance_accounts_for_every_row(spark, rows):
+    import datetime as dt
+
+    from vellum.plans import trips
+    base = dt.datetime(2024, 1, 1, 12)
+    data = [(base + dt.timedelta(days=d), base + dt.timedelta(days=d, hours=h), 1.0,
+             None if dist is None else float(dist), None if cents is None else cents / 100)
+            for d, h, dist, cents in rows]
+    raw = spark.createDataFrame(data, "pickup_at timestamp_ntz, dropoff_at timestamp_ntz, passenger_count double, "
+                                      "trip_distance double, total_amount double")
+    r = trips.quality_report(raw).first()
+    assert r.raw_rows == len(rows) == r.staged_rows + r.dropped_rows
+    assert r.dropped_rows == r.invalid_rows_detected + r.null_measure_rows
+    assert r.invalid_rows_after_cleaning == 0
+    daily = trips.daily_metrics(trips.staged_trips(raw)).collect()
+    assert sum(x.trip_count for x in daily) == r.staged_rows
+    staged = [t for t in data if t[1] >= t[0] and t[3] is not None and t[3] >= 0 and t[4] is not None and t[4] >= 0]
+    assert len(staged) == r.staged_rows
