@@ -219,7 +219,12 @@ def _q_reconcile_keys(spark, sf):
 
 @register("exception_queue")
 def _q_exception_queue(spark, sf):
-    return migration.exception_queue(_snap(spark, sf))
+    return _queue(spark, sf)
+
+
+def _queue(spark, sf):
+    """The numbered queue is a gold table: numbered and written once per run."""
+    return _memo("exception_queue", spark, sf, lambda: migration.exception_queue(_snap(spark, sf)))
 
 
 @register("exceptions_ranked")
@@ -263,7 +268,7 @@ def _gold_models(spark, sf) -> dict:
     models = revenue.gold_models(s, _fact(spark, sf))
     models.update(client.gold(c))
     models["gold_reconciliation"] = migration.reconciliation(m)
-    queue = migration.exception_queue(m)
+    queue = _queue(spark, sf)
     models["gold_exception_queue"] = queue
     models["gold_cutover_readiness"] = migration.cutover_readiness(queue, models["gold_reconciliation"])
     return models
