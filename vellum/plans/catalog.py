@@ -625,3 +625,29 @@ def _q_referential_coverage(spark, sf):
                                                    _product_table(spark, sf, product, parent), pk,
                                                    f"{child}.{fk} -> {parent}.{pk}"))
     return _reduce(_DF.unionByName, parts)
+
+
+# ------------------------------------------------------------ manifests ---
+@register("migration_manifest")
+def _q_migration_manifest(spark, sf):
+    """V4: decision, exceptions by severity, checklist and reconciliation in one row."""
+    from vellum.plans import pipeline
+    m = _snap(spark, sf)
+    recon = migration.reconciliation(m)
+    queue = _queue(spark, sf)
+    gold = {"gold_reconciliation": recon, "gold_exception_queue": queue,
+            "gold_cutover_readiness": migration.cutover_readiness(queue, recon)}
+    return pipeline.migration_manifest(gold, migration.quality_report(m), migration.DEFAULT_MIGRATION_ID, 0.0, 24)
+
+
+@register("delivery_manifest")
+def _q_delivery_manifest(spark, sf):
+    """V3: the client delivery row (gate checks and source counts are small
+    collected reports; the scorecard stays a Spark aggregate)."""
+    from vellum.plans import pipeline
+    c = _client(spark, sf)
+    checks = {r["check_name"]: int(r["incidents"]) for r in client.quality_report(c).collect()}
+    counts = {r["table_name"]: int(r["row_count"])
+              for r in evidence.layer_counts({"bronze": c.bronze}).collect()}
+    return pipeline.delivery_manifest(client.client_scorecard(c), counts, checks, client.DEFAULT_CLIENT_ID,
+                                      client.DEFAULT_PERIOD, 0.0, 24)

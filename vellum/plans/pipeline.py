@@ -204,15 +204,17 @@ def delivery_manifest(scorecard: DataFrame, source_rows: dict[str, int], checks:
                                         for x in (F.lit(k), F.lit(int(v)).cast("long"))]).alias("source_rows"))
     within = duration <= target_hours * 3600
     period = reporting_period[:7]
+    passed = not any(checks.values())
+    score = round(100 * sum(1 for v in checks.values() if not v) / len(checks)) if checks else 100
     return g.select(
         F.lit(client_id).alias("client_id"),
         F.lit(f"{client_id}-{period}").alias("delivery_id"),
-        F.lit("accepted").alias("delivery_status"),
+        F.lit("accepted" if passed else "held").alias("delivery_status"),
         F.lit(period).alias("reporting_period"),
         F.array(*[F.lit(d) for d in ("client_scorecard", "account_health", "daily_operations")]).alias("deliverables"),
-        F.struct(F.lit("passed").alias("status"),
+        F.struct(F.lit("passed" if passed else "failed").alias("status"),
                  F.create_map(*[x for k, v in checks.items() for x in (F.lit(k), F.lit(v))]).alias("checks"),
-                 F.lit(100).alias("score"), F.col("source_rows")).alias("quality_gate"),
+                 F.lit(score).alias("score"), F.col("source_rows")).alias("quality_gate"),
         F.struct(F.lit(target_hours).alias("target_hours"), F.lit(duration).alias("actual_duration_seconds"),
                  F.lit("within_target" if within else "missed").alias("status")).alias("sla"),
         "scorecard",
