@@ -99,3 +99,14 @@ def test_trips_run_reads_the_month_file(spark):
     assert s["quality"]["raw_rows"] == 1 and s["metric_days"] == 1
     with pytest.raises(FileNotFoundError):
         pipeline.run_trips(spark, None, _out(spark, "trips-file"), month="2024-02", source_dir=src)
+
+
+def test_migration_run_stops_at_the_source_gate(spark):
+    # accounts with a negative monthly value are dropped by silver, so the
+    # invoices and transactions of those accounts are orphans in the source
+    out = _out(spark, "migration")
+    with pytest.raises(Q.QualityGateError) as err:
+        pipeline.run_migration(spark, SF, out)
+    assert err.value.report["orphan_source_invoices"] > 0
+    assert err.value.report["duplicate_source_accounts"] == 0
+    assert not files.exists(spark, f"{out}/gold")
