@@ -70,3 +70,13 @@ def test_stream_appends_above_watermark_and_is_incremental(spark):
     got = stream.read_fact(spark, base).collect()
     assert sorted(r.order_id for r in got) == [1, 2, 7, 8, 9]
     assert {r.note for r in got} == {"O1", "O2", "O7", "O8", "O9"}
+
+
+def test_apply_changes_picks_up_corrections_to_old_keys(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "order_id long, note string")
+    cur = spark.createDataFrame([(1, "a"), (2, "B"), (4, "d")], "order_id long, note string")
+    merged = sorted((r.order_id, r.note) for r in inc.apply_changes(old, cur, "order_id").collect())
+    assert merged == [(1, "a"), (2, "B"), (4, "d")]                      # equals the current snapshot
+    # the watermark load keeps the stale row 2 and the removed row 3
+    stale = sorted((r.order_id, r.note) for r in inc.append_above_watermark(old, cur, "order_id").collect())
+    assert stale == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]

@@ -70,6 +70,20 @@ def change_set(old: DataFrame, new: DataFrame, key: str, cols: list[str] | None
             .where(F.col("change_type").isNotNull()))
 
 
+def apply_changes(existing: DataFrame, current: DataFrame, key: str,
+                  changes: DataFrame | None = None) -> DataFrame:
+    """G3 feeding S5 as a true upsert: keep unchanged rows of ``existing``,
+    drop removed keys, take new and changed keys from ``current``.
+
+    Unlike the watermark mode this picks up corrections to old keys."""
+    cs = change_set(existing, current, key) if changes is None else changes
+    touched = cs.select(F.col("record_key").alias("_ck"), "change_type")
+    kept = existing.join(touched, F.col(key).cast("string") == F.col("_ck"), "left_anti")
+    taken = current.join(touched.where(F.col("change_type") != "removed"),
+                         F.col(key).cast("string") == F.col("_ck"), "left_semi")
+    return kept.unionByName(taken)
+
+
 # ------------------------------------------------------- versioned tables
 # A table is a folder of immutable versions ``v=<n>`` plus a ``versions``
 # log: a version becomes current when its number is appended to the log,

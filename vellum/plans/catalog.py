@@ -651,3 +651,26 @@ def _q_delivery_manifest(spark, sf):
               for r in evidence.layer_counts({"bronze": c.bronze}).collect()}
     return pipeline.delivery_manifest(client.client_scorecard(c), counts, checks, client.DEFAULT_CLIENT_ID,
                                       client.DEFAULT_PERIOD, 0.0, 24)
+
+
+def _fact_before_refunds(spark, sf):
+    """The fact as an earlier run built it, before any refund had arrived."""
+    s = _silver(spark, sf)
+    tables = {n: getattr(s, n) for n in revenue.SILVER}
+    tables["refunds"] = s.refunds.where(F.lit(False))
+    return revenue.fact_order(revenue.Silver.from_silver(tables))
+
+
+@register("fact_order_corrections")
+def _q_fact_corrections(spark, sf):
+    """Orders whose fact row changed since the earlier run (refunds are
+    corrections to old keys, which the watermark load cannot see)."""
+    cs = incremental.change_set(_fact_before_refunds(spark, sf), _fact(spark, sf), "order_id")
+    return cs.groupBy("change_type").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@register("fact_order_upsert")
+def _q_fact_upsert(spark, sf):
+    """S5 upsert mode: the earlier fact with every changed, new or removed
+    order applied — equal to a full refresh, touching only changed keys."""
+    return incremental.apply_changes(_fact_before_refunds(spark, sf), _fact(spark, sf), "order_id")
