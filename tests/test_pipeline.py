@@ -27,6 +27,10 @@ def test_revenue_run_full_then_incremental(spark):
     assert again["completed_net_revenue"] == first["completed_net_revenue"]
     latest = pipeline.latest_run(spark, out)
     assert latest["pipeline_mode"] == "incremental"
+    upserted = pipeline.run_revenue(spark, SF, out, upsert=True)
+    # same input again: the change set is empty and the fact is unchanged
+    assert upserted["fact_changes"] == {} and upserted["pipeline_mode"] == "upsert"
+    assert upserted["gold_rows"]["fact_order"] == first["gold_rows"]["fact_order"]
 
 
 def test_client_run_stops_at_the_gate(spark):

@@ -113,9 +113,12 @@ def run_trips(spark: SparkSession, sf_dir: str | None, out_dir: str, month: str
 
 
 # ------------------------------------------------------------------- E ---
-def run_revenue(spark: SparkSession, sf_dir: str, out_dir: str, incremental_load: bool = False) -> dict:
-    """E: the revenue run; ``incremental_load`` appends to the versioned fact
-    instead of replacing it."""
+def run_revenue(spark: SparkSession, sf_dir: str, out_dir: str, incremental_load: bool = False,
+                upsert: bool = False) -> dict:
+    """E: the revenue run; ``incremental_load`` appends orders above the key
+    watermark to the versioned fact instead of replacing it; ``upsert``
+    applies the change set against the stored fact instead (new, changed and
+    removed orders, so corrections to old orders are picked up)."""
     started = time.time()
     t = Tables(spark, sf_dir)
     raw = {n: b(t) for n, b in adapters.REVENUE_SOURCES.items()}
@@ -130,9 +133,17 @@ def run_revenue(spark: SparkSession, sf_dir: str, out_dir: str, incremental_load
     checks = Q.gate(revenue.quality_report(s))
 
     fact_base = f"{out_dir}/gold/fact_order"
-    existing = incremental.read_current(spark, fact_base) if incremental_load else None
+    existing = incremental.read_current(spark, fact_base) if (incremental_load or upsert) else None
+    changes = None
     if existing is None:
         incremental.write_version(revenue.fact_order(s), fact_base)
+    elif upsert:
+        current = revenue.fact_order(s)
+        cs = incremental.change_set(existing, current, "order_id")
+        changes = {r["change_type"]: int(r["n"]) for r in cs.groupBy("change_type")
+                   .agg(F.count(F.lit(1)).alias("n")).collect()}
+        incremental.write_version(incremental.apply_changes(existing, current, "order_id", cs),
+                                  fact_base, expected_schema=existing.schema)
     else:
         mark = incremental.watermark(existing, "order_id")
         new = revenue.fact_order(s, s.orders.where(F.col("order_id") > F.lit(mark)))
@@ -149,11 +160,13 @@ def run_revenue(spark: SparkSession, sf_dir: str, out_dir: str, incremental_load
 
     counts = _counts_frame(spark, observed)
     summary = evidence.run_summary(counts, revenue.quality_report(s), revenue.run_totals(fact),
-                                   "incremental" if incremental_load else "full_refresh",
+                                   "upsert" if upsert else "incremental" if incremental_load else "full_refresh",
                                    round(time.time() - started, 3))
     out = _write_evidence(summary, f"{out_dir}/evidence/run={_stamp()}")
     out["quality_checks"] = checks
     out["data_tests"] = len(tests)
+    if changes is not None:
+        out["fact_changes"] = changes
     return out
 
 
