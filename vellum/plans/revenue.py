@@ -19,6 +19,7 @@ from vellum.functions import (MONEY, RATE, avg_money, days_between, money, money
 from vellum.sources import adapters
 from vellum.sources.tables import Tables, materialize_all, materialized
 
+# Accepted order statuses
 ORDER_STATUSES = ("delivered", "shipped", "cancelled")
 # silver tables are bucketed on the key they are joined and grouped on most
 BUCKET_KEYS = {"orders": "order_id", "order_items": "order_id", "payments": "order_id",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import avg2
 
-# Source column → (target name, type)
+# Source column → (target name, type), and the month format
 TRIP_COLUMNS = (
     ("VendorID", "vendor_id", "int"),
     ("tpep_pickup_datetime", "pickup_at", "timestamp_ntz"),
