@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.text import row_struct
+from vellum.llm.text import python_workers_import, row_struct
 
 #: entries of each table that a worker keeps (a full table starts anew), and
 #: code points of the longest string kept
@@ -270,6 +270,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str
     equal results; an empty table gives an empty result. A map over the scan:
     no shuffle.
     """
+    python_workers_import(docs.sparkSession)
     fields = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded binary" * with_ids
 
     @F.pandas_udf(fields)

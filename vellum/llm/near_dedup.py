@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from vellum.llm import fast_similarity as fs
 from vellum.llm.components import components
-from vellum.llm.text import written
+from vellum.llm.text import python_workers_import, written
 
 
 @dataclass(frozen=True)
@@ -167,6 +167,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     row without an id is kept unless a document with an id has its set; an
     empty table gives an empty result.
     """
+    python_workers_import(docs.sparkSession)
     s = settings
     sig = written(signatures(docs, id_col, text_col, s), "signatures")
     reps = written(sig.where("n_shingles > 0 AND id IS NOT NULL").groupBy("k1", "k2", "n_shingles")

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.text import row_struct
+from vellum.llm.text import python_workers_import, row_struct
 
 WORD_BREAKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -113,6 +113,7 @@ def quality_rules(docs: DataFrame, text_col: str = "text", bands: Bands = Bands(
     space has no word and fails the base rules; repeated rows get equal
     verdicts; an empty table gives an empty result.
     """
+    python_workers_import(docs.sparkSession)
     names = [n for n, _ in _FIELDS]
 
     @F.pandas_udf(", ".join(f"{n} {t}" for n, t in _FIELDS))

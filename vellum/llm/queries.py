@@ -13,6 +13,7 @@ from vellum.llm.line_dedup import dedup_lines
 from vellum.llm.mixing import Mix, mix_sources, word_count
 from vellum.llm.near_dedup import near_dedup
 from vellum.llm.quality_rules import quality_rules
+from vellum.llm.token_files import digest_row, new_folder, read_token_files, write_token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -21,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    folder = new_folder(spark)
+    write_token_files(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1, vocab_size=49408)
+    return read_token_files(spark, folder, "doc_id long, start long, n_tokens long, ids_crc32 long", digest_row)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return quality_rules(docs).select(
@@ -71,7 +79,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_rules, op3_near_dedup, op4_mixing, op6_line_dedup, op8_byte_bpe)}
+    f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_near_dedup, op4_mixing, op6_line_dedup, op8_byte_bpe)}
 
 _STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

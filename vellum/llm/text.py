@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+import sys
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.sources.tables import materialized
@@ -41,3 +44,14 @@ def row_struct(docs: DataFrame) -> Column:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back."""
     return materialized(df, name=f"llm-{name}")
+
+
+def python_workers_import(spark: SparkSession) -> None:
+    """Let the Python workers import the package from where the driver has
+    it (a checkout on a path that all nodes see; an installed package needs
+    nothing)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [*sys.path, os.environ.get("PYTHONPATH", "")]
+    env = spark.sparkContext.environment
+    if root in paths and root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
