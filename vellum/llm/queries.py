@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.llm.byte_bpe import encode_decode
+from vellum.llm.html_extract import extract_pages, fit_weights
+from vellum.llm.imatch import fingerprint_edits
 from vellum.llm.line_dedup import dedup_lines
 from vellum.llm.mixing import Mix, mix_sources, word_count
 from vellum.llm.near_dedup import near_dedup
@@ -78,8 +80,20 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc.doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")
 
 
+def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return fingerprint_edits(docs).withColumnRenamed("id", "doc_id")
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    found = extract_pages(pages, fit_weights(pages))
+    return found.select("page.page_id", "page.url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_near_dedup, op4_mixing, op6_line_dedup, op8_byte_bpe)}
+    f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_near_dedup, op4_mixing, op6_line_dedup, op8_byte_bpe, op9_imatch,
+                             op10_html_extraction)}
 
 _STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
