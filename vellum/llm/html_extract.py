@@ -37,6 +37,7 @@ UNSEEN = frozenset("script style noscript template head title textarea select op
 APART = frozenset("nav aside footer form dialog menu".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp "
                    "small span strike strong sub sup time tt u var wbr br input".split())
+TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tbody thead tr td th figure figcaption".split())
 MARKS = frozenset(("article", "main"))
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 #: parts of class and id names that stand for something else than the article
@@ -57,7 +58,9 @@ class Weights:
     words: dict[str, float] = field(default_factory=dict)
 
     def tag(self, kinds: tuple[str, ...]) -> float:
-        return min((self.tags[k] for k in kinds if k in self.tags), default=-1.0)
+        """The learned weight, or for a tag never learned one by its kind."""
+        usual = -0.1 if kinds[0] in INLINE else -0.3 if kinds[0] in TEXT_BLOCKS else -1.5
+        return min((self.tags[k] for k in kinds if k in self.tags), default=usual)
 
     def word(self, kinds: tuple[str, ...]) -> float:
         return min((self.words[k] for k in kinds if k in self.words), default=0.05 if kinds == ("a",) else 0.7)
