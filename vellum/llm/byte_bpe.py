@@ -207,6 +207,10 @@ class ByteBpe:
             self.parts_kept[word] = ids
         return ids
 
+    def count(self, piece: str) -> int:
+        """The number of tokens of one pre-token."""
+        return len(self.encode_piece(piece.encode("utf-8", "surrogatepass"))) if len(piece) > MAX_LENGTH else len(self._pieces(piece))
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 

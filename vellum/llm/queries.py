@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.llm.byte_bpe import encode_decode
+from vellum.llm.edit_counts import edited_counts, sample_edits
 from vellum.llm.html_extract import extract_pages, fit_weights
 from vellum.llm.imatch import fingerprint_edits
 from vellum.llm.line_dedup import dedup_lines
@@ -74,6 +75,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    counted = edited_counts(docs, sample_edits(), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return counted.select("doc.doc_id", "count.n_tokens", "count.edited_tokens", "count.n_pretokens", "count.n_encoded")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     coded = encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -92,7 +99,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_near_dedup, op4_mixing, op6_line_dedup, op8_byte_bpe, op9_imatch,
+    f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_near_dedup, op4_mixing, op6_line_dedup, op7_edit_counts, op8_byte_bpe, op9_imatch,
                              op10_html_extraction)}
 
 _STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
