@@ -53,15 +53,23 @@ def terms(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
+def term_counts(docs: DataFrame, text_col: str, least_docs: int) -> tuple[DataFrame, int]:
+    """(term, df) of the terms in at least ``least_docs`` documents, and the
+    number of documents."""
+    # a null term stands for "any document": it counts them in the same pass
+    any_document = F.array(F.lit(None).cast("long"))
+    counted = docs.select(F.explode(F.concat(any_document, terms(whole_text(text_col)))).alias("term"))
+    counts = written(counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+                     .where((F.col("df") >= least_docs) | F.col("term").isNull()), "term-counts")
+    n_docs = counts.where("term IS NULL").agg(F.max("df")).first()[0] or 0
+    return counts.where("term IS NOT NULL"), n_docs
+
+
 def lexicon(docs: DataFrame, text_col: str, s: Settings) -> DataFrame:
     """(term, slots): the terms inside the band and the random subsets that
     hold each of them."""
-    counted = docs.select(F.explode(F.concat(F.array(F.lit(None).cast("long")), terms(whole_text(text_col)))).alias("term"))
-    counts = written(counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-                     .where((F.col("df") >= s.least_docs) | F.col("term").isNull()), "term-counts")
-    n_docs = counts.where("term IS NULL").agg(F.max("df")).first()[0] or 0
-    inside = counts.where(F.col("term").isNotNull() & F.col("df").between(s.least_share * n_docs, s.most_share * n_docs))
-    # the null term stands for "any document": it counts them in the same pass
+    counts, n_docs = term_counts(docs, text_col, s.least_docs)
+    inside = counts.where(F.col("df").between(s.least_share * n_docs, s.most_share * n_docs))
     member = F.filter(F.transform(F.sequence(F.lit(0), F.lit(s.slots - 1)), lambda k: F.when(
         F.pmod(F.xxhash64(F.lit(31), k, F.col("term")), F.get(F.array(*[F.lit(d) for d in s.densities]),
                                                              (k / s.per_density).cast("int"))) == 0, k)),

@@ -16,6 +16,7 @@ from vellum.llm.line_dedup import dedup_lines
 from vellum.llm.mixing import Mix, mix_sources, word_count
 from vellum.llm.near_dedup import near_dedup
 from vellum.llm.quality_rules import quality_rules
+from vellum.llm.secret_scan import scan_secrets
 from vellum.llm.token_files import digest_row, new_folder, read_token_files, write_token_files
 
 
@@ -69,6 +70,13 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc.doc_id", "domain", "lang", "source", "n_tokens", "copies")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "lang", "text")
+    found = scan_secrets(docs, path=F.concat_ws("/", "source", "lang"))
+    return found.select("doc_id", "n", "start", F.char_length("candidate").cast("long").alias("length"),
+                        F.sha2(F.col("candidate").cast("binary"), 256).alias("candidate_sha256"), "probability", "kept")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return dedup_lines(docs).select("doc.doc_id", "n_lines", "n_dropped",
@@ -99,7 +107,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_near_dedup, op4_mixing, op6_line_dedup, op7_edit_counts, op8_byte_bpe, op9_imatch,
+    f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_near_dedup, op4_mixing, op5_secret_scan, op6_line_dedup, op7_edit_counts, op8_byte_bpe, op9_imatch,
                              op10_html_extraction)}
 
 _STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
