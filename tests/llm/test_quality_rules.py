@@ -1,0 +1,71 @@
+import random
+
+import pytest
+import zstandard
+
+from vellum.llm import queries
+from vellum.llm.quality_rules import Bands, quality_rules, repeat_words
+
+from .conftest import SF
+
+
+def brute_repeat(words):
+    n, covered = len(words), set()
+    windows = [tuple(words[i:i + 8]) for i in range(n - 7)]
+    for i, w in enumerate(windows):
+        if windows.count(w) > 1:
+            covered.update(range(i, i + 8))
+    return len(covered)
+
+
+def brute(text):
+    words = text.encode().split()
+    lines = [x for x in text.split("\n") if x.encode().split()]
+    return (len(words), sum(len(w.decode()) for w in words), sum(c in "#*$%&|<>" for c in text),
+            sum(x in lines[:i] for i, x in enumerate(lines)), brute_repeat(words))
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_repeated_windows(seed):
+    rng = random.Random(seed)
+    words = [rng.choice([b"a", b"b", b"c"][:rng.randint(1, 3)]) for _ in range(rng.randint(0, 60))]
+    assert repeat_words(words) == brute_repeat(words)
+
+
+def test_query_equals_brute_force(spark, texts):
+    rows = {r.doc_id: r for r in queries.op2_quality_rules(spark, SF).collect()}
+    assert rows.keys() == texts.keys()
+    packer = zstandard.ZstdCompressor(level=3)
+    for i, t in texts.items():
+        r, want = rows[i], brute(t)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0])
+        assert not (r.kept and r.base_failed)
+        if t:
+            assert r.whole_ratio == pytest.approx(len(t.encode()) / len(packer.compress(t.encode())))
+
+
+def test_clean_documents_stay(spark):
+    labels = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/labels.parquet").where("quality = 1")
+    rows = queries.op2_quality_rules(spark, SF.replace("0.001", "0.01")).join(labels, "doc_id").collect()
+    assert len(rows) > 200 and not [r.doc_id for r in rows if not r.base_failed and not r.kept]
+
+
+def test_bands_reject_both_ways(make_docs):
+    rng = random.Random(1)
+    templated = "\n".join(f"Item number {i} of the list is in stock, order it now for only {i} coins today" for i in range(300))
+    encoded = "".join(chr(rng.randint(0x4E00, 0x9FFF)) + " " * (k % 3 == 0) for k in range(6000))
+    rows = quality_rules(make_docs([(1, templated), (2, encoded), (3, None), (4, "  \n\t"), (5, "word " * 500)]))
+    got = {r.doc_id: r for r in rows.select("doc.doc_id", "doc.kept", "quality.*").toDF(
+        "doc_id", "own", *rows.select("quality.*").columns).collect()}
+    assert not any(got[i].kept for i in range(1, 6)) and got[1].whole_ratio > Bands().limits(20000)[1]
+    assert got[2].whole_ratio < Bands().limits(20000)[0] and got[3].n_words == 0 and got[4].base_failed
+    assert {r.own for r in got.values()} == {"x"}
+
+
+def test_very_long_repeated_and_empty(make_docs):
+    rng = random.Random(2)
+    text = " ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(200_000))
+    rows = quality_rules(make_docs([(1, text), (1, text)])).select("quality.*").collect()
+    assert rows[0] == rows[1] and rows[0].n_words == 200_000
+    assert quality_rules(make_docs([])).collect() == []
