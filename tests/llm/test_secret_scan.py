@@ -1,0 +1,57 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from vellum.llm import queries
+from vellum.llm.secret_scan import CANDIDATE, Settings, constructed_findings, scan_secrets, train, with_coverage, with_features
+
+from .conftest import SF
+
+
+def test_every_candidate_with_its_place(spark):
+    docs = queries.table(spark, SF.replace("0.001", "0.01"), "documents")
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    rows = scan_secrets(docs, path=F.col("source")).collect()
+    want = {(i, m.start(), m.group()) for i, t in texts.items() for m in re.finditer(CANDIDATE, t)}
+    assert {(r.doc_id, r.start, r.candidate) for r in rows} == want and len(rows) == len(want)
+    for r in rows:
+        known = r.candidate.startswith("AKIA") or re.search(r"(password=|token = \")$", r.before)
+        assert r.kept == bool(known), r
+
+
+def test_held_out_accuracy(spark):
+    """Half of the constructed findings train the forest, the others test it."""
+    from vellum.llm.imatch import term_counts
+    docs = queries.table(spark, SF, "documents")
+    counts, n = term_counts(docs, "text", 2)
+    dictionary = counts.where(F.col("df") >= 0.001 * n).select("term")
+    every = constructed_findings(spark, 60).withColumn("half", F.pmod(F.xxhash64("candidate"), 2))
+    model, vectors = train(every.where("half = 0").drop("half"), dictionary, Settings(trees=12))
+    held = every.where("half = 1").withColumn("k", F.monotonically_increasing_id())
+    featured, _ = with_features(with_coverage(held, dictionary, ["k"]))
+    right = model.transform(vectors.transform(featured)).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+    assert right > 0.97
+
+
+def test_edge_cases(make_docs):
+    token = "0641917ea4e9feb9cda83477b57ac2654884f485"
+    docs = [(1, None), (2, ""), (3, f'token = "{token}"'), (3, f'token = "{token}"'), (None, f"fixed in commit {token} now"),
+            (4, "words without any"), (5, f'token = "{token}" ' + "é words " * 50_000 + f"commit {token}"), (6, "A1" * 30_000)]
+    rows = scan_secrets(make_docs(docs)).select("doc_id", "n", "start", "candidate", "kept").collect()
+    got = sorted((r.doc_id or 0, r.n, r.start, len(r.candidate)) for r in rows)
+    assert got == [(0, 1, 16, 40), (3, 1, 9, 40), (5, 1, 9, 40), (5, 2, 51 + 400_000 + 7, 40), (6, 1, 0, 60_000)]
+    kept = {(r.doc_id or 0, r.n): r.kept for r in rows}
+    assert kept[3, 1] and kept[5, 1] and not kept[0, 1] and not kept[5, 2]
+
+
+def test_empty_table(make_docs):
+    assert scan_secrets(make_docs([])).collect() == []
+
+
+@pytest.mark.parametrize("text, found", [
+    ("password=df8d805e67d533b696 x", ["df8d805e67d533b696"]), ("short a1b2", []), ("onlylettersandnodigits", []),
+    ("a 4349000490986231.", ["4349000490986231"]), ("YWJjZGVmZ2hpamts1Q==", ["YWJjZGVmZ2hpamts1Q=="])])
+def test_candidates(spark, text, found):
+    row = spark.range(1).select(F.regexp_extract_all(F.lit(text), F.lit(CANDIDATE), F.lit(0)).alias("f")).first()
+    assert row.f == found == re.findall(CANDIDATE, text)

@@ -211,7 +211,8 @@ def main_text(html: str | None, weights: Weights) -> str:
         return ""
     for forms_apart in (True, False):  # some pages are one large form
         tokens = Page(html, forms_apart).tokens
-        start, end = best_run([weights.tag(kinds) if text is None else
+        # what is left out anyway costs little, so it doesn't part the article
+        start, end = best_run([(-0.1 if apart else weights.tag(kinds)) if text is None else
                                0.0 if apart else weights.word(kinds) * len(text.split())
                                for kinds, text, _, apart, _ in tokens])
         blocks: dict[int, list[str]] = {}
