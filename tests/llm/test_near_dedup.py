@@ -63,7 +63,7 @@ def test_query_equals_brute_force(spark, texts):
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
 
 
-@pytest.mark.parametrize("settings", [Settings(), Settings(pairs_per_member=0, block=4)])
+@pytest.mark.parametrize("settings", [Settings(), Settings(block=4)])
 def test_groups_of_edited_copies(make_docs, settings):
     """Groups where not every pair is linked, chains, and copies of copies."""
     rng = random.Random(4)

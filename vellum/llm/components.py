@@ -16,8 +16,12 @@ from pyspark.sql import functions as F
 from vellum.llm.text import written
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether every node hangs on one node that hangs on none."""
+    ends = (edges.select(F.col("u").alias("n"), F.lit(1).alias("below"), F.lit(0).alias("above"))
+            .unionAll(edges.select("v", F.lit(0), F.lit(1))))
+    per = ends.groupBy("n").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return per.where((F.col("below") > 1) | ((F.col("below") > 0) & (F.col("above") > 0))).isEmpty()
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -30,8 +34,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     and either direction are fine."""
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     e = written(e, "edges")
-    mark = _mark(e)
-    while mark[0]:
+    while not _is_star_forest(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (both.join(_least(both).select("u", F.least("u", "m").alias("m")), "u")
                  .where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
@@ -40,8 +43,4 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v").where("u <> v").distinct(), "edges")
-        now = _mark(e)
-        if now == mark:
-            break
-        mark = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -12,9 +12,11 @@
    the text that the others were made from.
 4. Links are confirmed on the full shingle sets and joined into components.
 5. Only members of one bucket that lie in different components are compared
-   again: with other leaders while that is the cheaper way, and at last all
-   such pairs, in blocks, so no link is lost to the choice of leaders. Pairs
-   within a component can't change the result and are left out.
+   again, all such pairs, in blocks, so no link is lost to the choice of
+   leaders. Pairs within a component can't change the result and are left out.
+   So are pairs that can't be links because of the shingles that one of them
+   alone holds among all members still in question: in a large group of
+   edited copies that leaves few pairs of the far edits.
 
 With the default 20 bands of 4 coordinates a pair of similarity 0.85 shares a
 band but for a chance of 4e-7, and one of 0.9 but for 2e-9. A pair is checked
@@ -42,8 +44,7 @@ class Settings:
     """``percent``: least similarity of a link; ``shingle``: words; ``n_bands``
     bands of ``rows`` coordinates; ``min_agree``: share of agreeing coordinates
     that a pair needs to be checked; ``block``: members of one block when all
-    pairs of a bucket are compared; ``pairs_per_member``: pairs left between
-    components, per member, up to which they are compared at once."""
+    pairs of a bucket are compared."""
 
     percent: int = 85
     shingle: int = 5
@@ -51,7 +52,6 @@ class Settings:
     rows: int = 4
     min_agree: float = 0.6
     block: int = 512
-    pairs_per_member: int = 20
 
     @property
     def t(self) -> int:
@@ -91,10 +91,11 @@ def agreeing(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda e: e))
 
 
-def promising(s: Settings, n_a: str, n_b: str, a: str, b: str) -> Column:
-    """Pairs that may be links: sizes that allow it, and enough agreement."""
-    low, high = F.least(n_a, n_b), F.greatest(n_a, n_b)
-    return (low * 100 >= high * s.percent) & (agreeing(F.col(a), F.col(b)) >= int(s.min_agree * s.t))
+def promising(s: Settings, n_a: str, n_b: str, most: Column, a: str, b: str) -> Column:
+    """Pairs that may be links: an intersection of ``most`` shingles would do,
+    and enough coordinates agree."""
+    size = F.col(n_a) + F.col(n_b)
+    return (100 * most >= s.percent * (size - most)) & (agreeing(F.col(a), F.col(b)) >= int(s.min_agree * s.t))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
@@ -126,33 +127,52 @@ def _with_sketches(pairs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     side = lambda x: reps.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"),
                                  F.col("sketch").alias(f"sketch_{x}"))
     return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .where(promising(s, "n_a", "n_b", "sketch_a", "sketch_b")).select("a", "b"))
+            .where(promising(s, "n_a", "n_b", F.least("n_a", "n_b"), "sketch_a", "sketch_b")).select("a", "b"))
 
 
-def _star(members: DataFrame, priority: Column) -> DataFrame:
-    """(a, b): each member of a bucket with the bucket's leader, where they
-    lie in different components."""
-    leaders = (members.groupBy("h").agg(F.max(F.struct(priority.alias("p"), F.col("id"), F.col("comp"))).alias("top"))
-               .select("h", F.col("top.id").alias("b"), F.col("top.comp").alias("comp_b")))
-    return (members.join(leaders, "h").where("comp <> comp_b")
-            .select(F.col("id").alias("a"), "b").distinct())
+def _star(members: DataFrame) -> DataFrame:
+    """(a, b): each member of a bucket with the bucket's leader, the member
+    with the fullest buckets."""
+    leaders = (members.groupBy("h").agg(F.max(F.struct("fullness", F.col("id").alias("b"))).alias("top"))
+               .select("h", F.col("top.b").alias("b")))
+    return members.join(leaders, "h").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
 
 
-def _left_over(members: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
+def _held_alone(texts: DataFrame, s: Settings) -> DataFrame:
+    """(id, n_alone): the number of shingles that no other text holds."""
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                values = fs.shingle_hashes(raw.as_py() or b"", s.shingle).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), i)), pa.array(values)], names=["id", "shingle"])
+
+    return (texts.mapInArrow(explode, "id long, shingle long").groupBy("shingle")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")).where("n = 1")
+            .groupBy("id").agg(F.count(F.lit(1)).alias("n_alone")))
+
+
+def _left_over(members: DataFrame, reps: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """(a, b): all promising pairs of members of one bucket that lie in
     different components, compared block by block."""
-    sizes = members.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("n_blocks"))
-    full = (members.join(sizes, "h")
-            .join(reps.select("id", "n_shingles", "sketch"), "id")
+    asked = texts.join(members.select("id").distinct(), "id", "left_semi")
+    shared = F.col("n_shingles") - F.coalesce("n_alone", F.lit(0))
+    known = (reps.select("id", "n_shingles", "sketch").join(_held_alone(asked, s), "id", "left")
+             .select("id", "n_shingles", "sketch", shared.alias("most")))
+    # a text can't be linked with any if too few of its shingles are held elsewhere
+    able = members.join(known.where(100 * F.col("most") >= s.percent * F.col("n_shingles")), "id")
+    able = written(_mixed(able), "in-question")
+    sizes = able.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("n_blocks"))
+    full = (able.join(sizes, "h")
             .withColumn("own", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))))
-    left = full.select("h", F.col("own").alias("i"), F.col("other").alias("j"), F.col("id").alias("a"),
-                       F.col("comp").alias("comp_a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
-    right = full.select("h", F.col("other").alias("i"), F.col("own").alias("j"), F.col("id").alias("b"),
-                        F.col("comp").alias("comp_b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    side = lambda x, i, j: full.select(
+        "h", F.col("own").alias(i), F.col("other").alias(j), F.col("id").alias(x), F.col("comp").alias(f"comp_{x}"),
+        F.col("n_shingles").alias(f"n_{x}"), F.col("most").alias(f"most_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+    left, right = side("a", "i", "j"), side("b", "j", "i")
     on = [left[c] == right[c] for c in ("h", "i", "j")]
+    most = F.least("most_a", "most_b")
     return (left.join(right, [*on, left["a"] < right["b"], left["comp_a"] != right["comp_b"],
-                              promising(s, "n_a", "n_b", "sketch_a", "sketch_b")])
+                              promising(s, "n_a", "n_b", most, "sketch_a", "sketch_b")])
             .select("a", "b").distinct())
 
 
@@ -173,35 +193,22 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     reps = written(sig.where("n_shingles > 0 AND id IS NOT NULL").groupBy("k1", "k2", "n_shingles")
                    .agg(F.min("id").alias("id"), F.any_value("sketch").alias("sketch"), F.any_value("bands").alias("bands")),
                    "classes")
-    buckets = reps.select("id", F.explode("bands").alias("h")).distinct()
+    buckets = reps.select("id", F.explode("bands").alias("h"))
     shared = buckets.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = written(buckets.join(shared, "h"), "buckets")
-    fullness = members.groupBy("id").agg(F.sum("size").alias("fullness"))
+    fullness = written(members.groupBy("id").agg(F.sum("size").alias("fullness")), "fullness")
     texts = written(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("raw"))
                     .join(fullness.select("id"), "id", "left_semi"), "candidates")
-
-    own = members.join(fullness, "id").withColumn("comp", F.col("id"))
-    links = [written(confirmed(_with_sketches(_star(own, F.col("fullness")), reps, s), texts, s), "links")]
-    groups = components(links[0])
-    turn, found = 0, True
-    while True:
-        members = written(_apart(members, groups), "buckets")
-        crossing, n_members = _crossing(members)
-        if not crossing:
-            break
-        at_once = crossing <= s.pairs_per_member * n_members or not found
-        pairs = (_left_over(members, reps, s) if at_once else
-                 _with_sketches(_star(members, F.xxhash64(F.lit(turn), "h", "id")), reps, s))
-        links.append(written(confirmed(pairs, texts, s), "links"))
-        found = not links[-1].isEmpty()
-        if found:
-            every = links[0]
-            for more in links[1:]:
-                every = every.unionByName(more)
-            groups = components(every)
-        if at_once:
-            break
-        turn += 1
+    stars = _star(members.join(fullness, "id"))
+    links = written(confirmed(_with_sketches(stars, reps, s), texts, s), "links")
+    groups = components(links)
+    now = (members.select("h", "id").join(groups, members["id"] == groups["node"], "left")
+           .select("h", "id", F.coalesce("root", "id").alias("comp")))
+    apart = written(_mixed(now), "apart")
+    if not apart.isEmpty():
+        more = confirmed(_left_over(apart, reps, texts, s), texts, s)
+        # links between components: of their roots, added to the stars there are
+        groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     classes = (reps.select("k1", "k2", "n_shingles", F.col("id").alias("rep"))
                .join(groups.select(F.col("node").alias("rep"), "root"), "rep", "left")
                .select("k1", "k2", F.col("n_shingles").alias("n"), F.coalesce("root", "rep").alias("component")))
@@ -212,17 +219,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     F.coalesce(F.col("id") == component, component.isNull()).alias("kept")))
 
 
-def _apart(members: DataFrame, groups: DataFrame) -> DataFrame:
+def _mixed(members: DataFrame) -> DataFrame:
     """The members of buckets that hold more than one component."""
-    now = (members.select("h", "id").join(groups, members["id"] == groups["node"], "left")
-           .select("h", "id", F.coalesce("root", "id").alias("comp")))
-    mixed = now.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    return now.join(mixed.select("h"), "h", "left_semi")
-
-
-def _crossing(members: DataFrame) -> tuple[int, int]:
-    """(pairs of one bucket that lie in different components, members)."""
-    per = members.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("n"))
-    row = (per.groupBy("h").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-           .agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.sum("n")).first())
-    return int(row[0] or 0), int(row[1] or 0)
+    mixed = members.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    return members.join(mixed.select("h"), "h", "left_semi")
