@@ -20,8 +20,8 @@
 
 With the default 20 bands of 4 coordinates a pair of similarity 0.85 shares a
 band but for a chance of 4e-7, and one of 0.9 but for 2e-9. A pair is checked
-exactly unless fewer than 60 % of the sketches' coordinates agree (a chance
-of 1e-8 at 0.85).
+exactly unless fewer than 70 % of the 160 coordinates of the sketches agree (a
+chance of 1e-6 at 0.85).
 """
 
 from __future__ import annotations
@@ -41,8 +41,9 @@ from vellum.llm.text import python_workers_import, written
 
 @dataclass(frozen=True)
 class Settings:
-    """``percent``: least similarity of a link; ``shingle``: words; ``n_bands``
-    bands of ``rows`` coordinates; ``min_agree``: share of agreeing coordinates
+    """``percent``: least similarity of a link; ``shingle``: words; ``t``:
+    coordinates of a sketch, the first of which make ``n_bands`` bands of
+    ``rows``; ``min_agree``: share of agreeing coordinates
     that a pair needs to be checked; ``block``: members of one block when all
     pairs of a bucket are compared."""
 
@@ -50,13 +51,10 @@ class Settings:
     shingle: int = 5
     n_bands: int = 20
     rows: int = 4
-    min_agree: float = 0.6
+    t: int = 160
+    min_agree: float = 0.7
     block: int = 512
 
-    @property
-    def t(self) -> int:
-        return self.n_bands * self.rows
-
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
     """(id, n_shingles, k1, k2, sketch, bands) of each row; no sketch where
@@ -156,8 +154,8 @@ def _left_over(members: DataFrame, reps: DataFrame, texts: DataFrame, s: Setting
     different components, compared block by block."""
     asked = texts.join(members.select("id").distinct(), "id", "left_semi")
     shared = F.col("n_shingles") - F.coalesce("n_alone", F.lit(0))
-    known = (reps.select("id", "n_shingles", "sketch").join(_held_alone(asked, s), "id", "left")
-             .select("id", "n_shingles", "sketch", shared.alias("most")))
+    known = (reps.select("id", "n_shingles", "sketch", "bands").join(_held_alone(asked, s), "id", "left")
+             .select("id", "n_shingles", "sketch", "bands", shared.alias("most")))
     # a text can't be linked with any if too few of its shingles are held elsewhere
     able = members.join(known.where(100 * F.col("most") >= s.percent * F.col("n_shingles")), "id")
     able = written(_mixed(able), "in-question")
@@ -167,13 +165,13 @@ def _left_over(members: DataFrame, reps: DataFrame, texts: DataFrame, s: Setting
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))))
     side = lambda x, i, j: full.select(
         "h", F.col("own").alias(i), F.col("other").alias(j), F.col("id").alias(x), F.col("comp").alias(f"comp_{x}"),
-        F.col("n_shingles").alias(f"n_{x}"), F.col("most").alias(f"most_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+        F.col("n_shingles").alias(f"n_{x}"), F.col("most").alias(f"most_{x}"), F.col("sketch").alias(f"sketch_{x}"), F.col("bands").alias(f"bands_{x}"))
     left, right = side("a", "i", "j"), side("b", "j", "i")
     on = [left[c] == right[c] for c in ("h", "i", "j")]
     most = F.least("most_a", "most_b")
-    return (left.join(right, [*on, left["a"] < right["b"], left["comp_a"] != right["comp_b"],
-                              promising(s, "n_a", "n_b", most, "sketch_a", "sketch_b")])
-            .select("a", "b").distinct())
+    first = left["h"] == F.array_min(F.array_intersect("bands_a", "bands_b"))  # a pair in one of its buckets only
+    return left.join(right, [*on, left["a"] < right["b"], left["comp_a"] != right["comp_b"],
+                             promising(s, "n_a", "n_b", most, "sketch_a", "sketch_b"), first]).select("a", "b")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
