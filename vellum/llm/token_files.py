@@ -20,7 +20,10 @@ mounted, and read ranges through a file system client elsewhere.
 
 from __future__ import annotations
 
+import itertools
 import json
+import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -35,43 +38,60 @@ from pyspark.sql import functions as F
 from vellum.llm.text import python_workers_import
 from vellum.session import work_dir
 
-#: words that a worker keeps the ids of; a full table starts anew
-MAX_KEPT = 600_000
-MAX_LENGTH = 64
+#: words that a worker keeps the ids of (a full table goes back to the first
+#: ones, which are the common ones), the bytes of the longest word kept, and new
+#: words encoded at a time
+MAX_KEPT, FIRST_KEPT, MAX_LENGTH, AT_ONCE = 1_200_000, 600_000, 64, 500
+#: one mark that ends a word of ASCII letters; it is a token of its own with or without a space before it
+_MARK = re.compile(rb"(?<=[a-z])([.,;:!?])(?=[\x20\x09-\x0D])")
+#: a run of Latin letters is one piece before and after lower-casing (U+0130 isn't)
+_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+").fullmatch
 
 
 class WordIds:
     """The ids of whole texts by a tokenizer that drops white space and never
-    joins across it. The tokenizers library encodes every distinct word; the
+    joins across it, and lower-cases. The tokenizers library encodes every distinct word; the
     results are kept in a bounded table, since words repeat."""
 
     def __init__(self, path: str, dtype: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share out the cores
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype(dtype)
         self.kept: dict[bytes, bytes] = {}
 
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in words], add_special_tokens=False)
-        return [np.array(c.ids, self.dtype).tobytes() for c in coded]
+    def _encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """(word, ids) of each distinct word, in some order."""
+        plain, other = [], []
+        for w in words:
+            text = w.decode("utf-8", "surrogatepass")
+            (plain if _PLAIN(text) else other).append((w, text))
+        for at in range(0, len(plain), AT_ONCE):
+            some = plain[at:at + AT_ONCE]
+            coded = self.tokenizer.encode(" ".join([t for _, t in some]), add_special_tokens=False)
+            ids = np.array(coded.ids, self.dtype).tobytes()
+            ends = np.searchsorted(np.array(coded.word_ids), np.arange(len(some)), "right") * self.dtype.itemsize
+            start = 0
+            for (w, _), end in zip(some, ends.tolist()):
+                yield w, ids[start:end]
+                start = end
+        for at in range(0, len(other), AT_ONCE):
+            some = other[at:at + AT_ONCE]
+            for (w, _), c in zip(some, self.tokenizer.encode_batch_fast([t for _, t in some], add_special_tokens=False)):
+                yield w, np.array(c.ids, self.dtype).tobytes()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        split = [t.encode("utf-8", "surrogatepass").split() for t in texts]  # at ASCII white space
-        kept = self.kept
-        new = list({w for words in split for w in words if w not in kept})
-        if len(kept) + len(new) > MAX_KEPT:
-            kept.clear()
-            new = list({w for words in split for w in words})
-        long = [w for w in new if len(w) > MAX_LENGTH]
-        rare = dict(zip(long, self._encode(long))) if long else {}
-        short = [w for w in new if len(w) <= MAX_LENGTH] if long else new
-        kept.update(zip(short, self._encode(short)))
-        for words in split:
-            try:
-                yield b"".join(map(kept.__getitem__, words))
-            except KeyError:
-                yield b"".join([kept[w] if w in kept else rare[w] for w in words])
+        # bytes split at ASCII white space; A-Z go first, as the tokenizer lower-cases anyway
+        split = [_MARK.sub(rb" \1", t.encode("utf-8", "surrogatepass").lower()).split() for t in texts]
+        found = [list(map(self.kept.get, words)) for words in split]
+        new = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
+        if len(self.kept) + len(new) > MAX_KEPT:
+            self.kept = dict(itertools.islice(self.kept.items(), FIRST_KEPT))
+        fresh = dict(self._encode(list(new)))
+        self.kept.update((w, ids) for w, ids in fresh.items() if len(w) <= MAX_LENGTH)
+        for words, ids in zip(split, found):
+            yield b"".join([fresh[w] if i is None else i for w, i in zip(words, ids)] if None in ids else ids)
 
 
 def _folder(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -110,8 +130,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         for batch in batches:
             if out is None and len(batch):
                 coder, out = WordIds(tokenizer_path, dtype), _put(fs, f"{base}/{name}.ids")
-            for at in range(0, len(batch), 256):
-                some = batch.slice(at, 256)
+            for at in range(0, len(batch), 128):
+                some = batch.slice(at, 128)
                 ids += [no_id if i is None else i for i in some.column(0).to_pylist()]
                 for coded in coder.encode([t or "" for t in some.column(1).to_pylist()]):
                     out.write(coded + end)
