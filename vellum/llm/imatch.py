@@ -79,11 +79,15 @@ def lexicon(docs: DataFrame, text_col: str, s: Settings) -> DataFrame:
 
 #: the term that every document holds, with the subset that holds it alone
 ANY_DOCUMENT, NO_SUBSET = 0, -1
+#: a filled slot as one long: its number above so many bits of its hash
+BITS = 56
+LOW = (1 << BITS) - 1
 
 
 def slot_values(rows: DataFrame, key: list[str], texts: dict[str, str], carried: list[str], words: DataFrame) -> DataFrame:
     """key…, carried…, and for each name in ``texts`` (name: text column) an
-    array ``name`` of (slot, value) in slot order.
+    array ``name`` of the filled slots in order: one long each, the slot above
+    56 bits of the hash of its terms.
 
     ``rows`` has unique keys. If it is partitioned by the key, nothing is
     shuffled: the terms are exploded, meet the broadcast lexicon and are
@@ -106,29 +110,27 @@ def slot_values(rows: DataFrame, key: list[str], texts: dict[str, str], carried:
             .where((F.col("side") < 0) == (F.col("slot") == NO_SUBSET)))
     slots = held.groupBy(*key, "side", "slot").agg(F.xxhash64(F.sort_array(F.collect_list("term"))).alias("value"),
                                                    *[F.any_value(c).alias(c) for c in carried])
-    pair = F.struct("slot", "value")
+    filled = F.shiftleft(F.col("slot").cast("long"), BITS).bitwiseOR(F.col("value").bitwiseAND(F.lit(LOW)))
     return slots.groupBy(*key).agg(
         *[F.max(c).alias(c) for c in carried],
-        *[F.sort_array(F.collect_list(F.when(F.col("side") == i, pair))).alias(name) for i, name in enumerate(texts)])
+        *[F.sort_array(F.collect_list(F.when(F.col("side") == i, filled))).alias(name) for i, name in enumerate(texts)])
 
 
 def fingerprint_text(slots: Column, digest: Column) -> Column:
     """The fingerprint as text: slot:hash of each filled slot, or the digest
     of a text that fills none."""
     filled = F.array_join(F.transform(slots, lambda x: F.concat(
-        x["slot"].cast("string"), F.lit(":"), F.lower(F.hex(x["value"])))), ".")
+        F.shiftright(x, BITS).cast("string"), F.lit(":"), F.lower(F.hex(x.bitwiseAND(F.lit(LOW)))))), ".")
     return F.when(F.size(slots) == 0, F.concat(F.lit("text:"), digest)).otherwise(filled)
 
 
 def likeness(a: Column, b: Column, a_text: Column, b_text: Column) -> Column:
     """0 to 1: equal slots among those that either fingerprint fills; without
     any, whether the fingerprints as text are equal."""
-    slot = lambda x: F.transform(x, lambda e: e["slot"])
-    # a value is seeded by its slot, so equal values are equal slots
-    seeded = lambda x: F.transform(x, lambda e: F.xxhash64(e["slot"], e["value"]))
+    slot = lambda x: F.transform(x, lambda e: F.shiftright(e, BITS))
     either = F.size(F.array_union(slot(a), slot(b)))
     return (F.when(either == 0, (a_text == b_text).cast("double"))
-            .otherwise(F.size(F.array_intersect(seeded(a), seeded(b))).cast("double") / either))
+            .otherwise(F.size(F.array_intersect(a, b)).cast("double") / either))
 
 
 NO_ID = -(1 << 63)
@@ -176,11 +178,13 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = rows.withColumn("sha", sha("text")).withColumn("edited_sha256", sha("edited"))
     done = written(slot_values(rows, ["id", "h"], {"own": "text", "other": "edited"},
                                ["rn", "n_chars", "sha", "edited_sha256"], words), "fingerprints")
-    done = done.select("*", fingerprint_text(F.col("own"), F.col("sha")).alias("fingerprint"),
-                       fingerprint_text(F.col("other"), F.col("edited_sha256")).alias("edited_fingerprint"))
+    # only the slots and digests go through the last join; texts of fingerprints are made after it
     after = done.select(((F.col("rn") + max(n, 1) - 2) % max(n, 1) + 1).alias("rn"), F.col("own").alias("next_own"),
-                        F.col("fingerprint").alias("next_fingerprint"))
+                        F.col("sha").alias("next_sha"))
+    own = fingerprint_text(F.col("own"), F.col("sha"))
+    other = fingerprint_text(F.col("other"), F.col("edited_sha256"))
+    coming = fingerprint_text(F.col("next_own"), F.col("next_sha"))
     return done.join(after, "rn").select(
-        F.nullif("id", F.lit(NO_ID)).alias("id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("own"), F.col("other"), F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next_own"), F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+        F.nullif("id", F.lit(NO_ID)).alias("id"), "n_chars", "edited_sha256", own.alias("fingerprint"),
+        other.alias("edited_fingerprint"), likeness(F.col("own"), F.col("other"), own, other).alias("near_edited"),
+        likeness(F.col("own"), F.col("next_own"), own, coming).alias("near_next"))
