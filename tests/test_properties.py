@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from vellum.operators import quality as Q
-from vellum.operators.incremental import change_set
+from vellum.operators.incremental import apply_changes, change_set
 from vellum.operators.numbering import number_rows
 from vellum.operators.reconcile import reconcile_keys
 
@@ -46,26 +46,28 @@ def test_reconcile_keys_matches_pairwise_definition(spark, src, tgt):
     assert got == brute_reconcile(src, tgt)
 
 
+maybe = st.one_of(st.none(), st.integers(0, 2))
+wide_rows = st.lists(st.tuples(maybe, maybe, maybe), max_size=20)
+
+
 @SETTINGS
-@given(old=rows, new=rows)
+@given(old=wide_rows, new=wide_rows)
 def test_change_set_matches_multisets(spark, old, new):
-    schema = "k long, v long"
+    """NULLs in every column, the key included."""
+    schema = "k long, v long, w long"
     o, n = spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)
     got = {(r.record_key, r.change_type) for r in change_set(o, n, "k").collect()}
     om, nm = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
-    for k, v in old:
-        om[k][v] += 1
-    for k, v in new:
-        nm[k][v] += 1
+    for side, counts in ((old, om), (new, nm)):
+        for k, *values in side:
+            counts[k][tuple(values)] += 1
     want = set()
-    for k in set(om) | set(nm):
-        if k not in om:
-            want.add((str(k), "new"))
-        elif k not in nm:
-            want.add((str(k), "removed"))
-        elif om[k] != nm[k]:
-            want.add((str(k), "changed"))
+    for k in {*om, *nm}:
+        if om[k] != nm[k]:
+            want.add((None if k is None else str(k), "new" if not om[k] else "removed" if not nm[k] else "changed"))
     assert got == want
+    merged = collections.Counter(tuple(r) for r in apply_changes(o, n, "k").collect())
+    assert merged == collections.Counter(new)
 
 
 @SETTINGS

@@ -67,3 +67,25 @@ def test_raw_row_joins_split_the_hot_key(spark):
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+def test_written_silver_keeps_the_hot_key_splittable(spark, tmp_path):
+    """The layer as a run writes it: rows stay where their task wrote them, so
+    a semi join of raw lines on a hot order is split."""
+    from vellum.plans.pipeline import write_layer
+    lines = spark.range(300000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("order_id"), (F.col("id") % 50).alias("product_id"))
+    active = spark.range(300000).where(F.col("id") % 2 == 0).select(F.col("id").alias("order_id"))
+    written = write_layer({"order_items": lines, "orders": active}, str(tmp_path))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = written["order_items"].join(written["orders"], "order_id", "left_semi").groupBy("product_id").count()
+        assert sum(r["count"] for r in df.collect()) == 200000
+        assert "SortMergeJoin(skew=true)" in _plan(df)
+    finally:
+        for k in conf:
+            spark.conf.unset(k)

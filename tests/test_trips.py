@@ -5,78 +5,68 @@ from pyspark.sql import functions as F
 
 from vellum.plans import trips
 
-TS = dt.datetime
+SCHEMA = ("vendor_id int, pickup_at timestamp_ntz, dropoff_at timestamp_ntz, passenger_count double, "
+          "trip_distance double, total_amount double")
+NOON = dt.datetime(2031, 7, 9, 12)
 
 
-def test_month_requires_year_and_month():
-    assert trips.check_month("2024-01") == "2024-01"
-    assert trips.month_bounds("2024-12") == ("2024-12-01", "2025-01-01")
-    with pytest.raises(ValueError):
-        trips.check_month("2024-13")
+def _trips(spark, *rows):
+    """Rows of (vendor, minutes from noon to pick-up, minutes of the trip, distance, total); None is NULL."""
+    def at(minutes):
+        return None if minutes is None else NOON + dt.timedelta(minutes=minutes)
+    return spark.createDataFrame([(v, at(a), at(None if a is None or b is None else a + b), 1.0, d, t)
+                                  for v, a, b, d, t in rows], SCHEMA)
 
 
-def _raw(spark, rows):
-    return spark.createDataFrame(rows, "vendor_id int, pickup_at timestamp_ntz, dropoff_at timestamp_ntz, "
-                                       "passenger_count double, trip_distance double, total_amount double")
+@pytest.mark.parametrize("month", ["2031-00", "2031-1", "31-01", "2031/01", "", None, 203101])
+def test_other_months_are_refused(month):
+    with pytest.raises(ValueError):
+        trips.check_month(month)
 
 
-def test_staging_removes_invalid_records(spark):
-    raw = _raw(spark, [
-        (1, TS(2024, 1, 1, 10), TS(2024, 1, 1, 10, 15), 1.0, 2.0, 1.0),
-        (2, TS(2024, 1, 1, 11), TS(2024, 1, 1, 10, 59), 1.0, 2.0, 5.0),
-        (3, TS(2024, 1, 1, 12), TS(2024, 1, 1, 12, 15), 1.0, -1.0, 5.0),
-    ])
-    r = trips.quality_report(raw).first()
-    assert (r.raw_rows, r.staged_rows, r.dropped_rows) == (3, 1, 2)
-    assert r.invalid_rows_detected == 2 and r.invalid_rows_after_cleaning == 0
-    assert r.passed is True
-    assert trips.staged_trips(raw).count() == 1
+def test_month_bounds_over_the_year_end():
+    assert trips.month_bounds("2031-11") == ("2031-11-01", "2031-12-01")
+    assert trips.month_bounds("2031-12") == ("2031-12-01", "2032-01-01")
 
 
-def test_null_measure_is_dropped_but_not_invalid(spark):
-    raw = _raw(spark, [(1, TS(2024, 1, 1, 10), TS(2024, 1, 1, 11), 1.0, None, 3.0),
-                       (2, TS(2024, 1, 1, 10), TS(2024, 1, 1, 11), 1.0, 1.0, 3.0)])
+def test_acceptance_at_the_edges(spark):
+    raw = _trips(spark,
+                 (1, 0, 0, 0.0, 0.0),        # no duration, no distance, no charge: still a trip
+                 (2, 0, -1, 4.2, 7.7), (3, 0, 5, -0.001, 7.7), (4, 0, 5, 4.2, -0.01),
+                 (5, None, 5, 4.2, 7.7), (6, 0, None, 4.2, 7.7),
+                 (7, 0, 5, None, 7.7), (8, 0, 5, 4.2, None))
+    assert [r.vendor_id for r in trips.staged_trips(raw).collect()] == [1]
     r = trips.quality_report(raw).first()
-    assert (r.staged_rows, r.dropped_rows, r.invalid_rows_detected, r.null_measure_rows) == (1, 1, 0, 1)
+    assert (r.raw_rows, r.staged_rows, r.dropped_rows) == (8, 1, 7)
+    # NULL times are violations, NULL measures are only dropped
+    assert (r.invalid_rows_detected, r.null_measure_rows, r.invalid_rows_after_cleaning, r.passed) == (5, 2, 0, True)
 
 
-def test_daily_metrics_aggregate_by_date(spark):
-    staged = spark.createDataFrame([
-        (TS(2024, 1, 1, 10), 1.0, 2.0, 10.0),
-        (TS(2024, 1, 1, 11), 2.0, 4.0, 20.0),
-        (TS(2024, 1, 2, 10), 1.0, 3.0, 15.0),
-    ], "pickup_at timestamp_ntz, passenger_count double, trip_distance double, total_amount double")
-    out = trips.daily_metrics(staged).orderBy("trip_date").collect()
-    assert len(out) == 2
-    assert (out[0].trip_count, out[0].gross_revenue) == (2, 30.0)
-    assert out[0].avg_trip_distance == 3.0 and out[0].passenger_count == 3.0
+def test_nothing_accepted_does_not_pass(spark):
+    assert trips.quality_report(_trips(spark, (1, 0, -5, 1.0, 1.0))).first().passed is False
 
 
-def test_average_rounds_half_up_exactly(spark):
-    staged = spark.createDataFrame([(TS(2024, 1, 1), 1.0, 1.0, 0.01), (TS(2024, 1, 1), 1.0, 1.0, 0.02)],
-                                   "pickup_at timestamp_ntz, passenger_count double, trip_distance double, total_amount double")
-    assert trips.daily_metrics(staged).first().avg_total_amount == 0.02  # 0.015 → 0.02
+def test_days_split_at_midnight_and_follow_the_pick_up(spark):
+    raw = _trips(spark, (1, 719, 30, 0.125, 3.333), (2, 720, 1, 0.25, 3.333), (3, 720, 1, 0.25, 3.335))
+    days = {r.trip_date.day: r for r in trips.daily_metrics(raw).collect()}
+    assert (days[9].trip_count, days[9].avg_trip_distance, days[9].gross_revenue) == (1, 0.13, 3.33)
+    # 6.668 and 3.334: three decimals are summed before anything is rounded
+    assert (days[10].trip_count, days[10].gross_revenue, days[10].avg_total_amount, days[10].passenger_count) == (2, 6.67, 3.33, 2.0)
 
 
-def test_raw_table_renames_and_casts(spark):
-    src = spark.createDataFrame([(1, TS(2024, 1, 1, 10), TS(2024, 1, 1, 10, 15), 1.0, 2.0, 1, 2, 3, 1,
-                                  10.0, 1.0, 0.0, 12.0)],
-                                "VendorID long, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
-                                "passenger_count double, trip_distance double, RatecodeID long, PULocationID long, "
-                                "DOLocationID long, payment_type long, fare_amount double, tip_amount double, "
-                                "tolls_amount double, total_amount double")
-    raw = trips.raw_trips(src)
-    assert raw.columns[:3] == ["vendor_id", "pickup_at", "dropoff_at"]
-    assert dict(raw.dtypes)["vendor_id"] == "int" and raw.count() == 1
+def test_columns_are_renamed_and_cast(spark):
+    kinds = {"int": "long", "timestamp_ntz": "timestamp_ntz", "double": "double"}
+    source = spark.range(1).select(*[F.lit(None).cast(kinds[t]).alias(name) for name, _, t in trips.TRIP_COLUMNS])
+    assert trips.raw_trips(source).dtypes == [(new, t) for _, new, t in trips.TRIP_COLUMNS]
 
 
-def test_fractional_int_cast_rounds_half_even(spark):
-    src = spark.createDataFrame([(2.5,), (1.5,)], "v double")
-    got = [r[0] for r in src.select(F.rint("v").cast("int")).collect()]
-    assert got == [2, 2]
+def test_fractional_codes_round_half_even(spark):
+    source = spark.range(4).select(*[(F.col("id") + 0.5).alias(n) if n == "RatecodeID" else F.lit(None).cast(
+        "timestamp_ntz" if t == "timestamp_ntz" else "double").alias(n) for n, _, t in trips.TRIP_COLUMNS])
+    assert sorted(r.rate_code_id for r in trips.raw_trips(source).collect()) == [0, 2, 2, 4]
 
 
-def test_month_selection_prunes_to_one_month(spark):
-    raw = _raw(spark, [(1, TS(2024, 1, 31, 23), TS(2024, 2, 1, 1), 1.0, 1.0, 1.0),
-                       (2, TS(2024, 2, 1, 0), TS(2024, 2, 1, 1), 1.0, 1.0, 1.0)])
-    assert [r.vendor_id for r in trips.select_month(raw, "2024-02").collect()] == [2]
+def test_a_month_holds_its_first_instant_and_not_the_next(spark):
+    start, end = -12 * 60 - 8 * 1440, -12 * 60 + 23 * 1440  # 2031-07-01 and 2031-08-01, from noon of the 9th
+    raw = _trips(spark, (1, start, 1, 1.0, 1.0), (2, start - 1, 5, 1.0, 1.0), (3, end, 1, 1.0, 1.0), (4, end - 1, 5, 1.0, 1.0))
+    assert sorted(r.vendor_id for r in trips.select_month(raw, "2031-07").collect()) == [1, 4]

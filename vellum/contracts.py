@@ -45,6 +45,22 @@ CLIENT = {
 }
 
 
+MIGRATION = {
+    "accounts": _schema(("account_id", L), ("account_name", S), ("country", S), ("created_date", DT),
+                        ("monthly_value", D)),
+    "invoices": _schema(("invoice_id", S), ("account_id", L), ("invoice_date", TS), ("amount", D),
+                        ("invoice_status", S)),
+    "transactions": _schema(("transaction_id", S), ("account_id", L), ("transaction_date", TS),
+                            ("amount", T.DecimalType(22, 2)), ("transaction_type", S)),
+    "contacts": _schema(("contact_id", S), ("account_id", L), ("email", S), ("country", S), ("contact_status", S)),
+}
+
+# numeric columns of a trips file come as integers or doubles: names are the contract, types are cast
+TRIPS = _schema(("VendorID", L), ("tpep_pickup_datetime", TS), ("tpep_dropoff_datetime", TS), ("passenger_count", L),
+                ("trip_distance", D), ("RatecodeID", L), ("PULocationID", L), ("DOLocationID", L), ("payment_type", L),
+                ("fare_amount", D), ("tip_amount", D), ("tolls_amount", D), ("total_amount", D))
+
+
 def check_schemas(frames: dict, contract: dict) -> list[dict]:
     """Q1: every contract entity present, with its columns and types."""
     from vellum.sources.files import schema_diff
@@ -112,3 +128,69 @@ def migration_contract_rules(entities: dict) -> list[Q.Check]:
             if amount:
                 checks.append(Q.row_rule(f"negative_{t}_amounts", t, F.col(amount) < 0))
     return checks
+
+
+# ------------------------------------------------------------- quarantine
+def _missing(*columns: str) -> dict:
+    return {f"missing_{c}": F.col(c).isNull() for c in columns}
+
+
+def _unknown(column: str, values: tuple[str, ...], nulls: bool = False) -> dict:
+    bad = ~F.lower(F.trim(column)).isin(*values)
+    return {f"unknown_{column}": bad | F.col(column).isNull() if nulls else bad}
+
+
+def quarantine_rules() -> dict[str, dict[str, tuple[str, dict]]]:
+    """Q12: product → entity → (key, reason → violation) on the delivered rows."""
+    c = F.col
+    migration = {e: (key, {**_missing(key, *(() if key == "account_id" else ("account_id",))),
+                           **({"negative_amount": c(MIGRATION_AMOUNTS[e]) < 0} if e in MIGRATION_AMOUNTS else {})})
+                 for e, key in (("accounts", "account_id"), ("invoices", "invoice_id"),
+                                ("transactions", "transaction_id"), ("contacts", "contact_id"))}
+    return {
+        "revenue": {
+            "customers": ("customer_id", _missing("customer_id", "email")),
+            "products": ("product_id", {**_missing("product_id"), "negative_price": c("unit_price") < 0}),
+            "orders": ("order_id", {**_missing("order_id", "customer_id", "order_date"),
+                                    **_unknown("order_status", ("delivered", "shipped", "cancelled"), nulls=True)}),
+            "order_items": ("order_item_id", {**_missing("order_item_id", "order_id", "product_id"),
+                                              "non_positive_quantity": c("quantity") <= 0,
+                                              "negative_price": c("unit_price") < 0}),
+            "payments": ("payment_id", {**_missing("payment_id", "order_id"), "negative_amount": c("amount") < 0}),
+            "shipments": ("shipment_id", {**_missing("shipment_id", "order_id", "promised_delivery_date"),
+                                          "negative_cost": c("shipping_cost") < 0,
+                                          "unparseable_delivery_date": (F.length(F.trim("actual_delivery_date")) > 0)
+                                          & c("actual_delivery_date").try_cast("date").isNull()}),
+            "refunds": ("refund_id", {**_missing("refund_id", "order_id"), "non_positive_amount": c("amount") <= 0}),
+        },
+        "client": {
+            "accounts": ("account_id", {**_missing("account_id", "account_name"),
+                                        "unparseable_signup_date": c("signup_date").try_cast("date").isNull(),
+                                        "negative_mrr": c("monthly_recurring_revenue") < 0,
+                                        **_unknown("account_status", ("active", "trial", "churned"))}),
+            "invoices": ("invoice_id", {**_missing("invoice_id", "account_id"), "negative_amount": c("amount") < 0,
+                                        **_unknown("invoice_status", ("paid", "overdue"))}),
+            "support_tickets": ("ticket_id", {**_missing("ticket_id", "account_id", "created_date"),
+                                              **_unknown("priority", ("low", "medium", "high")),
+                                              **_unknown("ticket_status", ("open", "resolved"))}),
+            "account_events": ("event_id", {**_missing("event_id", "account_id", "event_date"), **_unknown(
+                "event_type", ("account_created", "trial_started", "activated", "cancelled"))}),
+        },
+        "migration_source": migration,
+        "migration_target": migration,
+    }
+
+
+def quarantined(bronze: dict):
+    """The rows of the delivered entities ((product, entity) → frame) that
+    break a contract rule: product, entity, record_key, reasons."""
+    from functools import reduce
+
+    from pyspark.sql import DataFrame
+    parts = []
+    for (product, entity), df in bronze.items():
+        key, rules = quarantine_rules()[product][entity]
+        _, bad = Q.quarantine(df, rules)
+        parts.append(bad.select(F.lit(product).alias("product"), F.lit(entity).alias("entity"),
+                                F.col(key).cast("string").alias("record_key"), "reasons"))
+    return reduce(DataFrame.unionByName, parts)

@@ -1,5 +1,4 @@
 from vellum.functions.exprs import (  # noqa: F401
-    MONEY, MONEY_TOTAL, RATE, RECON_TOTAL, asc_last, avg2, avg_money, days_between, desc_last,
-    money, money_text, money_total, norm_lower, norm_upper, ratio_pct, ratio_pct_or,
-    round2, severity_rank, title_label,
+    MONEY, MONEY_TOTAL, RATE, RECON_TOTAL, avg2, avg_money, days_between, display_time,
+    money, money_text, money_total, norm_lower, norm_upper, ratio_pct, sum2, title_label,
 )

@@ -51,25 +51,29 @@ def ratio_pct(numer: str | Column, denom: str | Column) -> Column:
     return (F.lit(100).cast("decimal(3,0)") * n / F.nullif(d, F.lit(0).cast("decimal(20,0)"))).cast(RATE)
 
 
-def ratio_pct_or(numer: str | Column, denom: str | Column, default) -> Column:
-    """``coalesce(round(100 * n / nullif(d, 0), 2), default)``."""
-    return F.coalesce(ratio_pct(numer, denom), F.lit(default).cast(RATE))
+#: measured doubles are summed as decimals of this type: six places, no rounding to cents
+MEASURE = "decimal(20,6)"
 
 
-def avg2(c: str | Column) -> Column:
-    """``round(avg(x), 2)`` of a money-like double, computed exactly.
+def sum2(c: str | Column) -> Column:
+    """``round(sum(x), 2)`` of a measured double, rounded half up once."""
+    return F.round(F.sum(col(c).cast(MEASURE)), 2).cast("double")
 
-    The mean is taken over DECIMAL(18,2) values and rounded half up once,
-    so ties such as 12.345 do not depend on binary floating point. Result
-    is DOUBLE like the reference.
-    """
-    x = col(c).cast("decimal(18,2)")
-    mean = F.sum(x) / F.count(x).cast("decimal(20,0)")
-    return F.round(mean, 2).cast("double")
 
+def avg2(c: str | Column) -> Column:
+    """``round(avg(x), 2)`` of a measured double, rounded half up once.
 
-def round2(c: str | Column) -> Column:
-    return F.round(col(c), 2)
+    Values enter with six decimal places and are summed exactly; cents are
+    only rounded to at the end, so neither ties such as 12.345 nor values
+    with three decimals depend on an order or on binary floating point. The
+    quotient is taken as a whole number of cents (a decimal quotient would
+    be rounded once more). Result is DOUBLE.
+    """
+    total, n = F.sum(col(c).cast(MEASURE)), F.count(col(c)).cast("decimal(20,0)")
+    twice = F.lit(2).cast("decimal(1,0)") * F.nullif(n, F.lit(0).cast("decimal(20,0)"))
+    scaled = F.lit(200).cast("decimal(3,0)") * F.abs(total) + n
+    cents = ((scaled - scaled % twice) / twice).cast("decimal(28,0)").cast("double")
+    return F.signum(total.cast("double")) * cents / F.lit(100.0)
 
 
 def days_between(start: str | Column, end: str | Column) -> Column:
@@ -85,25 +89,16 @@ def title_label(c: str | Column) -> Column:
     return F.initcap(F.regexp_replace(col(c), "_", " "))
 
 
+def display_time(c: str | Column) -> Column:
+    """A timestamp as the dashboards show it, to the second: ``2024-03-05 14:30:09``."""
+    return F.date_format(col(c), "yyyy-MM-dd HH:mm:ss")
+
+
 def money_text(c: str | Column) -> Column:
     """``$1,234.50`` display text; NULL stays NULL."""
     return F.concat(F.lit("$"), F.format_number(col(c).cast("double"), 2))
 
 
-def asc_last(c: str | Column) -> Column:
-    """Ascending with NULLs last (the oracle engine's default)."""
-    return col(c).asc_nulls_last()
-
-
-def desc_last(c: str | Column) -> Column:
-    return col(c).desc_nulls_last()
-
-
-def severity_rank(c: str | Column) -> Column:
-    """Business order of severities: high first, everything else after."""
-    return F.when(col(c) == "high", F.lit(1)).otherwise(F.lit(2))
-
-
 def avg_money(c: str | Column) -> Column:
     """``round(avg(x), 2)`` of a decimal column as DECIMAL(12,2).
 

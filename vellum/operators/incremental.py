@@ -15,9 +15,15 @@ from pyspark.sql import functions as F
 
 
 def watermark(existing: DataFrame, key: str):
-    """``coalesce(max(key), 0)`` of the loaded table (a single scalar)."""
+    """``max(key)`` of the loaded table (a single scalar), None when it is empty."""
     row = existing.agg(F.max(key).alias("m")).first()
-    return 0 if row is None or row["m"] is None else row["m"]
+    return None if row is None else row["m"]
+
+
+def above(candidates: DataFrame, key: str, mark) -> DataFrame:
+    """The candidates with a key above the watermark; all of them on a first
+    load, which has none."""
+    return candidates if mark is None else candidates.where(F.col(key) > F.lit(mark))
 
 
 def append_above_watermark(existing: DataFrame, candidates: DataFrame, key: str,
@@ -27,60 +33,71 @@ def append_above_watermark(existing: DataFrame, candidates: DataFrame, key: str,
     Because the filter is strict the delete half never removes a row (D20),
     but it is kept so the result is right for any candidate set.
     """
-    wm = watermark(existing, key) if mark is None else mark
-    new = candidates.where(F.col(key) > F.lit(wm))
-    return upsert(existing, new, key)
+    return upsert(existing, above(candidates, key, watermark(existing, key) if mark is None else mark), key)
 
 
 def upsert(existing: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Rows of ``existing`` whose key is not in ``changes``, plus ``changes``."""
-    keys = changes.select(key).distinct()
-    kept = existing.join(keys, key, "left_anti")
-    return kept.unionByName(changes)
+    """Rows of ``existing`` whose key is not in ``changes``, plus ``changes``.
+    NULL is a key like any other."""
+    keys = changes.select(F.col(key).alias("_k")).distinct()
+    return existing.join(keys, existing[key].eqNullSafe(keys["_k"]), "left_anti").unionByName(changes)
 
 
 def _row_fingerprint(cols: list[str]) -> Column:
-    return F.xxhash64(F.struct(*[F.col(c) for c in cols]))
+    """A 64-bit hash of a row. Spark's hash skips NULLs, so each column's NULL
+    flag goes in beside its value: a value that moves between two columns of
+    one type changes the hash."""
+    return F.xxhash64(*[x for c in cols for x in (F.col(c).isNull(), F.col(c))])
 
 
-def change_set(old: DataFrame, new: DataFrame, key: str, cols: list[str] | None = None) -> DataFrame:
-    """Keys that are new, removed or changed between two snapshots.
+def changed_keys(old: DataFrame, new: DataFrame, key: str, cols: list[str] | None = None) -> DataFrame:
+    """Keys that are new, removed or changed between two snapshots: _key (of
+    the key's own type; NULL is a key like any other), change_type, old_rows,
+    new_rows.
 
     Each side is reduced per key to a fingerprint of its rows as a multiset
     (row count, min, max and sum of 64-bit row hashes), so repeated keys
     collapse before the full outer join and no group is ever collected; a
-    key is changed when the fingerprints differ. Output: record_key,
-    change_type, old_rows, new_rows.
+    key is changed when the fingerprints differ.
     """
     cols = cols or [c for c in old.columns if c != key]
 
     def per_key(df: DataFrame, p: str) -> DataFrame:
         h = _row_fingerprint(cols)
-        return df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias(f"{p}_n"),
-                                                      F.min(h).alias(f"{p}_lo"), F.max(h).alias(f"{p}_hi"),
-                                                      F.sum(h.cast("decimal(38,0)")).alias(f"{p}_sum"))
+        return df.groupBy(F.col(key).alias(f"{p}_k")).agg(F.count(F.lit(1)).alias(f"{p}_n"),
+                                                          F.min(h).alias(f"{p}_lo"), F.max(h).alias(f"{p}_hi"),
+                                                          F.sum(h.cast("decimal(38,0)")).alias(f"{p}_sum"))
 
-    j = per_key(old, "o").join(per_key(new, "n"), "_k", "full_outer")
+    o, n = per_key(old, "o"), per_key(new, "n")
+    j = o.join(n, o["o_k"].eqNullSafe(n["n_k"]), "full_outer")
     on, nn = F.col("o_n"), F.col("n_n")
     differs = ((on != nn) | (F.col("o_lo") != F.col("n_lo")) | (F.col("o_hi") != F.col("n_hi"))
                | (F.col("o_sum") != F.col("n_sum")))
     kind = F.when(on.isNull(), "new").when(nn.isNull(), "removed").when(differs, "changed")
-    return (j.select(F.col("_k").cast("string").alias("record_key"), kind.alias("change_type"),
+    return (j.select(F.coalesce("o_k", "n_k").alias("_key"), kind.alias("change_type"),
                      F.coalesce(on, F.lit(0)).alias("old_rows"), F.coalesce(nn, F.lit(0)).alias("new_rows"))
             .where(F.col("change_type").isNotNull()))
 
 
+def change_set(old: DataFrame, new: DataFrame, key: str, cols: list[str] | None = None) -> DataFrame:
+    """The changed keys as text: record_key, change_type, old_rows, new_rows."""
+    return changed_keys(old, new, key, cols).select(F.col("_key").cast("string").alias("record_key"),
+                                                    "change_type", "old_rows", "new_rows")
+
+
 def apply_changes(existing: DataFrame, current: DataFrame, key: str,
                   changes: DataFrame | None = None) -> DataFrame:
     """G3 feeding S5 as a true upsert: keep unchanged rows of ``existing``,
     drop removed keys, take new and changed keys from ``current``.
 
-    Unlike the watermark mode this picks up corrections to old keys."""
-    cs = change_set(existing, current, key) if changes is None else changes
-    touched = cs.select(F.col("record_key").alias("_ck"), "change_type")
-    kept = existing.join(touched, F.col(key).cast("string") == F.col("_ck"), "left_anti")
-    taken = current.join(touched.where(F.col("change_type") != "removed"),
-                         F.col(key).cast("string") == F.col("_ck"), "left_semi")
+    ``changes`` is what ``changed_keys`` returns, written by the caller when it
+    is used more than once. Unlike the watermark mode this picks up
+    corrections to old keys."""
+    cs = changed_keys(existing, current, key) if changes is None else changes
+    drop = cs.select("_key")
+    take = cs.where(F.col("change_type") != "removed").select("_key")
+    kept = existing.join(drop, existing[key].eqNullSafe(drop["_key"]), "left_anti")
+    taken = current.join(take, current[key].eqNullSafe(take["_key"]), "left_semi")
     return kept.unionByName(taken)
 
 

@@ -1,13 +1,17 @@
 """Attribute profile of a table — rows, NULLs and distinct values per column.
 
-One aggregate over the table. Exact distinct counts make Spark expand each
-row once per column before the distinct shuffle; ``approx=True`` uses
-mergeable HyperLogLog sketches instead (no expansion, a fixed-size sketch
-per task), the choice for very large tables.
+Exact counts take one grouped pass per column: rows are grouped by the value
+(map-side first, so a value that fills the table is one row per task) and the
+groups are counted. A pass reads one column, so together they read the table
+once, and no row is multiplied by the number of columns. ``approx=True`` takes
+mergeable HyperLogLog sketches in one aggregate instead, for tables that are
+expensive to compute again.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,17 +21,24 @@ from vellum.functions import ratio_pct
 def profile(df: DataFrame, table_name: str, columns: list[str] | None = None,
             approx: bool = False, rsd: float = 0.01) -> DataFrame:
     cols = columns or df.columns
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(cols):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"_n{i}"))
-        aggs.append((F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)).alias(f"_d{i}"))
-    g = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("null_count"),
-                              F.col(f"_d{i}").cast("long").alias("distinct_count"))
-                     for i, c in enumerate(cols)])
-    return (g.select(F.col("_rows").alias("row_count"), F.explode(rows).alias("p"))
-            .select(F.lit(table_name).alias("table_name"), "p.column_name", "row_count",
-                    "p.null_count", "p.distinct_count"))
+    if approx:
+        aggs = [F.count(F.lit(1)).alias("_rows")]
+        for i, c in enumerate(cols):
+            aggs += [F.count_if(F.col(c).isNull()).alias(f"_n{i}"), F.approx_count_distinct(c, rsd).alias(f"_d{i}")]
+        rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("null_count"),
+                                  F.col(f"_d{i}").cast("long").alias("distinct_count")) for i, c in enumerate(cols)])
+        return (df.agg(*aggs).select(F.col("_rows").alias("row_count"), F.explode(rows).alias("p"))
+                .select(F.lit(table_name).alias("table_name"), "p.column_name", "row_count",
+                        "p.null_count", "p.distinct_count"))
+    parts = []
+    for c in cols:
+        groups = df.groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+        counted = groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
+                             F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_n"))), F.lit(0)).alias("null_count"),
+                             F.count("_v").alias("distinct_count"))
+        parts.append(counted.select(F.lit(table_name).alias("table_name"), F.lit(c).alias("column_name"),
+                                    "row_count", "null_count", "distinct_count"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def referential_coverage(child: DataFrame, fk: str, parent: DataFrame, pk: str,

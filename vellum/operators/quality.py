@@ -184,20 +184,15 @@ def _row_test(t: Test) -> Column:
     return F.count_distinct(F.when(~c.isin(*t.values), c))
 
 
-def run_tests(tests: list[Test], models: dict[str, DataFrame], materialize: bool = False,
-              written: tuple[str, ...] = ()) -> DataFrame:
+def run_tests(tests: list[Test], models: dict[str, DataFrame]) -> DataFrame:
     """All tests as one report (test_name, model, column_name, rule, failures).
 
-    Like the test runner, a model is materialized once before it is tested
-    (``materialize``); the row-level tests of a model (not_null,
-    accepted_values) share one aggregate over it.
+    ``models`` should be written tables, as a run publishes them: each is read
+    a few times. The row-level tests of a model (not_null, accepted_values)
+    share one aggregate over it.
     """
-    from vellum.sources.tables import materialize_all
     used = {t.model for t in tests} | {t.to for t in tests if t.to}
     m = {k: models[k] for k in models if k in used}
-    if materialize:
-        # models in ``written`` already read from written files
-        m.update(materialize_all({k: v for k, v in m.items() if k not in written}, "gold"))
     parts: list[DataFrame] = []
     by_model: dict[str, list[Test]] = {}
     for t in tests:

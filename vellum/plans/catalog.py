@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vellum.plans import revenue, trips
 from vellum.sources import adapters
-from vellum.sources.tables import Tables
+from vellum.sources.tables import Tables, materialize_all, materialized
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -25,20 +25,16 @@ def register(name: str):
 
 
 # ------------------------------------------------------------------ T ---
-_BUILT: dict[tuple, object] = {}
-
-
-def _memo(kind: str, spark, sf, build):
-    """Inputs shared by the queries of one session: a lazy plan, or a layer
-    written once per run (silver, the order fact) that later queries read."""
-    key = (kind, spark, sf.rstrip("/"))
-    if key not in _BUILT:
-        _BUILT[key] = build()
-    return _BUILT[key]
+# Building a query runs no job: every dataset is a lazy plan over the driver
+# tables. The exceptions are the queries that are about a written table (a
+# numbered queue, a versioned fact, a file round trip, tests of written models).
+WRITES_WHILE_BUILDING = frozenset((
+    "exception_queue", "rules_gold", "csv_round_trip", "parquet_round_trip", "fact_order_incremental",
+    "fact_order_stream", "fact_order_corrections", "fact_order_upsert"))
 
 
 def _raw_trips(spark, sf):
-    return _memo("raw_trips", spark, sf, lambda: trips.raw_trips(adapters.trip_source(Tables(spark, sf))))
+    return trips.raw_trips(adapters.trip_source(Tables(spark, sf)))
 
 
 @register("trips_staged")
@@ -64,8 +60,7 @@ def _q_trips_month(spark, sf):
 
 # ------------------------------------------------------------------ E ---
 def _silver(spark, sf) -> revenue.Silver:
-    return _memo("revenue", spark, sf,
-                 lambda: revenue.Silver.from_tables(Tables(spark, sf), materialize=True).materialize_all())
+    return revenue.Silver.from_tables(Tables(spark, sf))
 
 
 def _silver_query(entity: str):
@@ -89,10 +84,7 @@ def _q_dim_product(spark, sf):
 
 
 def _fact(spark, sf):
-    """The order fact, materialized once per run like the gold table it is."""
-    from vellum.sources.tables import materialized
-    return _memo("fact", spark, sf,
-                 lambda: materialized(revenue.fact_order(_silver(spark, sf)), name="gold-fact-order"))
+    return revenue.fact_order(_silver(spark, sf))
 
 
 @register("fact_order")
@@ -146,8 +138,7 @@ from vellum.plans import client, migration  # noqa: E402
 
 
 def _client(spark, sf) -> client.Silver:
-    return _memo("client", spark, sf,
-                 lambda: client.Silver.from_tables(Tables(spark, sf), materialize=True).materialize_all())
+    return client.Silver.from_tables(Tables(spark, sf))
 
 
 for _entity, _qname in (("accounts", "silver_accounts"), ("invoices", "silver_invoices"),
@@ -192,8 +183,7 @@ def _q_quality_revenue(spark, sf):
 
 # ------------------------------------------------------------------ M ---
 def _snap(spark, sf) -> migration.Snapshots:
-    return _memo("migration", spark, sf,
-                 lambda: migration.Snapshots.from_tables(Tables(spark, sf), materialize=True).materialize_all())
+    return migration.Snapshots.from_tables(Tables(spark, sf))
 
 
 for _side in migration.SIDES:
@@ -223,8 +213,8 @@ def _q_exception_queue(spark, sf):
 
 
 def _queue(spark, sf):
-    """The numbered queue is a gold table: numbered and written once per run."""
-    return _memo("exception_queue", spark, sf, lambda: migration.exception_queue(_snap(spark, sf)))
+    """The numbered queue is a gold table: exceptions written, then numbered."""
+    return migration.exception_queue(_snap(spark, sf))
 
 
 @register("exceptions_ranked")
@@ -258,27 +248,30 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from vellum.functions import money_text, title_label  # noqa: E402
 from vellum.operators import incremental, profile as _profile, quality as Q  # noqa: E402
+from vellum import contracts  # noqa: E402
 from vellum.plans import evidence  # noqa: E402
 from vellum.session import work_dir  # noqa: E402
 from vellum.sources import files  # noqa: E402
 
 
 def _gold_models(spark, sf) -> dict:
-    s, c, m = _silver(spark, sf), _client(spark, sf), _snap(spark, sf)
-    models = revenue.gold_models(s, _fact(spark, sf))
-    models.update(client.gold(c))
-    models["gold_reconciliation"] = migration.reconciliation(m)
-    queue = _queue(spark, sf)
-    models["gold_exception_queue"] = queue
-    models["gold_cutover_readiness"] = migration.cutover_readiness(queue, models["gold_reconciliation"])
-    return models
+    """The models as a run publishes them: silver, fact, queue and the rest written once."""
+    s, c, m = (x.materialize_all() for x in (_silver(spark, sf), _client(spark, sf), _snap(spark, sf)))
+    fact = materialized(revenue.fact_order(s), name="gold-fact-order")
+    models = {**revenue.gold_models(s, fact), **client.gold(c), "gold_reconciliation": migration.reconciliation(m)}
+    written = materialize_all({k: v for k, v in models.items() if k != "gold_fact_order"}, "gold")
+    written["gold_fact_order"] = fact
+    written["gold_exception_queue"] = materialized(migration.exception_queue(m), name="gold-queue")
+    written["gold_cutover_readiness"] = migration.cutover_readiness(written["gold_exception_queue"],
+                                                                    written["gold_reconciliation"])
+    return written
 
 
 @register("rules_gold")
 def _q_rules_gold(spark, sf):
     """Q8–Q11/Q13: the 47 schema tests of the three products' gold models."""
     tests = revenue.gold_tests() + client.gold_tests() + migration.gold_tests()
-    return Q.run_tests(tests, _gold_models(spark, sf), materialize=True, written=("gold_fact_order",))
+    return Q.run_tests(tests, _gold_models(spark, sf))
 
 
 # declared keys of the contract entities (D14: every entity, not only the gate's)
@@ -363,21 +356,13 @@ def _q_domain_violations(spark, sf):
     return _reduce(_DF.unionByName, parts)
 
 
-def _account_rules():
-    return {
-        "missing_account_id": F.col("account_id").isNull(),
-        "missing_account_name": F.col("account_name").isNull(),
-        "unparseable_signup_date": F.col("signup_date").try_cast("date").isNull(),
-        "negative_mrr": F.col("monthly_recurring_revenue") < 0,
-        "unknown_status": ~F.lower(F.trim("account_status")).isin(*client.ACCOUNT_STATUSES),
-    }
-
-
 @register("quarantine")
 def _q_quarantine(spark, sf):
-    """Q12: account rows that fail a contract rule, with every reason."""
-    _, bad = Q.quarantine(_client(spark, sf).bronze["accounts"], _account_rules())
-    return bad.select("account_id", "account_name", "monthly_recurring_revenue", "reasons")
+    """Q12: the rows of every contract entity that break its rules, with every reason."""
+    bronze = {("revenue", e): df for e, df in _silver(spark, sf).bronze.items()}
+    bronze.update({("client", e): df for e, df in _client(spark, sf).bronze.items()})
+    bronze.update({(f"migration_{side}", e): df for (side, e), df in _snap(spark, sf).bronze.items()})
+    return contracts.quarantined(bronze)
 
 
 @register("table_profile")
@@ -392,9 +377,11 @@ def _q_table_profile(spark, sf):
 
 @register("change_set")
 def _q_change_set(spark, sf):
-    """Accounts changed between the source and target snapshots."""
+    """Keys of every entity that changed between the source and target snapshots."""
     m = _snap(spark, sf)
-    return incremental.change_set(m.get("source", "accounts"), m.get("target", "accounts"), "account_id")
+    parts = [incremental.change_set(m.get("source", e), m.get("target", e), key).withColumn("entity", F.lit(e))
+             for e, (key, _) in migration.ENTITIES.items()]
+    return _reduce(_DF.unionByName, parts)
 
 
 @register("layer_counts")
@@ -408,19 +395,30 @@ def _q_layer_counts(spark, sf):
     })
 
 
+def _entries(df, *columns):
+    """(section, name, value) rows of the map columns of a one-row frame, as text."""
+    parts = [F.transform(F.map_entries(c), lambda e: F.struct(
+        F.lit(c).alias("section"), e["key"].alias("name"), e["value"].cast("string").alias("value"))) for c in columns]
+    return df.select(F.explode(F.concat(*parts)).alias("e")).select("e.*")
+
+
 @register("run_evidence")
 def _q_run_evidence(spark, sf):
-    """V2: the revenue run's summary row (maps of counts, checks, totals)."""
+    """V2: the revenue run's summary (counts, checks, totals) as rows, without its run times."""
     s = _silver(spark, sf)
-    fact = _fact(spark, sf)
-    counts = _q_layer_counts(spark, sf)
-    return evidence.run_summary(counts, revenue.quality_report(s), revenue.run_totals(fact), "full_refresh")
+    row = evidence.run_summary(_q_layer_counts(spark, sf), revenue.quality_report(s),
+                               revenue.run_totals(_fact(spark, sf)), "full_refresh")
+    heads = ("pipeline_mode", "quality_status", "completed_orders", "completed_net_revenue", "revenue_leakage")
+    head = F.create_map(*[x for c in heads for x in (F.lit(c), F.col(c).cast("string"))])
+    return _entries(row.withColumn("summary", head), "summary", "bronze_rows", "silver_rows", "gold_rows", "quality_checks")
 
 
 @register("exception_severity_map")
 def _q_exception_severity_map(spark, sf):
-    """Exception counts per severity as one map."""
-    return migration.severity_map(migration.exceptions(_snap(spark, sf)))
+    """The severity → count map, as its entries in order."""
+    counts = migration.severity_map(migration.exceptions(_snap(spark, sf)))
+    return counts.select(F.posexplode("exceptions_by_severity").alias("position", "severity", "issue_count")).withColumn(
+        "position", F.col("position").cast("long"))
 
 
 @register("quality_summary")
@@ -469,20 +467,25 @@ def _q_parquet_round_trip(spark, sf):
     return spark.read.parquet(path)
 
 
-INCREMENTAL_FIRST_LOAD_BEFORE = "1996-01-01"
+def _arrivals(orders):
+    """Two arrivals by key, as an order system delivers them: the lower half
+    of the key range, then everything above it."""
+    middle = orders.agg(((F.min("order_id") + F.max("order_id")) / 2).cast("long")).first()[0]
+    first = F.col("order_id") <= F.lit(middle)
+    return orders.where(first), orders.where(~first)
 
 
 @register("fact_order_incremental")
 def _q_fact_incremental(spark, sf):
-    """First load = orders before a date; the second run appends the
-    orders above the stored key watermark (delete+insert on order_id)."""
+    """The second run appends the orders above the stored key
+    watermark (delete+insert on order_id); both loads make the full fact."""
     s = _silver(spark, sf)
-    first = revenue.fact_order(s, s.orders.where(F.col("order_date") < F.lit(INCREMENTAL_FIRST_LOAD_BEFORE).cast("date")))
     base = _scratch(spark, "fact-incremental")
-    incremental.write_version(first, base)
+    first, _ = _arrivals(s.orders)
+    incremental.write_version(revenue.fact_order(s, first), base)
     existing = incremental.read_current(spark, base)
     mark = incremental.watermark(existing, "order_id")
-    candidates = revenue.fact_order(s, s.orders.where(F.col("order_id") > F.lit(mark)))
+    candidates = revenue.fact_order(s, incremental.above(s.orders, "order_id", mark))
     merged = incremental.append_above_watermark(existing, candidates, "order_id", mark=mark)
     incremental.write_version(merged, base, expected_schema=existing.schema)
     return incremental.read_current(spark, base)
@@ -490,18 +493,17 @@ def _q_fact_incremental(spark, sf):
 
 @register("fact_order_stream")
 def _q_fact_stream(spark, sf):
-    """S5 as a stream: orders land in two arrivals (before / from a date);
-    each availableNow run appends the fact rows above the key watermark."""
+    """S5 as a stream: orders land in two arrivals, the later keys first; each
+    availableNow run adds the fact rows of the keys not loaded yet."""
     from vellum.streaming import incremental_stream as stream
     s = _silver(spark, sf)
     landing, base, ckpt = _scratch(spark, "landing"), _scratch(spark, "fact-stream"), _scratch(spark, "stream-ckpt")
-    cut = F.lit(INCREMENTAL_FIRST_LOAD_BEFORE).cast("date")
 
     def build(orders):
         return revenue.fact_order(s, orders)
 
-    for arrival in (F.col("order_date") < cut, F.col("order_date") >= cut):
-        s.orders.where(arrival).write.mode("append").parquet(landing)
+    for arrival in reversed(_arrivals(s.orders)):
+        arrival.write.mode("append").parquet(landing)
         stream.run_available(spark, landing, s.orders.schema, build, base, ckpt)
     return stream.read_fact(spark, base)
 
@@ -630,47 +632,67 @@ def _q_referential_coverage(spark, sf):
 # ------------------------------------------------------------ manifests ---
 @register("migration_manifest")
 def _q_migration_manifest(spark, sf):
-    """V4: decision, exceptions by severity, checklist and reconciliation in one row."""
+    """V4: the manifest's decision, severities, checklist and reconciliation as rows, without its run times."""
     from vellum.plans import pipeline
     m = _snap(spark, sf)
-    recon = migration.reconciliation(m)
-    queue = _queue(spark, sf)
-    gold = {"gold_reconciliation": recon, "gold_exception_queue": queue,
-            "gold_cutover_readiness": migration.cutover_readiness(queue, recon)}
-    return pipeline.migration_manifest(gold, migration.quality_report(m), migration.DEFAULT_MIGRATION_ID, 0.0, 24)
+    recon, exceptions = migration.reconciliation(m), migration.exceptions(m)
+    gold = {"gold_reconciliation": recon, "gold_exception_queue": exceptions,
+            "gold_cutover_readiness": migration.cutover_readiness(exceptions, recon)}
+    row = pipeline.migration_manifest(gold, migration.quality_report(m), migration.DEFAULT_MIGRATION_ID, 0.0, 24)
+    head = F.create_map(*[x for c in ("migration_id", "cutover_decision", "delivery_status") for x in (F.lit(c), F.col(c))])
+    steps = F.map_from_entries(F.transform("checklist", lambda c: F.struct(
+        c["check_name"], F.concat_ws("/", c["step"].cast("string"), c["status"], c["owner"]))))
+    state = F.map_from_entries(F.transform("reconciliation", lambda c: F.struct(
+        c["entity"], F.concat_ws("/", c["source_count"].cast("string"), c["target_count"].cast("string"), c["reconciliation_status"]))))
+    return _entries(row.select(head.alias("manifest"), steps.alias("checklist"), state.alias("reconciliation"), "exceptions_by_severity"),
+                    "manifest", "checklist", "reconciliation", "exceptions_by_severity")
 
 
 @register("delivery_manifest")
 def _q_delivery_manifest(spark, sf):
-    """V3: the client delivery row (gate checks and source counts are small
-    collected reports; the scorecard stays a Spark aggregate)."""
+    """V3: the client delivery's status, checks, source counts and scorecard as rows, without its run times."""
     from vellum.plans import pipeline
     c = _client(spark, sf)
-    checks = {r["check_name"]: int(r["incidents"]) for r in client.quality_report(c).collect()}
-    counts = {r["table_name"]: int(r["row_count"])
-              for r in evidence.layer_counts({"bronze": c.bronze}).collect()}
-    return pipeline.delivery_manifest(client.client_scorecard(c), counts, checks, client.DEFAULT_CLIENT_ID,
-                                      client.DEFAULT_PERIOD, 0.0, 24)
+    row = pipeline.delivery_manifest(client.client_scorecard(c), evidence.layer_counts({"bronze": c.bronze}),
+                                     client.quality_report(c), client.DEFAULT_CLIENT_ID, client.DEFAULT_PERIOD, 0.0, 24)
+    heads = ("client_id", "delivery_id", "delivery_status", "reporting_period", "quality_gate.status", "quality_gate.score")
+    head = F.create_map(*[x for h in heads for x in (F.lit(h.split(".")[-1]), F.col(h).cast("string"))])
+    scores = [f.name for f in row.schema["scorecard"].dataType]
+    score = F.create_map(*[x for n in scores for x in (F.lit(n), F.col(f"scorecard.{n}").cast("string"))])
+    flat = row.select(head.alias("manifest"), F.col("quality_gate.checks").alias("checks"),
+                      F.col("quality_gate.source_rows").alias("source_rows"), score.alias("scorecard"))
+    return _entries(flat, "manifest", "checks", "source_rows", "scorecard")
+
 
+REFUNDS_KNOWN_BEFORE = "1996-01-01"
 
-def _fact_before_refunds(spark, sf):
-    """The fact as an earlier run built it, before any refund had arrived."""
+
+def _stored_fact(spark, sf):
+    """The fact as an earlier run stored it, when only the refunds up to a date had arrived."""
     s = _silver(spark, sf)
-    tables = {n: getattr(s, n) for n in revenue.SILVER}
-    tables["refunds"] = s.refunds.where(F.lit(False))
-    return revenue.fact_order(revenue.Silver.from_silver(tables))
+    known = s.refunds.where(F.col("refund_date") < F.lit(REFUNDS_KNOWN_BEFORE).cast("date"))
+    earlier = revenue.Silver.from_silver({**{n: getattr(s, n) for n in revenue.SILVER}, "refunds": known})
+    base = _scratch(spark, "fact-versions")
+    incremental.write_version(revenue.fact_order(earlier), base)
+    return base
 
 
 @register("fact_order_corrections")
 def _q_fact_corrections(spark, sf):
-    """Orders whose fact row changed since the earlier run (refunds are
-    corrections to old keys, which the watermark load cannot see)."""
-    cs = incremental.change_set(_fact_before_refunds(spark, sf), _fact(spark, sf), "order_id")
+    """Orders whose fact row changed since the stored version (later
+    refunds are corrections to old keys, which the watermark load can't see)."""
+    existing = incremental.read_current(spark, _stored_fact(spark, sf))
+    cs = incremental.change_set(existing, _fact(spark, sf), "order_id")
     return cs.groupBy("change_type").agg(F.count(F.lit(1)).alias("orders"))
 
 
 @register("fact_order_upsert")
 def _q_fact_upsert(spark, sf):
-    """S5 upsert mode: the earlier fact with every changed, new or removed
-    order applied — equal to a full refresh, touching only changed keys."""
-    return incremental.apply_changes(_fact_before_refunds(spark, sf), _fact(spark, sf), "order_id")
+    """S5 upsert mode: the stored version with every changed, new or removed
+    order applied, stored as the next version — equal to a full refresh."""
+    base = _stored_fact(spark, sf)
+    existing, current = incremental.read_current(spark, base), _fact(spark, sf)
+    changes = materialized(incremental.changed_keys(existing, current, "order_id"), name="changes")
+    incremental.write_version(incremental.apply_changes(existing, current, "order_id", changes), base,
+                              expected_schema=existing.schema)
+    return incremental.read_current(spark, base)

@@ -108,14 +108,10 @@ class Snapshots:
                                                    f"silver-{side}-{entity}")
         return self._s[(side, entity)]
 
-    def materialize_all(self, bucketed: bool = False) -> "Snapshots":
-        """Write both snapshots; ``bucketed`` co-locates source and target of
-        an entity on its key, so the key reconcile needs no exchange (off by
-        default: the key is used by one reconcile per side, which the
-        bucketing shuffle at write time would cost as much as it saves)."""
+    def materialize_all(self) -> "Snapshots":
+        """Write both snapshots (concurrent jobs) and read them back."""
         todo = {k: silver(k[1], b) for k, b in self.bronze.items() if k not in self._s}
-        keys = {k: ENTITIES[k[1]][0] for k in todo} if bucketed else None
-        self._s.update(materialize_all(todo, "silver", bucket_by=keys))
+        self._s.update(materialize_all(todo, "silver"))
         return self
 
 
@@ -168,9 +164,15 @@ def exceptions(m: Snapshots) -> DataFrame:
 
 def exception_queue(m: Snapshots) -> DataFrame:
     """D-M3: numbered queue; numbering follows severity as text (descending),
-    entity, key — the reference order (D9) — without a single partition."""
-    ex = exceptions(m)
-    numbered = number_rows(ex, [F.col("severity").desc_nulls_last(), F.col("entity").asc_nulls_last(),
+    entity, key — the reference order (D9) — without a single partition.
+    The exceptions are written first, so sampling their order for the range
+    partitioning reads the written rows and not the reconcile again."""
+    return numbered_queue(materialized(exceptions(m), name="exceptions"))
+
+
+def numbered_queue(written: DataFrame) -> DataFrame:
+    """The queue of written exceptions."""
+    numbered = number_rows(written, [F.col("severity").desc_nulls_last(), F.col("entity").asc_nulls_last(),
                                 F.col("record_key").asc_nulls_last(), F.col("issue_type").asc_nulls_last()],
                            name="exception_id")
     return numbered.select("exception_id", "entity", "record_key", "issue_type", "severity",
@@ -192,7 +194,7 @@ def exceptions_by_severity(queue: DataFrame) -> DataFrame:
 def severity_map(queue: DataFrame) -> DataFrame:
     """A17 as the manifest carries it: one row with a severity → count map."""
     counts = exceptions_by_severity(queue)
-    return counts.agg(F.map_from_entries(F.collect_list(F.struct("severity", "issue_count")))
+    return counts.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("severity", "issue_count"))))
                       .alias("exceptions_by_severity"))
 
 

@@ -20,24 +20,19 @@ from vellum import contracts
 from vellum.operators import incremental, quality as Q
 from vellum.plans import client, evidence, migration, revenue, trips
 from vellum.sources import adapters, files
-from vellum.sources.tables import Tables
+from vellum.sources.tables import Tables, write_table
 
 
-def write_layer(frames: dict, base: str, parallel: int = 8, counts: dict | None = None,
-                bucket_by: dict | None = None) -> dict[str, DataFrame]:
+def write_layer(frames: dict, base: str, parallel: int = 8, counts: dict | None = None) -> dict[str, DataFrame]:
     """Write each frame to ``base/<name>`` (concurrent jobs) and read them back.
 
     With ``counts``, each table's row count is observed while it is written
     (``DataFrame.observe``), so the run evidence needs no second scan.
-    ``bucket_by`` maps a table to the key it is bucketed on.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark.sql import Observation
 
-    from vellum.sources.tables import write_table
-    keys = bucket_by or {}
-
     def one(item):
         name, df = item
         label = name if isinstance(name, str) else "_".join(name)
@@ -46,7 +41,7 @@ def write_layer(frames: dict, base: str, parallel: int = 8, counts: dict | None
         if counts is not None:
             obs = Observation(f"rows_{label}_{time.time_ns()}")
             df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        written = write_table(df, path, keys.get(name))
+        written = write_table(df, path)
         if obs is not None:
             counts[label] = int(obs.get["rows"])
         return name, written
@@ -55,6 +50,41 @@ def write_layer(frames: dict, base: str, parallel: int = 8, counts: dict | None
         return dict(pool.map(one, frames.items()))
 
 
+CORRUPT = "_corrupt_record"
+
+
+def intake(spark: SparkSession, contract: dict, source_dir: str, out_dir: str, label: str) -> dict[str, DataFrame]:
+    """A product's CSV folder (``<entity>.csv``) under its contract.
+
+    Every missing file is named at once. The files are parsed once, into the
+    ``intake`` tables; lines that don't parse under the contract's types are
+    set aside as delivered (``quarantine/<label>_lines``).
+    """
+    base = source_dir.rstrip("/")
+    files.require_inputs(spark, {f"{e}.csv": f"{base}/{e}.csv" for e in contract})
+    good, bad = {}, []
+    for e, schema in contract.items():
+        rows = write_table(files.read_csv(spark, f"{base}/{e}.csv", schema, corrupt_column=CORRUPT),
+                           f"{out_dir}/intake/{label}_{e}")
+        good[e] = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        bad.append(rows.where(F.col(CORRUPT).isNotNull()).select(F.lit(e).alias("entity"), F.col(CORRUPT).alias("line")))
+    every = bad[0]
+    for more in bad[1:]:
+        every = every.unionByName(more)
+    write_table(every, f"{out_dir}/quarantine/{label}_lines")
+    return good
+
+
+def _set_aside(bronze: dict, out_dir: str) -> DataFrame:
+    """Q12: the delivered rows that break a contract rule, written with every reason."""
+    return write_table(contracts.quarantined(bronze), f"{out_dir}/quarantine/rows")
+
+
+def _written_report(report: DataFrame, out_dir: str) -> DataFrame:
+    """A gate report computed once: written, then read by the gate and the evidence."""
+    return write_table(report.coalesce(1), f"{out_dir}/gate/run={_stamp()}")
+
+
 def _counts_frame(spark: SparkSession, layers: dict[str, dict[str, int]]) -> DataFrame:
     """(layer, table_name, row_count) rows from observed counts (tens of rows)."""
     rows = [(layer, name, int(n)) for layer, tables in layers.items() for name, n in tables.items()]
@@ -69,10 +99,6 @@ def _fail_on_tests(report: DataFrame) -> dict[str, int]:
     return res
 
 
-def _collect_row(df: DataFrame) -> dict:
-    return json.loads(df.toJSON().first())
-
-
 def _write_evidence(row: DataFrame, path: str) -> dict:
     """Write the one-row evidence and return it as read back from the file
     (the row is computed once; the returned dict is what was published)."""
@@ -96,41 +122,50 @@ def run_trips(spark: SparkSession, sf_dir: str | None, out_dir: str, month: str
             raise ValueError("a month is required to pick the source file")
         path = files.monthly_file(source_dir, month)
         files.require_inputs(spark, {f"trips {month}": path})
-        raw = trips.raw_trips(spark.read.parquet(path))
+        source = spark.read.parquet(path)
+        absent = [d["column"] for d in files.schema_diff(source.schema, contracts.TRIPS) if d["issue"] == "missing"]
+        if absent:
+            raise ValueError(f"contract violations: columns {absent} are missing")
+        raw = trips.raw_trips(source)
     else:
         raw = trips.raw_trips(adapters.trip_source(Tables(spark, sf_dir)))
         if month is not None:
             raw = trips.select_month(raw, month)
+    raw = write_table(raw, f"{out_dir}/raw")
     report = trips.quality_report(raw).first().asDict()
     if not report["passed"]:
         raise RuntimeError("staging quality checks failed")
-    daily = trips.daily_metrics(trips.staged_trips(raw))
-    files.write_parquet(daily, f"{out_dir}/daily_metrics")
-    days = spark.read.parquet(f"{out_dir}/daily_metrics").count()
+    staged = write_table(trips.staged_trips(raw), f"{out_dir}/staged")
+    days = write_table(trips.daily_metrics(staged), f"{out_dir}/daily_metrics").count()
     summary = {"month": month, "metric_days": days, "quality": report}
     files.write_json(spark.createDataFrame([(json.dumps(summary),)], "summary string"), f"{out_dir}/summary")
     return summary
 
 
 # ------------------------------------------------------------------- E ---
-def run_revenue(spark: SparkSession, sf_dir: str, out_dir: str, incremental_load: bool = False,
-                upsert: bool = False) -> dict:
-    """E: the revenue run; ``incremental_load`` appends orders above the key
+def run_revenue(spark: SparkSession, sf_dir: str | None, out_dir: str, incremental_load: bool = False,
+                upsert: bool = False, source_dir: str | None = None) -> dict:
+    """E: the revenue run, on the CSV files of ``source_dir`` or on entities
+    derived from the driver tables of ``sf_dir``; ``incremental_load`` appends orders above the key
     watermark to the versioned fact instead of replacing it; ``upsert``
     applies the change set against the stored fact instead (new, changed and
     removed orders, so corrections to old orders are picked up)."""
     started = time.time()
-    t = Tables(spark, sf_dir)
-    raw = {n: b(t) for n, b in adapters.REVENUE_SOURCES.items()}
+    if source_dir is not None:
+        raw = intake(spark, contracts.REVENUE, source_dir, out_dir, "revenue")
+    else:
+        t = Tables(spark, sf_dir)
+        raw = {n: b(t) for n, b in adapters.REVENUE_SOURCES.items()}
     issues = contracts.check_schemas(raw, contracts.REVENUE)
     if issues:
         raise ValueError(f"contract violations: {issues}")
     observed = {"bronze": {}, "silver": {}, "gold": {}}
     bronze = write_layer(raw, f"{out_dir}/bronze", counts=observed["bronze"])
     s = revenue.Silver.from_silver(write_layer({n: revenue.SILVER[n](bronze[n]) for n in revenue.SILVER},
-                                               f"{out_dir}/silver", counts=observed["silver"],
-                                               bucket_by=revenue.BUCKET_KEYS))
-    checks = Q.gate(revenue.quality_report(s))
+                                               f"{out_dir}/silver", counts=observed["silver"]))
+    _set_aside({("revenue", e): df for e, df in bronze.items()}, out_dir)
+    report = _written_report(revenue.quality_report(s), out_dir)
+    checks = Q.gate(report)
 
     fact_base = f"{out_dir}/gold/fact_order"
     existing = incremental.read_current(spark, fact_base) if (incremental_load or upsert) else None
@@ -139,14 +174,14 @@ def run_revenue(spark: SparkSession, sf_dir: str, out_dir: str, incremental_load
         incremental.write_version(revenue.fact_order(s), fact_base)
     elif upsert:
         current = revenue.fact_order(s)
-        cs = incremental.change_set(existing, current, "order_id")
+        cs = write_table(incremental.changed_keys(existing, current, "order_id"), f"{out_dir}/changes/run={_stamp()}")
         changes = {r["change_type"]: int(r["n"]) for r in cs.groupBy("change_type")
                    .agg(F.count(F.lit(1)).alias("n")).collect()}
         incremental.write_version(incremental.apply_changes(existing, current, "order_id", cs),
                                   fact_base, expected_schema=existing.schema)
     else:
         mark = incremental.watermark(existing, "order_id")
-        new = revenue.fact_order(s, s.orders.where(F.col("order_id") > F.lit(mark)))
+        new = revenue.fact_order(s, incremental.above(s.orders, "order_id", mark))
         incremental.write_version(incremental.append_above_watermark(existing, new, "order_id", mark),
                                   fact_base, expected_schema=existing.schema)
     fact = incremental.read_current(spark, fact_base)
@@ -159,7 +194,7 @@ def run_revenue(spark: SparkSession, sf_dir: str, out_dir: str, incremental_load
     tests = _fail_on_tests(Q.run_tests(revenue.gold_tests(), gold))
 
     counts = _counts_frame(spark, observed)
-    summary = evidence.run_summary(counts, revenue.quality_report(s), revenue.run_totals(fact),
+    summary = evidence.run_summary(counts, report, revenue.run_totals(fact),
                                    "upsert" if upsert else "incremental" if incremental_load else "full_refresh",
                                    round(time.time() - started, 3))
     out = _write_evidence(summary, f"{out_dir}/evidence/run={_stamp()}")
@@ -185,12 +220,17 @@ def latest_run(spark: SparkSession, out_dir: str) -> dict | None:
 
 
 # ------------------------------------------------------------------- C ---
-def run_client(spark: SparkSession, sf_dir: str, out_dir: str, client_id: str = client.DEFAULT_CLIENT_ID,
-               reporting_period: str = client.DEFAULT_PERIOD, target_hours: int = 24) -> dict:
-    """C: delivery run → gold deliverables and the delivery manifest (V3)."""
+def run_client(spark: SparkSession, sf_dir: str | None, out_dir: str, client_id: str = client.DEFAULT_CLIENT_ID,
+               reporting_period: str = client.DEFAULT_PERIOD, target_hours: int = 24,
+               source_dir: str | None = None) -> dict:
+    """C: delivery run → gold deliverables and the delivery manifest (V3), on
+    the CSV files of ``source_dir`` or on the driver tables of ``sf_dir``."""
     started = time.time()
-    t = Tables(spark, sf_dir)
-    raw = {n: b(t) for n, b in adapters.CLIENT_SOURCES.items()}
+    if source_dir is not None:
+        raw = intake(spark, contracts.CLIENT, source_dir, out_dir, "client")
+    else:
+        t = Tables(spark, sf_dir)
+        raw = {n: b(t) for n, b in adapters.CLIENT_SOURCES.items()}
     issues = contracts.check_schemas(raw, contracts.CLIENT)
     if issues:
         raise ValueError(f"contract violations: {issues}")
@@ -198,36 +238,52 @@ def run_client(spark: SparkSession, sf_dir: str, out_dir: str, client_id: str =
     bronze = write_layer(raw, f"{out_dir}/bronze", counts=source_rows)
     s = client.Silver.from_silver(write_layer({n: client.SILVER[n](bronze[n]) for n in client.SILVER},
                                               f"{out_dir}/silver"))
-    checks = Q.gate(client.quality_report(s))
+    _set_aside({("client", e): df for e, df in bronze.items()}, out_dir)
+    report = _written_report(client.quality_report(s), out_dir)
+    Q.gate(report)
     gold = write_layer({"gold_client_scorecard": client.client_scorecard(s, client_id, reporting_period),
                         "gold_account_health": client.account_health(s),
                         "gold_daily_operations": client.daily_operations(s)}, f"{out_dir}/gold")
     _fail_on_tests(Q.run_tests(client.gold_tests(), gold))
     duration = round(time.time() - started, 3)
-    manifest = delivery_manifest(gold["gold_client_scorecard"], source_rows, checks, client_id,
-                                 reporting_period, duration, target_hours)
+    manifest = delivery_manifest(gold["gold_client_scorecard"], _counts_frame(spark, {"bronze": source_rows}), report,
+                                 client_id, reporting_period, duration, target_hours)
     return _write_evidence(manifest, f"{out_dir}/evidence/run={_stamp()}")
 
 
-def delivery_manifest(scorecard: DataFrame, source_rows: dict[str, int], checks: dict, client_id: str,
+def delivery_manifest(scorecard: DataFrame, counts: DataFrame, report: DataFrame, client_id: str,
                       reporting_period: str, duration: float, target_hours: int) -> DataFrame:
-    """V3: one row — delivery, quality gate, SLA (measured), scorecard."""
-    g = scorecard.select(F.struct(*scorecard.columns).alias("scorecard"),
-                         F.create_map(*[x for k, v in source_rows.items()
-                                        for x in (F.lit(k), F.lit(int(v)).cast("long"))]).alias("source_rows"))
+    """V3: one row — delivery, quality gate, SLA (measured), scorecard.
+
+    ``counts`` has the source rows (table_name, row_count), ``report`` the gate
+    checks (check_name, incidents); both are tens of rows and meet the
+    scorecard in one aggregate over their tagged union.
+    """
+    card = scorecard.select(F.struct(*scorecard.columns).alias("card"))
+    pair = "struct<name:string,n:bigint>"
+    none = lambda t: F.lit(None).cast(t)
+    kind = card.schema["card"].dataType
+    u = (card.select("card", none(pair).alias("source"), none(pair).alias("check"))
+         .unionByName(counts.select(none(kind).alias("card"), F.struct(F.col("table_name").alias("name"), F.col("row_count").alias("n"))
+                                    .cast(pair).alias("source"), none(pair).alias("check")))
+         .unionByName(report.select(none(kind).alias("card"), none(pair).alias("source"),
+                                    F.struct(F.col("check_name").alias("name"), F.col("incidents").alias("n")).cast(pair).alias("check"))))
+    g = u.agg(F.first("card", ignorenulls=True).alias("scorecard"),
+              F.sort_array(F.collect_list("source")).alias("sources"), F.sort_array(F.collect_list("check")).alias("found"))
+    clean = F.size(F.filter("found", lambda c: c["n"] == 0))
+    passed = clean == F.size("found")
+    score = F.when(F.size("found") == 0, F.lit(100)).otherwise(F.round(F.lit(100) * clean / F.size("found")).cast("int"))
     within = duration <= target_hours * 3600
     period = reporting_period[:7]
-    passed = not any(checks.values())
-    score = round(100 * sum(1 for v in checks.values() if not v) / len(checks)) if checks else 100
     return g.select(
         F.lit(client_id).alias("client_id"),
         F.lit(f"{client_id}-{period}").alias("delivery_id"),
-        F.lit("accepted" if passed else "held").alias("delivery_status"),
+        F.when(passed, "accepted").otherwise("held").alias("delivery_status"),
         F.lit(period).alias("reporting_period"),
         F.array(*[F.lit(d) for d in ("client_scorecard", "account_health", "daily_operations")]).alias("deliverables"),
-        F.struct(F.lit("passed" if passed else "failed").alias("status"),
-                 F.create_map(*[x for k, v in checks.items() for x in (F.lit(k), F.lit(v))]).alias("checks"),
-                 F.lit(score).alias("score"), F.col("source_rows")).alias("quality_gate"),
+        F.struct(F.when(passed, "passed").otherwise("failed").alias("status"),
+                 F.map_from_entries("found").alias("checks"), score.alias("score"),
+                 F.map_from_entries("sources").alias("source_rows")).alias("quality_gate"),
         F.struct(F.lit(target_hours).alias("target_hours"), F.lit(duration).alias("actual_duration_seconds"),
                  F.lit("within_target" if within else "missed").alias("status")).alias("sla"),
         "scorecard",
@@ -235,27 +291,46 @@ def delivery_manifest(scorecard: DataFrame, source_rows: dict[str, int], checks:
 
 
 # ------------------------------------------------------------------- M ---
-def run_migration(spark: SparkSession, sf_dir: str, out_dir: str,
-                  migration_id: str = migration.DEFAULT_MIGRATION_ID, target_hours: int = 24) -> dict:
+def run_migration(spark: SparkSession, sf_dir: str | None, out_dir: str,
+                  migration_id: str = migration.DEFAULT_MIGRATION_ID, target_hours: int = 24,
+                  source_dir: str | None = None) -> dict:
     """M: both snapshots → source gate → reconciliation, queue, decision →
-    migration manifest (V4)."""
+    migration manifest (V4). ``source_dir`` has the folders ``source`` and
+    ``target`` with a CSV file an entity; else the snapshots are derived from
+    the driver tables of ``sf_dir``."""
     started = time.time()
-    t = Tables(spark, sf_dir)
     raw = {}
-    for e in migration.ENTITIES:
-        raw[("source", e)] = adapters.migration_source(t, e)
-        raw[("target", e)] = adapters.migration_target(t, e)
+    if source_dir is not None:
+        base = source_dir.rstrip("/")
+        files.require_inputs(spark, {f"{side}/{e}.csv": f"{base}/{side}/{e}.csv"
+                                     for side in migration.SIDES for e in migration.ENTITIES})
+        for side in migration.SIDES:
+            found = intake(spark, contracts.MIGRATION, f"{base}/{side}", out_dir, side)
+            raw.update({(side, e): df for e, df in found.items()})
+    else:
+        t = Tables(spark, sf_dir)
+        for e in migration.ENTITIES:
+            raw[("source", e)] = adapters.migration_source(t, e)
+            raw[("target", e)] = adapters.migration_target(t, e)
+    for side in migration.SIDES:
+        names = {e: raw[(side, e)] for e in migration.ENTITIES}
+        issues = [i for i in contracts.check_schemas(names, contracts.MIGRATION)
+                  if i["issue"] in ("missing", "missing_entity", "extra")]  # target amounts may be wider decimals
+        if issues:
+            raise ValueError(f"contract violations in the {side}: {issues}")
     bronze = write_layer(raw, f"{out_dir}/bronze")
     m = migration.Snapshots.from_silver(write_layer({k: migration.silver(k[1], b) for k, b in bronze.items()},
                                                     f"{out_dir}/silver"))
-    checks = Q.gate(migration.quality_report(m))
-    recon = migration.reconciliation(m)
-    gold = write_layer({"gold_reconciliation": recon, "gold_exception_queue": migration.exception_queue(m)},
-                       f"{out_dir}/gold")
+    _set_aside({(f"migration_{side}", e): df for (side, e), df in bronze.items()}, out_dir)
+    report = _written_report(migration.quality_report(m), out_dir)
+    checks = Q.gate(report)
+    found = write_table(migration.exceptions(m), f"{out_dir}/silver/exceptions")
+    gold = write_layer({"gold_reconciliation": migration.reconciliation(m),
+                        "gold_exception_queue": migration.numbered_queue(found)}, f"{out_dir}/gold")
     ready = migration.cutover_readiness(gold["gold_exception_queue"], gold["gold_reconciliation"], migration_id)
     gold.update(write_layer({"gold_cutover_readiness": ready}, f"{out_dir}/gold"))
     _fail_on_tests(Q.run_tests(migration.gold_tests(), gold))
-    manifest = migration_manifest(gold, migration.quality_report(m), migration_id,
+    manifest = migration_manifest(gold, report, migration_id,
                                   round(time.time() - started, 3), target_hours)
     out = _write_evidence(manifest, f"{out_dir}/evidence/run={_stamp()}")
     out["quality_checks"] = checks

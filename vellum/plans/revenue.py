@@ -14,17 +14,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.functions import (MONEY, RATE, avg_money, days_between, money, money_total, norm_lower,
+from vellum.functions import (MONEY, MONEY_TOTAL, RATE, avg_money, days_between, money, money_total, norm_lower,
                               norm_upper, ratio_pct)
 from vellum.sources import adapters
 from vellum.sources.tables import Tables, materialize_all, materialized
 
 # Accepted order statuses
 ORDER_STATUSES = ("delivered", "shipped", "cancelled")
-# silver tables are bucketed on the key they are joined and grouped on most
-BUCKET_KEYS = {"orders": "order_id", "order_items": "order_id", "payments": "order_id",
-               "refunds": "order_id", "shipments": "order_id", "customers": "customer_id",
-               "products": "product_id"}
 KEY = "long"  # ids are BIGINT: INTEGER order keys overflow past ~2^31 orders
 
 
@@ -135,11 +131,10 @@ class Silver:
             self._silver[name] = materialized(SILVER[name](self.bronze[name]), self.materialize, f"silver-{name}")
         return self._silver[name]
 
-    def materialize_all(self, bucketed: bool = True) -> "Silver":
-        """Write every silver table (concurrent jobs) and read them back;
-        ``bucketed`` co-locates the order children with orders on order_id."""
+    def materialize_all(self) -> "Silver":
+        """Write every silver table (concurrent jobs) and read them back."""
         todo = {n: SILVER[n](self.bronze[n]) for n in SILVER if n not in self._silver}
-        self._silver.update(materialize_all(todo, "silver", bucket_by=BUCKET_KEYS if bucketed else None))
+        self._silver.update(materialize_all(todo, "silver"))
         return self
 
 
@@ -164,13 +159,13 @@ def fact_order(s: Silver, orders: DataFrame | None = None) -> DataFrame:
     """
     o = s.orders if orders is None else orders
     order_totals = (s.order_items.groupBy("order_id")
-                    .agg(money(F.sum(_line_amount())).alias("ot_total")))
+                    .agg(money_total(F.sum(_line_amount())).alias("ot_total")))
     payment_totals = (s.payments.groupBy("order_id")
-                      .agg(money(F.sum(F.when(F.col("payment_status") == "paid", F.col("amount"))
-                                       .otherwise(F.lit(0)))).alias("pt_paid")))
+                      .agg(money_total(F.sum(F.when(F.col("payment_status") == "paid", F.col("amount"))
+                                             .otherwise(F.lit(0)))).alias("pt_paid")))
     refund_totals = (s.refunds.groupBy("order_id")
-                     .agg(money(F.sum(F.when(F.col("refund_status") == "processed", F.col("amount"))
-                                      .otherwise(F.lit(0)))).alias("rt_refunded")))
+                     .agg(money_total(F.sum(F.when(F.col("refund_status") == "processed", F.col("amount"))
+                                            .otherwise(F.lit(0)))).alias("rt_refunded")))
     shipment = s.shipments.select(
         "order_id", F.col("carrier").alias("sd_carrier"),
         "promised_delivery_date", "actual_delivery_date",
@@ -181,25 +176,27 @@ def fact_order(s: Silver, orders: DataFrame | None = None) -> DataFrame:
          .join(refund_totals, "order_id", "left")
          .join(shipment, "order_id", "left"))
 
-    total = F.coalesce(F.col("ot_total"), F.lit(0).cast(MONEY))
-    refunded = F.coalesce(F.col("rt_refunded"), F.lit(0).cast(MONEY))
+    # per-order sums keep the width of a total: one very large order must not
+    # overflow row money
+    total = F.coalesce(F.col("ot_total"), F.lit(0).cast(MONEY_TOTAL))
+    refunded = F.coalesce(F.col("rt_refunded"), F.lit(0).cast(MONEY_TOTAL))
     completed = F.col("order_status") != "cancelled"
     late = F.col("actual_delivery_date") > F.col("promised_delivery_date")
     cost = F.coalesce(F.col("sd_cost"), F.lit(0).cast(MONEY))
     return j.select(
         "order_id", "customer_id", "order_date", "order_status",
-        money(total).alias("order_total"),
-        money(F.coalesce(F.col("pt_paid"), F.lit(0))).alias("paid_amount"),
+        total.alias("order_total"),
+        money_total(F.coalesce(F.col("pt_paid"), F.lit(0))).alias("paid_amount"),
         completed.alias("is_completed"),
-        money(refunded).alias("refunded_amount"),
-        money(F.when(completed, F.greatest(total - refunded, F.lit(0))).otherwise(F.lit(0))).alias("net_revenue"),
+        refunded.alias("refunded_amount"),
+        money_total(F.when(completed, F.greatest(total - refunded, F.lit(0))).otherwise(F.lit(0))).alias("net_revenue"),
         F.coalesce(F.col("sd_carrier"), F.lit("not_shipped")).alias("carrier"),
         "promised_delivery_date", "actual_delivery_date",
         money(cost).alias("shipping_cost"),
         F.coalesce(late, F.lit(False)).alias("is_late"),
         F.when(late, days_between("promised_delivery_date", "actual_delivery_date"))
          .otherwise(F.lit(0)).cast("long").alias("days_late"),
-        money(refunded + F.when(late, cost).otherwise(F.lit(0))).alias("leakage_amount"),
+        money_total(refunded + F.when(late, cost).otherwise(F.lit(0))).alias("leakage_amount"),
     )
 
 

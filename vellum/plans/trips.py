@@ -12,7 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.functions import avg2
+from vellum.functions import avg2, sum2
 
 # Source column → (target name, type), and the month format
 TRIP_COLUMNS = (
@@ -83,7 +83,7 @@ def daily_metrics(staged: DataFrame) -> DataFrame:
     return (staged.groupBy(F.col("pickup_at").cast("date").alias("trip_date"))
             .agg(F.count(F.lit(1)).alias("trip_count"),
                  F.round(F.sum(F.coalesce(F.col("passenger_count"), F.lit(0.0))), 2).alias("passenger_count"),
-                 F.round(F.sum(F.col("total_amount").cast("decimal(18,2)")), 2).cast("double").alias("gross_revenue"),
+                 sum2("total_amount").alias("gross_revenue"),
                  avg2("trip_distance").alias("avg_trip_distance"),
                  avg2("total_amount").alias("avg_total_amount")))
 
@@ -115,7 +115,7 @@ def quality_report(raw: DataFrame) -> DataFrame:
 def check_month(month: str) -> str:
     """``YYYY-MM`` or ValueError."""
     if not isinstance(month, str) or not MONTH_PATTERN.fullmatch(month):
-        raise ValueError("month must use YYYY-MM format, for example 2024-01")
+        raise ValueError(f"not a month of the form YYYY-MM: {month!r}")
     return month
 
 

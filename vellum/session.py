@@ -47,8 +47,9 @@ def build_session(master: str | None = None, app: str = "vellum",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; it is used as is. Only when it is
-    unset (local tests) a private scratch folder is created.
+    A cluster names a shared folder there; it is used as is. Only a local
+    master gets a private scratch folder when it is unset (tests): on a
+    cluster each executor would write to a disk of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -62,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
+    if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="vellum-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc is not None:
         sc.setCheckpointDir(local)

@@ -15,26 +15,11 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_SCANS: dict[tuple[SparkSession, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
-
-    The scan (file listing and footer schema) is resolved once per session
-    and path; every query then starts from the same lazy relation.
-    """
+    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    key = (spark, table_path(sf_dir, name))
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(key[1])
-    return _SCANS[key]
-
-
-def forget_scans() -> None:
-    """Drop the resolved scans (after the files under a path changed)."""
-    _SCANS.clear()
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 class Tables:
@@ -53,66 +38,43 @@ class Tables:
         return self._cache[name]
 
 
-def materialized(df: DataFrame, enabled: bool = True, name: str = "layer",
-                 bucket_by: str | None = None, buckets: int | None = None) -> DataFrame:
+def materialized(df: DataFrame, enabled: bool = True, name: str = "layer") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
     This is the layer boundary of a medallion run (silver, then gold built
     from the written silver): later plans start from the written files, the
     lineage is cut, and a lost executor does not force a recomputation of
     the layer below. Parquet (not a row checkpoint) keeps column pruning and
-    filter pushdown for every reader of the layer.
-
-    ``bucket_by`` writes the table hash-bucketed (and sorted) on a key, as an
-    external table at the same folder: every later aggregation or join on
-    that key between tables bucketed alike reads co-located buckets and
-    needs no exchange. The write shuffles once so each bucket is one file.
+    filter pushdown for every reader of the layer. Rows stay where their task
+    wrote them: dealing raw rows out by a key would put a hot key into one
+    file and keep later joins from splitting it.
     """
     if not enabled:
         return df
     import uuid
 
     from vellum.session import work_dir
-    path = work_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
-    return write_table(df, path, bucket_by, buckets)
+    return write_table(df, work_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}"))
 
 
-def write_table(df: DataFrame, path: str, bucket_by: str | None = None,
-                buckets: int | None = None) -> DataFrame:
-    """Write ``df`` as parquet at ``path`` (bucketed on ``bucket_by`` as an
-    external table when given) and return the written table."""
-    import re
-    import uuid
-    spark = df.sparkSession
-    if bucket_by is None:
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = re.sub(r"[^A-Za-z0-9_]", "_", f"vellum_{path.rstrip('/').rsplit('/', 1)[-1]}_{uuid.uuid4().hex[:8]}")
-    (df.repartition(n, bucket_by).write.mode("overwrite").option("path", path)
-     .bucketBy(n, bucket_by).sortBy(bucket_by).format("parquet").saveAsTable(table))
-    return spark.table(table)
-
-
-def materialize_all(frames: dict, name: str = "layer", parallel: int = 8,
-                    bucket_by: dict | None = None, buckets: int | None = None) -> dict:
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as parquet at ``path`` and return the written table."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def materialize_all(frames: dict, name: str = "layer", parallel: int = 8) -> dict:
     """Materialize several independent tables as concurrent Spark jobs.
 
     Small tables of one layer do not fill a cluster on their own; submitting
     their writes from a few driver threads lets the scheduler run them side
-    by side. ``bucket_by`` maps a table to its bucketing key (one bucket
-    count for the whole layer, so equal keys co-locate across tables).
-    Returns the read-back frames under the same keys.
+    by side. Returns the read-back frames under the same keys.
     """
     from concurrent.futures import ThreadPoolExecutor
     items = list(frames.items())
     if not items:
         return {}
-    keys = bucket_by or {}
-    if keys and buckets is None:
-        spark = items[0][1].sparkSession
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     label = lambda k: f"{name}-{k if isinstance(k, str) else '-'.join(k)}"
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(items)))) as pool:
-        futures = {k: pool.submit(materialized, df, True, label(k), keys.get(k), buckets) for k, df in items}
+        futures = {k: pool.submit(materialized, df, True, label(k)) for k, df in items}
         return {k: f.result() for k, f in futures.items()}

@@ -1,12 +1,13 @@
 """S5 on micro-batches: new order files arriving in a landing folder are
-turned into fact rows and appended above the key watermark.
+turned into fact rows, merged by key.
 
 ``readStream`` tracks which files were processed (exactly once through its
-checkpoint); ``foreachBatch`` applies the batch rule of the keyed
-incremental load. Each micro-batch writes its rows into its own
-``_batch=<id>`` folder with overwrite, and its watermark is taken from the
-batches before it, so a batch replayed after a failure rewrites the same
-rows instead of appending them twice.
+checkpoint); ``foreachBatch`` builds the rows of the batch's keys that no
+earlier batch has loaded. Each micro-batch writes its rows into its own
+``_batch=<id>`` folder with overwrite and only looks at the batches before
+it, so a batch replayed after a failure rewrites the same rows. The rows
+loaded in the end don't depend on how the arrivals were cut into batches:
+there is no watermark that a later batch could fall under.
 """
 
 from __future__ import annotations
@@ -24,17 +25,15 @@ def _loaded(spark: SparkSession, base: str) -> DataFrame | None:
 
 
 def fact_batch_writer(build_fact: Callable[[DataFrame], DataFrame], base: str, key: str = "order_id"):
-    """foreachBatch function: fact rows for the batch's keys above the watermark."""
+    """foreachBatch function: fact rows for the batch's keys not loaded yet."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        loaded = _loaded(spark, base)
-        mark = 0
+        loaded = _loaded(batch.sparkSession, base)
+        new = batch
         if loaded is not None:
-            row = loaded.where(F.col("_batch") < batch_id).agg(F.max(key).alias("m")).first()
-            mark = row["m"] if row and row["m"] is not None else 0
-        rows = build_fact(batch.where(F.col(key) > F.lit(mark)))
-        (rows.withColumn("_batch", F.lit(batch_id).cast("long"))
+            keys = loaded.where(F.col("_batch") < batch_id).select(F.col(key).alias("_k"))
+            new = batch.join(keys, batch[key].eqNullSafe(keys["_k"]), "left_anti")
+        (build_fact(new).withColumn("_batch", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_batch").parquet(base))
 
