@@ -19,7 +19,7 @@ def test_random_edits(seed):
     rng, bpe = random.Random(seed), coder(PATH, P.PATTERN)
     some = lambda n: "".join(rng.choices("ab \n\t'sdtrel 12,.!　é", k=rng.randint(0, n)))
     for k in range(200):
-        doc = EditedText(some(400), bpe.pattern, bpe.count)
+        doc = EditedText(some(400), bpe)
         for _ in range(6):
             at, gone, new = rng.randint(0, len(doc.text) + 2), rng.choice([0, 1, 3, 20, 300]), some(rng.choice([0, 2, 20, 900]))
             want = doc.text[:at] + new + doc.text[at:][gone:]
@@ -33,7 +33,7 @@ def test_random_edits(seed):
 
 def test_only_the_edited_region_is_encoded():
     bpe = coder(PATH, P.PATTERN)
-    doc = EditedText("some words in a row, " * 20_000, bpe.pattern, bpe.count)
+    doc = EditedText("some words in a row, " * 20_000, bpe)
     doc.encoded = doc.tree.touched = 0
     doc.edit(200_003, 4, "more")
     assert doc.encoded <= 6 and doc.tree.touched <= 2 * 20

@@ -33,7 +33,7 @@ from vellum.llm.text import python_workers_import, row_struct
 
 #: entries of each table that a worker keeps (a full table starts anew), and
 #: code points of the longest string kept
-MAX_KEPT = 500_000
+MAX_KEPT = 400_000
 MAX_LENGTH = 64
 
 
@@ -57,6 +57,7 @@ class ByteBpe:
         # bounded tables of this worker
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.parts_kept: dict[str, tuple[int, ...]] = {}
+        self.spans_kept: dict[str, tuple[tuple[int, int], ...]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         # one entry per token at most
         self.parts = functools.lru_cache(None)(self._parts)
@@ -155,61 +156,71 @@ class ByteBpe:
             at -= len(self.bytes_of[token])
         return tuple(out)
 
-    def _pieces(self, text: str) -> tuple[int, ...]:
-        """The ids of a text, piece by piece."""
-        kept, out = self.pieces, []
-        for piece in self.pattern.findall(text):
-            ids = kept.get(piece)
-            if ids is None:
-                ids = self.encode_piece(piece.encode("utf-8", "surrogatepass"))
-                if len(piece) <= MAX_LENGTH:
-                    if len(kept) >= MAX_KEPT:
-                        kept.clear()
-                    kept[piece] = ids
-            out += ids
-        return tuple(out)
+    def ids_of(self, piece: str) -> tuple[int, ...]:
+        """The ids of one piece, from the table of pieces if it is there."""
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = self.encode_piece(piece.encode("utf-8", "surrogatepass"))
+            if len(piece) <= MAX_LENGTH:
+                if len(self.pieces) >= MAX_KEPT:
+                    self.pieces.clear()
+                self.pieces[piece] = ids
+        return ids
+
+    def count(self, piece: str) -> int:
+        """The number of tokens of one piece."""
+        return len(self.ids_of(piece))
+
+    def _ids(self, text: str) -> tuple[int, ...]:
+        return tuple(itertools.chain.from_iterable(map(self.ids_of, self.pattern.findall(text))))
+
+    def _spans(self, text: str) -> tuple[tuple[int, int], ...]:
+        return tuple([(len(p), self.count(p)) for p in self.pattern.findall(text)])
 
     def encode(self, text: str) -> list[int]:
-        """The ids of a whole text.
+        """The ids of a whole text."""
+        return self._by_parts(text, self.parts_kept, self._ids)
+
+    def spans(self, text: str) -> list[tuple[int, int]]:
+        """(code points, tokens) of each piece of a whole text."""
+        return self._by_parts(text, self.spans_kept, self._spans)
+
+    def _by_parts(self, text: str, kept: dict, make) -> list:
+        """What ``make`` gives for the pieces of a text, part by part.
 
         A single space between two characters that aren't white space always
-        begins a piece, whatever stands around it, so the ids of the part
+        begins a piece, whatever stands around it, so the pieces of the part
         from one such space to the next depend on that part alone. These
-        parts repeat, and their ids are kept.
+        parts repeat, and what they give is kept.
         """
         first, *rest = text.split(" ")
-        kept = self.parts_kept
         try:
-            if rest and not first[-1:].isspace() and first:
-                return [*self._pieces(first), *itertools.chain.from_iterable(map(kept.__getitem__, rest))]
+            if rest and first and not first[-1].isspace():
+                return [*make(first), *itertools.chain.from_iterable(map(kept.__getitem__, rest))]
         except KeyError:
             pass
-        out: list[int] = []
+        out: list = []
         part = first
         for word in rest:
             if part and word and not part[-1].isspace() and not word[0].isspace():
-                out += self._part(part)
+                out += self._part(part, kept, make)
                 part = " " + word
             else:
                 part += " " + word
-        out += self._part(part)
+        out += self._part(part, kept, make)
         return out
 
-    def _part(self, part: str) -> tuple[int, ...]:
+    def _part(self, part: str, kept: dict, make) -> tuple:
         word = part[1:]
         if part[:1] != " " or not word or len(part) > MAX_LENGTH or word[0].isspace() or word[-1].isspace() or " " in word:
-            return self._pieces(part)
-        ids = self.parts_kept.get(word)
-        if ids is None:
-            ids = self._pieces(part)
-            if len(self.parts_kept) >= MAX_KEPT:
-                self.parts_kept.clear()
-            self.parts_kept[word] = ids
-        return ids
-
-    def count(self, piece: str) -> int:
-        """The number of tokens of one pre-token."""
-        return len(self.encode_piece(piece.encode("utf-8", "surrogatepass"))) if len(piece) > MAX_LENGTH else len(self._pieces(piece))
+            return make(part)
+        made = kept.get(word)
+        if made is None:
+            made = make(part)
+            if len(kept) >= MAX_KEPT:
+                kept.clear()
+            kept[word] = made
+        return made
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))

@@ -17,12 +17,13 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vellum.llm.byte_bpe import ByteBpe, coder
 from vellum.llm.text import python_workers_import, row_struct, whole_text
 
 #: pre-tokens of a new leaf; a leaf of four times as many leads to a new tree
@@ -141,14 +142,10 @@ def unpack_tree(raw: bytes) -> SegmentTree:
 class EditedText:
     """A text with its tree; ``encoded`` counts the pre-tokens encoded."""
 
-    def __init__(self, text: str, pattern, count: Callable[[str], int], tree: SegmentTree | None = None):
-        self.text, self.pattern, self.count, self.encoded = text, pattern, count, 0
+    def __init__(self, text: str, bpe: ByteBpe, tree: SegmentTree | None = None):
+        self.text, self.bpe, self.encoded = text, bpe, 0
         if tree is None:
-            spans, at = [], 0
-            for m in pattern.finditer(text):
-                assert m.start() == at, "the pattern covers every character"
-                at = m.end()
-                spans.append((at - m.start(), count(m.group())))
+            spans = bpe.spans(text)
             self.encoded = len(spans)
             tree = SegmentTree(spans)
         self.tree = tree
@@ -171,7 +168,7 @@ class EditedText:
         old_leaf, old_k, old_end = leaf, k, start  # old pre-tokens before this place are replaced
         spans: list[Span] = []
         here = start
-        for m in self.pattern.finditer(self.text, start):
+        for m in self.bpe.pattern.finditer(self.text, start):
             if here >= at + len(inserted):
                 # move on to the old cut at or behind this one
                 while old_end + shift < here and (old_leaf, old_k) != (len(tree.leaves), 0):
@@ -184,7 +181,7 @@ class EditedText:
                     old_k += 1
                 if old_end + shift == here and old_end >= at + n_deleted:
                     break
-            spans.append((m.end() - m.start(), self.count(m.group())))
+            spans.append((m.end() - m.start(), self.bpe.count(m.group())))
             self.encoded += 1
             here = m.end()
         else:
@@ -201,10 +198,9 @@ def count_trees(docs: DataFrame, ranks_path: str, pattern: str, text_col: str =
 
     @F.pandas_udf("n_tokens long, tree binary")
     def build(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        from vellum.llm.byte_bpe import coder
         bpe = coder(ranks_path, pattern)
         for texts in batches:
-            trees = [EditedText(t or "", bpe.pattern, bpe.count).tree for t in texts]
+            trees = [EditedText(t or "", bpe).tree for t in texts]
             yield pd.DataFrame({"n_tokens": [t.tokens for t in trees], "tree": [pack_tree(t) for t in trees]})
 
     built = docs.select(row_struct(docs).alias("doc"), build(F.col(text_col)).alias("b"))
@@ -232,12 +228,11 @@ def edited_counts(docs: DataFrame, edits: Column, ranks_path: str, pattern: str,
 
     @F.pandas_udf(fields)
     def follow(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        from vellum.llm.byte_bpe import coder
         bpe = coder(ranks_path, pattern)
         for texts, trees, changes in batches:
             rows = []
             for text, raw, edits_of in zip(texts, trees, changes):
-                doc = EditedText(text or "", bpe.pattern, bpe.count, unpack_tree(raw) if raw is not None else None)
+                doc = EditedText(text or "", bpe, unpack_tree(raw) if raw is not None else None)
                 before, doc.encoded = doc.tree.tokens, 0
                 for e in () if edits_of is None else edits_of:
                     doc.edit(e["at"], e["n_deleted"], e["inserted"] or "")
