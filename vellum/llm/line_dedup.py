@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.text import WHITE_SPACE, ascii_lower, hash128, row_struct, whole_text
+from vellum.llm.text import WHITE_SPACE, ascii_lower, hash128, row_struct, whole_text, written
 
 
 def line_key(line: Column) -> Column:
@@ -41,6 +41,10 @@ def shared_line_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str
               .agg(F.countDistinct("id").alias("n_docs"), F.max("id").alias("last_id"))
               .where(F.col("n_docs") >= min_docs)
               .select("h1", "h2", "last_id"))
+    # written, so that the join below has an exchange of its own on either side
+    # and a very common line's partition can be split (an aggregate in the same
+    # stage would keep it whole)
+    shared = written(shared, "shared-lines")
     return (lines.join(shared, ["h1", "h2"])
             .where(F.col("id") < F.col("last_id"))
             .groupBy("id").agg(F.collect_list("pos").alias("positions")))
