@@ -9,7 +9,9 @@
 3. Representatives that share a band are candidates. A bucket is never
    expanded into its pairs: its members are first checked against one leader,
    the member with the fullest buckets, which in a group of edited copies is
-   the text that the others were made from.
+   the text that the others were made from. What is known of each bucket is
+   written before it meets the members again, so that either side of the join
+   has an exchange of its own and a very full bucket's partition can be split.
 4. Links are confirmed on the full shingle sets and joined into components.
 5. Only members of one bucket that lie in different components are compared
    again, all such pairs, in blocks, so no link is lost to the choice of
@@ -133,7 +135,7 @@ def _star(members: DataFrame) -> DataFrame:
     with the fullest buckets."""
     leaders = (members.groupBy("h").agg(F.max(F.struct("fullness", F.col("id").alias("b"))).alias("top"))
                .select("h", F.col("top.b").alias("b")))
-    return members.join(leaders, "h").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
+    return members.join(written(leaders, "leaders"), "h").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
 
 
 def _held_alone(texts: DataFrame, s: Settings) -> DataFrame:
@@ -160,7 +162,7 @@ def _left_over(members: DataFrame, reps: DataFrame, texts: DataFrame, s: Setting
     able = members.join(known.where(100 * F.col("most") >= s.percent * F.col("n_shingles")), "id")
     able = written(_mixed(able), "in-question")
     sizes = able.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("n_blocks"))
-    full = (able.join(sizes, "h")
+    full = (able.join(written(sizes, "sizes"), "h")
             .withColumn("own", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))))
     side = lambda x, i, j: full.select(
@@ -193,7 +195,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    "classes")
     buckets = reps.select("id", F.explode("bands").alias("h"))
     shared = buckets.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = written(buckets.join(shared, "h"), "buckets")
+    members = written(buckets.join(written(shared, "sizes"), "h"), "buckets")
     fullness = written(members.groupBy("id").agg(F.sum("size").alias("fullness")), "fullness")
     texts = written(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("raw"))
                     .join(fullness.select("id"), "id", "left_semi"), "candidates")
@@ -220,4 +222,4 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def _mixed(members: DataFrame) -> DataFrame:
     """The members of buckets that hold more than one component."""
     mixed = members.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    return members.join(mixed.select("h"), "h", "left_semi")
+    return members.join(written(mixed.select("h"), "mixed"), "h", "left_semi")
