@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.text import row_struct
+from vellum.llm.text import row_struct, written
 
 _WIDE = "decimal(19,0)"  # products of two have 38 digits
 
@@ -122,7 +122,8 @@ def mix_sources(docs: DataFrame, levels: Sequence[Column], tokens: Column, mix:
         *names, F.expr("case when tokens > 0 then budget div tokens else 0 end").alias("epochs"),
         F.expr("case when tokens > 0 then budget % tokens else 0 end").alias("rest"),
         F.ceil(F.col("docs") / mix.bucket_docs).cast("long").alias("n_buckets"))
-    rows = rows.join(plan, names)
+    # written (one row a leaf), so that the rows of a hot leaf can be split in this join
+    rows = rows.join(written(plan, "budgets"), names)
     rows = rows.withColumn("_order", F.md5(F.concat_ws("|", F.lit(str(mix.seed)), F.col("epochs"), F.col("_id")).cast("binary")))
     at = F.conv(F.substring("_order", 1, 8), 16, 10).cast("long") * F.col("n_buckets")
     rows = rows.withColumn("_bucket", F.shiftright(at, 32))
