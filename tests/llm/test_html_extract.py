@@ -76,3 +76,40 @@ def test_edge_cases(spark):
     got = rows.select("page.page_id", "page.page", "text").collect()
     assert [r.text.count("\n") for r in sorted(got, key=lambda r: r.page_id)] == [0, 29_999, 29_999] and got[0].page == "b"
     assert extract_pages(spark.createDataFrame([], schema), Weights()).collect() == []
+
+
+PROSE = "This block belongs to the article and holds a good many words of running text, as blocks of articles do."
+BODY = f"<h1>The headline</h1><p>{PROSE}</p><p>{PROSE}</p>"
+TEXT = f"The headline\n{PROSE}\n{PROSE}"
+
+
+@pytest.mark.parametrize("mark", ["article", "main", "div"])
+@pytest.mark.parametrize("names", ['class="site has-sidebar"', 'class="layout overflow-hidden"', 'id="search-form-page"',
+                                   'class="no-comments ad-free"', 'id="widget" class="header"'])
+def test_wrappers_with_names_of_other_things(mark, names):
+    """A name never takes the article away, with or without a mark."""
+    menu, remarks = "<nav><a>Home</a> <a>News</a></nav>", f'<div class="comments"><p>{PROSE}</p></div>'
+    for page in (f"<body><div {names}>{menu}<{mark}>{BODY}</{mark}>{remarks}</div></body>",
+                 f"<body><div class='page-header'><div {names}>{menu}<{mark}>{BODY}</{mark}></div></div></body>",
+                 f"<body><{mark}><div {names}>{BODY}</div></{mark}>{remarks}</body>"):
+        assert main_text(page, Weights()) == TEXT
+
+
+@pytest.mark.parametrize("mark", ["article", "main", "div"])
+@pytest.mark.parametrize("block", ['<div class="legal-text">{}</div>', '<section class="share-prices">{}</section>',
+                                   '<div id="form-of-government">{}</div>'])
+def test_article_blocks_with_names_of_other_things(mark, block):
+    for first, last in ((BODY, BODY), (BODY, "")):
+        page = f"<body><{mark}>{first}{block.format(PROSE)}{last}</{mark}><footer>Some words of the site</footer></body>"
+        assert main_text(page, Weights()).split("\n") == [*TEXT.split("\n"), PROSE, *(TEXT.split("\n") if last else [])]
+
+
+def test_names_still_speak_against_other_things():
+    """Long comments, adverts and link lists beside or in an article."""
+    others = (f'<section id="comments">{"".join(f"<article class=comment><p>{PROSE}</p></article>" for _ in range(9))}</section>'
+              f'<div class="related-posts">{"<a>Another article to read</a> " * 9}</div><div class="sidebar"><p>{PROSE}</p></div>')
+    for mark in ("article", "main", "div"):
+        assert main_text(f"<body><{mark}>{BODY}<div class='ad-slot'>{PROSE}</div><p>The end of it.</p></{mark}>{others}</body>",
+                         Weights()) == TEXT + "\nThe end of it."
+    post = f"<article class='post has-ad'>{BODY}</article>"
+    assert main_text(f"<body>{post}{others}</body>", Weights()) == TEXT

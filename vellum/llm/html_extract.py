@@ -9,9 +9,14 @@ in, with its class; links apart) is counted inside and outside the article,
 and the log odds become the weights. The marking elements themselves carry no
 weight, so the scan works alike on pages without them.
 
-Elements whose name, role, class or id says that they aren't part of the
-article (menus, forms, adverts, comments and the like) are left out of the
-region's text, wherever they stand.
+Elements whose tag, role or hiding attribute says that they aren't part of the
+article (menus, forms and the like) are left out of the region's text, wherever
+they stand. A class or id only speaks against an element: one that holds most of
+the article's words (those of the marked article, or of the page where nothing
+is marked) is a wrapper, and its name means nothing. Of the others, adverts,
+comments and elements named in whole ("sidebar") are left out, and those that
+only have such a word in a longer name ("share-prices") are left out if they hold
+little running text, and otherwise cost a fixed sum in the scan.
 """
 
 from __future__ import annotations
@@ -47,6 +52,14 @@ WORDS_APART = frozenset(
     "notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related "
     "recommended recommendations comment comments reply replies respond disqus discussion pagination pager widget widgets "
     "skip hidden copyright legal search form".split())
+#: those of them that leave an element out as a part of a longer name too
+WORDS_SURE = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr newsletter "
+    "comment comments reply replies respond disqus".split())
+#: those of them that name blocks of articles too, so that inside of a mark they are taken as parts of longer names are
+WORDS_UNSURE = frozenset("alert banner copyright discussion foot footer form head header legal notice notices search share".split())
+#: words outside of links from which an element with a doubtful name has running text, and what it costs in the scan
+LEAST_PROSE, NAME_COST = 15, 5.0
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -76,39 +89,102 @@ def _says_apart(tag: str, attrs: list[tuple[str, str | None]], inside_mark: bool
             return True
         if name == "role" and value in ROLES:
             return True
-        if name in ("class", "id") and value and tag not in ("body", "html") and tag not in MARKS:
-            if any(w.lower() in WORDS_APART for w in _NAME.findall(value)):
-                return True
-        if name in ("class", "id") and value and tag == "article":
-            if {w.lower() for w in _NAME.findall(value)} & {"comment", "reply", "ad", "promo", "related"}:
-                return True
     return False
 
 
+@dataclass(frozen=True)
+class Named:
+    """An element whose class or id speaks against it: whether for sure, and
+    whether it is an <article> that is another thing than the page's."""
+
+    sure: bool
+    other: bool
+
+
+def _named(tag: str, attrs: list[tuple[str, str | None]], inside_mark: bool) -> Named | None:
+    if tag in ("body", "html", "main"):
+        return None
+    found = None
+    for name in (x for n, v in attrs if n in ("class", "id") and v for x in v.split()):
+        parts = [w.lower() for w in _NAME.findall(name)]
+        if tag == "article":
+            against = {"comment", "reply", "ad", "promo", "related"}.intersection(parts)
+            if against:
+                found = Named(True, bool(against & {"comment", "reply"}) or len(parts) == 1 or bool(found and found.other))
+            continue
+        against = WORDS_APART.intersection(parts)
+        if not against:
+            continue
+        whole = len(against) == len(set(parts)) and not (inside_mark and against <= WORDS_UNSURE)
+        if whole or against & WORDS_SURE:
+            return Named(True, False)
+        found = Named(False, False)
+    return found
+
+
 class Page(HTMLParser):
-    """The tokens of a page: (kinds, text, block, apart, in article)."""
+    """The tokens of a page: (kinds, text, block, apart, in article, cost)."""
 
     def __init__(self, html: str, forms_apart: bool = True):
         super().__init__(convert_charrefs=True)
         self.forms_apart = forms_apart
-        self.open: list[tuple[str, tuple[str, ...], bool, bool]] = []  # name, kinds, apart, unseen
-        self.tokens: list[tuple[tuple[str, ...], str | None, int, bool, bool]] = []
+        self.open: list[tuple[str, tuple[str, ...], bool, bool, int]] = []  # name, kinds, apart, unseen, scope
         self.block, self.marked, self.n_marks = 0, 0, 0
+        self.marks: Counter = Counter()  # open marks by tag
+        self.scopes: list[tuple[int, Named | None]] = [(0, None)]  # the named elements, each with the scope around it
+        self._found: list[tuple[tuple[str, ...], str | None, int, bool, bool, str, int, bool]] = []
         self.feed(html)
         self.close()
+        self.tokens = self._weighed()
+
+    def _weighed(self) -> list[tuple[tuple[str, ...], str | None, int, bool, bool, float]]:
+        """The tokens, with the named elements judged by what they hold."""
+        in_other = [False] * len(self.scopes)
+        for i, (around, named) in enumerate(self.scopes[1:], 1):
+            in_other[i] = in_other[around] or named.other
+        # what each scope itself holds: words of marked articles, of <main>, of the page, outside of links, in links
+        own = [[0.0, 0.0, 0.0, 0, 0] for _ in self.scopes]
+        for kinds, text, _, apart, _, mark, scope, _ in self._found:
+            if text is None or apart:
+                continue
+            n, mine = len(text.split()), own[scope]
+            value = n * (0.05 if kinds == ("a",) else 1.0)
+            if mark and not in_other[scope]:
+                mine[0 if mark == "article" else 1] += value
+            mine[2] += value
+            mine[4 if kinds == ("a",) else 3] += n
+        for i in range(len(self.scopes) - 1, 0, -1):  # a scope's number is above that of the one around it
+            around = own[self.scopes[i][0]]
+            for k, x in enumerate(own[i]):
+                around[k] += x
+        of = next((k for k in (0, 1, 2) if own[0][k] > 0), 2)
+        out, cost = [False] * len(self.scopes), [0.0] * len(self.scopes)
+        for i, (around, named) in enumerate(self.scopes[1:], 1):
+            wrapper = 2 * own[i][of] > own[0][of]
+            little = own[i][3] < LEAST_PROSE or 2 * own[i][4] > own[i][3]
+            out[i] = out[around] or (not wrapper and (named.sure or little))
+            cost[i] = 0.0 if wrapper else NAME_COST
+        return [(kinds, text, block, apart or out[scope], inside, cost[scope] if opens else 0.0)
+                for kinds, text, block, apart, inside, _, scope, opens in self._found]
+
+    def _add(self, kinds: tuple[str, ...], text: str | None, apart: bool, scope: int, opens: bool = False) -> None:
+        mark = "article" if self.marks["article"] > 0 else "main" if self.marked > 0 else ""
+        self._found.append((kinds, text, self.block, apart, self.marked > 0, mark, scope, opens))
 
     def _kinds(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[str, ...]:
         names = next((v for n, v in attrs if n == "class" and v), None) or next((v for n, v in attrs if n == "id" and v), "")
         return (tag, *(f"{tag}.{w}" for w in names.split()[:3]))
 
-    def _tag(self, kinds: tuple[str, ...], apart: bool) -> None:
+    def _tag(self, kinds: tuple[str, ...], apart: bool, scope: int, opens: bool = False) -> None:
         if kinds[0] not in INLINE:
             self.block += 1
         if kinds[0] not in MARKS:
-            self.tokens.append((kinds, None, self.block, apart, self.marked > 0))
+            self._add(kinds, None, apart, scope, opens)
 
     def _close_to(self, at: int) -> None:
-        self.marked -= sum(x[0] in MARKS for x in self.open[at:])
+        closed = [x[0] for x in self.open[at:] if x[0] in MARKS]
+        self.marked -= len(closed)
+        self.marks.subtract(closed)
         del self.open[at:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -127,13 +203,19 @@ class Page(HTMLParser):
         apart = bool(self.open and self.open[-1][2]) or (
             (self.forms_apart or tag != "form") and _says_apart(tag, attrs, self.marked > 0))
         unseen = tag in UNSEEN or bool(self.open and self.open[-1][3])
+        scope = self.open[-1][4] if self.open else 0
+        named = None if apart or unseen or tag in VOID else _named(tag, attrs, self.marked > 0)
+        if named:
+            self.scopes.append((scope, named))
+            scope = len(self.scopes) - 1
         if not unseen:
-            self._tag(kinds, apart)
+            self._tag(kinds, apart, scope, named is not None)
         if tag == "br":
-            self.tokens.append((("br",), " ", self.block, apart, self.marked > 0))
+            self._add(("br",), " ", apart, scope)
         if tag not in VOID:
-            self.open.append((tag, kinds, apart, unseen))
+            self.open.append((tag, kinds, apart, unseen, scope))
             if tag in MARKS:
+                self.marks[tag] += 1
                 self.marked += 1
                 self.n_marks += 1
 
@@ -146,9 +228,9 @@ class Page(HTMLParser):
             return
         if tag in INLINE and any(x[0] not in INLINE for x in self.open[at:]):
             return
-        _, kinds, apart, unseen = self.open[at]
+        _, kinds, apart, unseen, scope = self.open[at]
         if not unseen:
-            self._tag(kinds, apart)
+            self._tag(kinds, apart, scope)
         self._close_to(at)
 
     def handle_data(self, data: str) -> None:
@@ -156,7 +238,7 @@ class Page(HTMLParser):
             return
         place = ("a",) if any(x[0] == "a" for x in self.open) else next(
             (x[1] for x in reversed(self.open) if x[0] not in INLINE and x[0] not in MARKS), ("body",))
-        self.tokens.append((place, data, self.block, bool(self.open and self.open[-1][2]), self.marked > 0))
+        self._add(place, data, bool(self.open and self.open[-1][2]), self.open[-1][4] if self.open else 0)
 
     def unknown_decl(self, data: str) -> None:
         """<![...]> sections are markup."""
@@ -169,7 +251,7 @@ def count_places(html: str | None) -> Counter:
     out: Counter = Counter()
     if page.n_marks != 1:
         return out
-    for kinds, text, _, apart, inside in page.tokens:
+    for kinds, text, _, apart, inside, _ in page.tokens:
         if apart:  # left out by name: teaches nothing about other places
             continue
         n = 1 if text is None else len(text.split())
@@ -212,11 +294,11 @@ def main_text(html: str | None, weights: Weights) -> str:
     for forms_apart in (True, False):  # some pages are one large form
         tokens = Page(html, forms_apart).tokens
         # what is left out anyway costs little, so it doesn't part the article
-        start, end = best_run([(-0.1 if apart else weights.tag(kinds)) if text is None else
+        start, end = best_run([(-0.1 if apart else weights.tag(kinds) - cost) if text is None else
                                0.0 if apart else weights.word(kinds) * len(text.split())
-                               for kinds, text, _, apart, _ in tokens])
+                               for kinds, text, _, apart, _, cost in tokens])
         blocks: dict[int, list[str]] = {}
-        for _, text, block, apart, _ in tokens[start:end]:
+        for _, text, block, apart, _, _ in tokens[start:end]:
             if text is not None and not apart:
                 blocks.setdefault(block, []).append(text)
         lines = [" ".join("".join(parts).split()) for parts in blocks.values()]
