@@ -1,8 +1,9 @@
 """Secret scan: wide candidates, then a random forest against false positives.
 
-Candidates are maximal runs of key-like characters with a digit in them,
-cut from whole texts with two regular expressions (the runs, and the text
-between them, which gives the neighbouring words). A random forest on the
+Candidates are whatever is assigned to a credential's name, known formats of
+keys, and maximal runs of key-like characters with a digit in them, cut from
+whole texts with one regular expression (its matches, and the text between
+them, which gives the neighbouring words). A random forest on the
 candidate's length and alphabet, the transitions between its character
 classes, the share of it that dictionary words cover, its path and the words
 beside it tells secrets from checksums, identifiers, numbers and placeholders.
@@ -42,6 +43,19 @@ TEST_PATH = r"(?i)(test|example|sample|mock|fixture|docs?/)"
 #: known formats of access keys and tokens
 KNOWN_FORMATS = r"^((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[baprs]-[A-Za-z0-9\-]{10,}|AIza[0-9A-Za-z_\-]{35})$"
 
+# What is assigned to a credential's name. Java's look-behind takes bounded patterns; the two short ones before the long
+# one leave few places to try it at.
+_ASSIGNED = (r"(?<=[=:> \t\"'`])(?<=[=:>][ \t]{0,20}[\"'`]?(?i:bearer |basic )?)(?<=(?i:" + CREDENTIAL.removeprefix("(?i)")
+             + r"(?:orization)?s?[0-9]{0,3}(?:[_\-][a-z0-9]{1,12})?(?:[_\-][a-z0-9]{1,12})?)[\"'\]]{0,2}[ \t]{0,20}(?::=|=>|==|[=:])[ \t]{0,20}"
+             r"[\"'`]?(?i:bearer |basic )?)(?!(?i:bearer|basic) )")
+#: characters that end a value if only such ones follow, or if the name of a next value does
+_STOPS, _NEXT = r"'&;,<>.:)\]}", r"(?![&;,]\s{0,2}[A-Za-z_][A-Za-z0-9_ .\-]{0,30}[=:])(?!</)"
+_PART = rf"[^\s\"`{_STOPS}]"
+_VALUE = (r"(?:(?<=\")(?=[^\"\r\n]*[^\"\s])[^\"\r\n]{1,4000}(?=\")|(?<=')(?=[^'\r\n]*[^'\s])[^'\r\n]{1,4000}(?=')"
+          rf"|(?:[{_STOPS[1:]}]{{1,8}}(?={_PART}))?{_PART}++(?:{_NEXT}[{_STOPS}]{{1,8}}{_PART}++){{0,100}})")
+#: every candidate: values of a credential's name of any length and alphabet, known formats, and the runs (for Java's engine)
+FOUND = rf"{_ASSIGNED}{_VALUE}|(?<![{_KEY}])(?:{KNOWN_FORMATS[1:-1]})(?![{_KEY}])|{CANDIDATE}"
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -63,10 +77,10 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, path: Column) -> Dat
     """doc_id, path, n (1, 2, … in the text), candidate, before, after, gap
     (code points between the candidate before and this one)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(path.cast("string"), F.lit("")).alias("path"),
-                       whole_text(text_col).alias("text")).where(F.col("text").rlike(CANDIDATE))
+                       whole_text(text_col).alias("text")).where(F.col("text").rlike(FOUND))
     cut = rows.select("doc_id", "path", F.xxhash64("text").alias("h"),
-                      F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"),
-                      F.split("text", CANDIDATE, -1).alias("between"))
+                      F.regexp_extract_all("text", F.lit(FOUND), F.lit(0)).alias("found"),
+                      F.split("text", FOUND, -1).alias("between"))
     beside = F.transform(F.col("between"), lambda t: F.struct(
         F.right(t, F.lit(BESIDE)).alias("end"), F.left(t, F.lit(BESIDE)).alias("start"), F.char_length(t).alias("n")))
     cut = cut.select("doc_id", "path", "h", "found", beside.alias("beside"))
@@ -144,6 +158,9 @@ def constructed_findings(spark: SparkSession, n: int) -> DataFrame:
     upper = lambda k, size: F.substring(F.upper(F.regexp_replace(F.base64(F.unhex(hexa(k, 64))), "[^A-Za-z0-9]", "Q")), 1, size)
     mixed = lambda k, size: F.concat(F.substring(F.regexp_replace(F.base64(F.unhex(hexa(k, 64))), "[^A-Za-z0-9]", "x"), 1, size - 1), F.lit("7"))
     digits = lambda k, size: F.substring(F.translate(hexa(k, 64), "abcdef", "314159"), 1, size)
+    letters = lambda k, size: F.translate(hexa(k, size), "0123456789", "ghijklmnop")
+    signs = lambda k, size: F.translate(mixed(k, size), "aGmSy4", "#!$@%&")
+    word = lambda k: F.substr(F.translate(hexa(k, 16), "0123456789", "aeioulnrst"), F.lit(1), (F.col("id") % 7 + 3).cast("int"))
     h = hexa("u", 32)
     uuid = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12))
     both = [  # (candidate, before, after, label)
@@ -157,6 +174,13 @@ def constructed_findings(spark: SparkSession, n: int) -> DataFrame:
         (F.concat(F.lit("section-"), digits("m", 2), F.lit("-of-the-report")), "read ", " first", 0),
         (F.concat(F.lit("your-password-here"), digits("n", 1)), "password=", " for example", 0),
         (F.concat(F.lit("order_number_"), digits("o", 6)), "the ", " was", 0),
+        (hexa("p", 10), "api_key=", " in", 1), (signs("q", 13), "password=", "\n", 1), (signs("r", 16), "token: ", " for", 1),
+        (F.concat(*[F.initcap(letters(k, 6)) for k in "stvw"]), "secret = ", "\n", 1),
+        (F.translate(mixed("x", 24), "0123456789", "ghijKLMNOP"), "client_secret: ", " is", 1),
+        (F.translate(upper("y", 16), "0123456789", "QRSTUVWXYZ"), "password='", "'", 1),
+        (F.concat(F.lit("AKIA"), F.translate(upper("z", 16), "0123456789", "QRSTUVWXYZ")), "with the key ", " of the", 1),
+        (word("aa"), "password: ", " of the", 0), (word("ab"), "token = ", " and", 0), (F.initcap(word("ac")), "Secret: ", " was", 0),
+        (F.concat_ws(" ", word("ad"), word("ae"), word("af"), word("ag")), 'the secret: "', '" said', 0),
     ]
     rows = F.explode(F.array(*[F.struct(c.alias("candidate"), F.lit(b).alias("before"), F.lit(a).alias("after"),
                                         F.lit("").alias("path"), F.lit(float(label)).alias("label")) for c, b, a, label in both]))
@@ -165,10 +189,11 @@ def constructed_findings(spark: SparkSession, n: int) -> DataFrame:
 
 def labelled_findings(found: DataFrame, s: Settings) -> DataFrame:
     """The constructed findings and a bounded sample of the corpus's own that
-    are decided by a known format, an assignment to a credential's name, or by
-    being a bare number."""
+    are decided by a known format, an assignment of a run (with a digit, and of
+    some length) to a credential's name, or by being a bare number."""
     near = F.right(F.col("before"), F.lit(24))
-    secret = F.col("candidate").rlike(KNOWN_FORMATS) | (near.rlike(CREDENTIAL + r"\W{0,4}[=:]\s*[\"']?$") & ~F.col("candidate").rlike(PLACEHOLDER))
+    secret = F.col("candidate").rlike(KNOWN_FORMATS) | (near.rlike(CREDENTIAL + r"\W{0,4}[=:]\s*[\"']?$") & ~F.col("candidate").rlike(PLACEHOLDER)
+                                                        & F.col("candidate").rlike(f"^(?:{CANDIDATE})$"))
     number = F.col("candidate").rlike("^[0-9]+$")
     cols = ["candidate", "before", "after", "path"]
     own = (found.select(*cols, F.when(secret, 1.0).when(number, 0.0).alias("label")).where("label IS NOT NULL")
