@@ -1,10 +1,11 @@
+import base64
 import random
 
 import pytest
 import zstandard
 
 from vellum.llm import queries
-from vellum.llm.quality_rules import Bands, quality_rules, repeat_words
+from vellum.llm.quality_rules import Bands, compression, quality_rules, repeat_words, text_stats
 
 from .conftest import SF
 
@@ -69,3 +70,24 @@ def test_very_long_repeated_and_empty(make_docs):
     rows = quality_rules(make_docs([(1, text), (1, text)])).select("quality.*").collect()
     assert rows[0] == rows[1] and rows[0].n_words == 200_000
     assert quality_rules(make_docs([])).collect() == []
+
+
+def test_an_encoded_part_counts_wherever_it_stands(spark):
+    """A third of a document at its front, end or across the last full chunk,
+    and a smaller share of a long one, in a row or in pieces."""
+    sf, rng, packer = SF.replace("0.001", "0.1"), random.Random(3), zstandard.ZstdCompressor(level=3)
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("lang = 'en'").join(labels, "doc_id").orderBy("doc_id").limit(400)
+    clean = "\n".join(r.text for r in docs.collect()).encode().decode("ascii", "ignore")
+    assert len(clean) > 120_000
+    code = lambda n: base64.b64encode(rng.randbytes(n)).decode()[:n]
+    in_chunks = lambda t: text_stats(t, Bands(whole=((0, 0.0, 99.0),)), packer)[-2]  # noqa: E731  (the chunks alone)
+    for at in range(0, 80_000, 8192):
+        text = clean[at:at + 8192]
+        assert in_chunks(text) and in_chunks(text + clean[at + 8192:at + 12_287])
+        assert not in_chunks(text + code(4095)) and not in_chunks(code(4096) + text)
+        assert not in_chunks(text + clean[at + 8192:at + 10_240] + code(4096))
+    long = clean[:76_000]
+    assert in_chunks(long) and not in_chunks(long[:30_000] + code(24_000) + long[30_000:])
+    assert not in_chunks("".join(long[k:k + 16_384] + code(8192) for k in range(0, 60_000, 16_384)))
+    assert compression(b"x" * 9000, Bands(), packer)[1:] == (3, 3, 9000, 9000)

@@ -5,8 +5,9 @@ short text has little to repeat, a long one more. A document is rejected when
 its zstandard ratio (bytes before / bytes after) leaves the band of its
 length class, either way: above it is repetitive (or built from a few
 templates), below it is close to incompressible (encoded or random bytes).
-Fixed chunks are held against one band of their own, which finds a large
-repetitive or encoded part in a document whose total looks normal.
+Fixed chunks, the last of which covers the final bytes, are held against one
+band of their own, which finds a large repetitive or encoded part in a document
+whose total looks normal, wherever it stands.
 
 Base rules (word counts, symbols, duplicate lines, repeated windows) come
 with the verdict. Everything looks at the whole text of one row, so the job
@@ -33,9 +34,12 @@ SYMBOLS = "#*$%&|<>"
 class Bands:
     """Limits of the ratio. ``whole``: (bytes from, least, most), ascending;
     a class holds until the next one begins. ``chunk``: least and most of a
-    full chunk; a document is rejected when more than ``max_bad_chunks`` of
-    its full chunks leave them. The defaults were set on the labelled rows:
-    clean documents lie inside with a margin of about a twelfth."""
+    chunk; a document is rejected when the chunks that leave them cover more
+    than ``max_bad_chunks`` of its bytes, more than both ``max_bad_bytes``
+    bytes and ``max_bad_long`` of it, or more than ``max_bad_run`` bytes in a
+    row. The defaults were set on the labelled rows: clean
+    documents lie inside with a margin of about a twelfth, and none of their
+    chunks is outside."""
 
     level: int = 3
     whole: tuple[tuple[int, float, float], ...] = (
@@ -44,10 +48,16 @@ class Bands:
     chunk_bytes: int = 4096
     chunk: tuple[float, float] = (1.50, 2.60)
     max_bad_chunks: float = 0.25
+    max_bad_bytes: int = 8192
+    max_bad_long: float = 0.05
+    max_bad_run: int = 16384
 
     def limits(self, n_bytes: int) -> tuple[float, float]:
         return next((least, most) for start, least, most in reversed(self.whole) if n_bytes >= start)
 
+    def most_bad(self, n_bytes: int) -> float:
+        return min(self.max_bad_chunks * n_bytes, max(self.max_bad_bytes, self.max_bad_long * n_bytes))
+
 
 def repeat_words(words: list[bytes], window: int = 8) -> int:
     """Words inside a window of ``window`` words (a power of two) that the
@@ -70,18 +80,25 @@ def repeat_words(words: list[bytes], window: int = 8) -> int:
     return int((np.cumsum(edges[:n]) > 0).sum())
 
 
-def compression(raw: bytes, bands: Bands, packer: zstandard.ZstdCompressor) -> tuple[float, int, int]:
-    """(whole ratio, full chunks, full chunks outside their band)."""
+def compression(raw: bytes, bands: Bands, packer: zstandard.ZstdCompressor) -> tuple[float, int, int, int, int]:
+    """(whole ratio, chunks, chunks outside their band, bytes that those
+    cover, the most of these in a row). The last chunk covers the final bytes,
+    so it may overlap the one before it; a text below a chunk has none."""
     if not raw:
-        return 0.0, 0, 0
+        return 0.0, 0, 0, 0, 0
     ratio = len(raw) / len(packer.compress(raw))
     size, (least, most) = bands.chunk_bytes, bands.chunk
-    full = len(raw) // size
-    bad = 0
-    for k in range(full):
-        part = size / len(packer.compress(raw[k * size:(k + 1) * size]))
-        bad += not least <= part <= most
-    return ratio, full, bad
+    starts = [k * size for k in range(len(raw) // size)]
+    if starts and len(raw) % size:
+        starts.append(len(raw) - size)
+    bad = covered = longest = run = end = 0
+    for start in starts:
+        if least <= size / len(packer.compress(raw[start:start + size])) <= most:
+            continue
+        new = start + size - max(start, end)
+        run = run + new if start <= end and bad else new
+        bad, covered, longest, end = bad + 1, covered + new, max(longest, run), start + size
+    return ratio, len(starts), bad, covered, longest
 
 
 def text_stats(text: str | None, bands: Bands, packer: zstandard.ZstdCompressor) -> tuple:
@@ -91,9 +108,9 @@ def text_stats(text: str | None, bands: Bands, packer: zstandard.ZstdCompressor)
     lines = [x for x in text.split("\n") if x.strip(WORD_BREAKS)]
     n_repeat = repeat_words(words)
     failed = len(words) < 20 or 100 * n_repeat > 30 * len(words)
-    ratio, chunks, bad = compression(raw, bands, packer)
+    ratio, chunks, bad, bad_bytes, bad_run = compression(raw, bands, packer)
     least, most = bands.limits(len(raw))
-    in_band = bool(raw) and least <= ratio <= most and bad <= bands.max_bad_chunks * chunks
+    in_band = bool(raw) and least <= ratio <= most and bad_bytes <= bands.most_bad(len(raw)) and bad_run <= bands.max_bad_run
     return (len(words), len(text) - sum(map(text.count, WORD_BREAKS)) if words else 0, sum(map(text.count, SYMBOLS)),
             len(lines) - len(set(lines)), n_repeat, failed, ratio, chunks, bad, in_band, in_band and not failed)
 
