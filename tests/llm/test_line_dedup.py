@@ -49,6 +49,13 @@ def test_repeated_rows_and_missing_ids(make_docs):
     assert sorted((r.doc_id, r.n_dropped) for r in rows) == [(1, 1), (1, 1), (2, 1), (3, 0)]
 
 
+def test_one_id_with_two_texts(make_docs):
+    """A line that one of them loses leaves the other's line alone."""
+    own = "Another line, which nobody else has"
+    rows = dedup_lines(make_docs([(1, f"{LINE}\nend"), (1, f"{own}\n{LINE}"), (1, own), (2, LINE), (3, LINE)])).select("doc.doc_id", "kept_text").collect()
+    assert sorted((r.doc_id, r.kept_text) for r in rows) == [(1, own), (1, own), (1, "end"), (2, ""), (3, LINE)]
+
+
 def test_empty_table(make_docs):
     assert dedup_lines(make_docs([])).collect() == []
 

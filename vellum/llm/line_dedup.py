@@ -24,7 +24,8 @@ def line_key(line: Column) -> Column:
 
 def shared_line_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """(id, positions): the lines each document loses.
+    """(id, text_hash, positions): the lines each document loses, by the hash
+    of its text, as rows that repeat an id may hold different texts.
 
     A line is lost when its key has at least ``min_chars`` code points, is
     found in at least ``min_docs`` distinct ids, and the document's id isn't
@@ -32,11 +33,12 @@ def shared_line_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     keyed = ascii_lower(whole_text(text_col))
     lines = (docs.where(F.col(id_col).isNotNull())
-             .select(F.col(id_col).alias("id"), F.posexplode(F.split(keyed, "\n", -1)).alias("pos", "line"))
-             .select("id", "pos", F.btrim("line", F.lit(WHITE_SPACE)).alias("key"))
+             .select(F.col(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("text_hash"),
+                     F.posexplode(F.split(keyed, "\n", -1)).alias("pos", "line"))
+             .select("id", "text_hash", "pos", F.btrim("line", F.lit(WHITE_SPACE)).alias("key"))
              .where(F.char_length("key") >= min_chars))
     h1, h2 = hash128(F.col("key"))
-    lines = lines.select("id", "pos", h1.alias("h1"), h2.alias("h2"))
+    lines = lines.select("id", "text_hash", "pos", h1.alias("h1"), h2.alias("h2"))
     shared = (lines.groupBy("h1", "h2")
               .agg(F.countDistinct("id").alias("n_docs"), F.max("id").alias("last_id"))
               .where(F.col("n_docs") >= min_docs)
@@ -47,7 +49,7 @@ def shared_line_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str
     shared = written(shared, "shared-lines")
     return (lines.join(shared, ["h1", "h2"])
             .where(F.col("id") < F.col("last_id"))
-            .groupBy("id").agg(F.collect_list("pos").alias("positions")))
+            .groupBy("id", "text_hash").agg(F.collect_list("pos").alias("positions")))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -56,16 +58,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``kept_text``, ``n_lines`` (before dropping), ``n_dropped``.
 
     Edge cases: a NULL or empty text is one empty line; rows that repeat an
-    id are one document when documents are counted, each keeps its own row,
-    and a position that either of them loses is lost in both only where both
-    hold the same line there (the position list is checked against the line
-    count of the row); a row without an id counts for no key and keeps all
+    id are one document when documents are counted, each keeps its own row
+    and loses the lines of its own text only; a row without an id counts for no key and keeps all
     its lines; an empty table gives an empty result.
     """
     lost = shared_line_positions(docs, id_col, text_col, min_chars, min_docs)
     rows = docs.select(row_struct(docs).alias("doc"), F.col(id_col).alias("row_id"),
                        whole_text(text_col).alias("whole"))
-    joined = rows.join(lost, rows["row_id"] == lost["id"], "left")
+    same = [rows["row_id"] == lost["id"], F.xxhash64(rows["whole"]) == lost["text_hash"]]
+    joined = rows.join(lost, same, "left")
     parts = joined.select("doc", "whole", "positions", F.split("whole", "\n", -1).alias("lines"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("positions"))
     out = parts.select("doc", "whole", "lines", F.when(F.col("positions").isNotNull(), kept).alias("kept"))
