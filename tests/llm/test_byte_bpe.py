@@ -56,3 +56,20 @@ def test_edge_cases(make_docs):
     assert got[1].n_tokens == 0 and got[1].ids == [] and got[1].ids_sha256 == hashlib.sha256(b"").hexdigest()
     assert bytes(got[3].decoded) == b"hi  there" and got[3].tokens == -1
     assert encode_decode(make_docs([]), PATH, P.PATTERN).collect() == []
+
+
+def test_time_is_linear_in_a_piece(library):
+    """One run of letters, whose longest matches don't fit together."""
+    import time
+    rng, bpe = random.Random(5), coder(PATH, P.PATTERN)
+    letters = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=400_000))
+    bpe.encode_piece(letters.encode())  # the memoised tables are filled
+
+    def seconds(n):
+        start = time.process_time()
+        bpe.encode_piece(letters[:n].encode())
+        return time.process_time() - start
+
+    least = {n: min(seconds(n) for _ in range(4)) for n in (200_000, 400_000)}
+    assert least[400_000] <= 2.5 * least[200_000]
+    assert bpe.encode(letters[:50_000]) == library.encode_ordinary(letters[:50_000])

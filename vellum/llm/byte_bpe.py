@@ -54,6 +54,7 @@ class ByteBpe:
         for token, i in ranks.items():
             self.trie.add_word(token.decode("latin-1"), (len(token), i))
         self.trie.make_automaton()
+        self.longest = max(map(len, ranks))
         # bounded tables of this worker
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.parts_kept: dict[str, tuple[int, ...]] = {}
@@ -133,7 +134,7 @@ class ByteBpe:
         """The longest token that starts at byte ``at``."""
         if at == len(piece):
             return -1
-        return next(self.trie.iter_long(piece, at))[1][1]
+        return next(self.trie.iter_long(piece[at:at + self.longest]))[1][1]  # no token is longer than the look-ahead
 
     def _step_back(self, piece: str) -> tuple[int, ...]:
         out: list[int] = []
