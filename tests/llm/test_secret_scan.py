@@ -81,3 +81,14 @@ def test_secrets_of_any_shape(spark):
     texts = {-1 - i: t for i, t in enumerate(secrets + others)}
     assert all(texts[r.doc_id][r.start:].startswith(r.candidate) for r in rows) and {r.doc_id for r in rows} == set(texts)
     assert {r.doc_id: r.kept for r in rows if r.doc_id > -8} == {-1 - i: i < 5 for i in range(7)}
+
+
+def test_after_an_observed_write(spark, make_docs, tmp_path):
+    """A session that has observed a write can still run the forest in tasks."""
+    from pyspark.sql import Observation
+    seen = Observation("rows_seen")
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(str(tmp_path / "seen"))
+    assert seen.get["n"] == 5
+    rows = scan_secrets(make_docs([(1, "here is password='Zx81kQm27Lpw' for all"), (2, None)]),
+                        settings=Settings(trees=4, constructed=20)).collect()
+    assert [(r.doc_id, r.candidate) for r in rows] == [(1, "Zx81kQm27Lpw")]

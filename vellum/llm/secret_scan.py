@@ -18,6 +18,7 @@ forest is Spark's.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from vellum.llm.imatch import term_counts
 from vellum.llm.text import whole_text, written
+from vellum.session import work_dir
 
 _KEY = r"A-Za-z0-9+/_\-"
 #: a maximal run of at least 12 key characters, one of them a digit
@@ -209,7 +211,11 @@ def train(labelled: DataFrame, dictionary: DataFrame, s: Settings) -> tuple[Rand
     vectors = VectorAssembler(inputCols=names, outputCol="features")
     forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=s.trees, maxDepth=s.depth, seed=s.seed,
                                     featureSubsetStrategy="onethird")
-    return forest.fit(vectors.transform(featured).select("features", "label")), vectors
+    # the fitted model carries a summary with the session and the training rows, which must not
+    # travel in tasks: the model as saved has none
+    path = work_dir(labelled.sparkSession, f"llm-forest-{uuid.uuid4().hex[:12]}")
+    forest.fit(vectors.transform(featured).select("features", "label")).write().save(path)
+    return RandomForestClassificationModel.load(path), vectors
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: Column | None = None,
