@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from vellum.llm.byte_bpe import encode_decode
 from vellum.llm.edit_counts import edited_counts, sample_edits
+from vellum.llm.hard_negatives import hard_negatives
 from vellum.llm.html_extract import extract_pages, fit_weights
 from vellum.llm.imatch import fingerprint_edits
+from vellum.llm.lattice_dedup import near_vectors
 from vellum.llm.line_dedup import dedup_lines
 from vellum.llm.mixing import Mix, mix_sources, word_count
 from vellum.llm.near_dedup import near_dedup
 from vellum.llm.quality_rules import quality_rules
+from vellum.llm.resampling import resample
 from vellum.llm.secret_scan import scan_secrets
 from vellum.llm.token_files import digest_row, new_folder, read_token_files, write_token_files
 
@@ -106,9 +109,29 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page.page_id", "page.url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vector = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    rows = rows.where(fine).select("vec_id", label.alias("label"), vector.alias("vector"))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    return near_vectors(rows).select("row.vec_id", "n_links", "component_id", "kept")
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    drawn = resample(docs, table(spark, sf_dir, "benchmark", "text"))
+    return drawn.select("doc.doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_near_dedup, op4_mixing, op5_secret_scan, op6_line_dedup, op7_edit_counts, op8_byte_bpe, op9_imatch,
-                             op10_html_extraction)}
+                             op10_html_extraction, op11_hard_negatives, op12_embedding_dedup, op13_resampling)}
 
 _STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
