@@ -1,15 +1,20 @@
 """The layered runs of the four products.
 
 bronze (as delivered) → silver (typed, filtered) → gate → gold → model
-tests → evidence. Every layer is written as parquet under ``out_dir`` (a
-shared location on a cluster) and the next layer reads the written files;
-the tables of one layer are written as concurrent jobs. Only small reports
-(gate, tests, evidence row) are collected to the driver.
+tests → publish → evidence. Every layer is written as parquet under
+``out_dir`` (a shared location on a cluster) and the next layer reads the
+written files; the tables of one layer are written as concurrent jobs. Only
+small reports (gate, tests, evidence row) are collected to the driver.
+
+The revenue, client and migration runs write into a folder of their own and
+publish it after the gate and the model tests (``plans.runs``); a run that
+stops is taken over by the next one with the same inputs and parameters. The
+revenue fact is a versioned table whose versions share files
+(``operators.versions``); the published run names its version.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 import time
 
@@ -18,7 +23,9 @@ from pyspark.sql import functions as F
 
 from vellum import contracts
 from vellum.operators import incremental, quality as Q
-from vellum.plans import client, evidence, migration, revenue, trips
+from vellum.operators.versions import KeyedTable
+from vellum.plans import client, evidence, migration, revenue, runs, trips
+from vellum.plans.runs import Run
 from vellum.sources import adapters, files
 from vellum.sources.tables import Tables, write_table
 
@@ -53,36 +60,72 @@ def write_layer(frames: dict, base: str, parallel: int = 8, counts: dict | None
 CORRUPT = "_corrupt_record"
 
 
-def intake(spark: SparkSession, contract: dict, source_dir: str, out_dir: str, label: str) -> dict[str, DataFrame]:
+def intake(spark: SparkSession, contract: dict, source_dir: str, out_dir: str, label: str,
+           run: Run | None = None) -> dict[str, DataFrame]:
     """A product's CSV folder (``<entity>.csv``) under its contract.
 
     Every missing file is named at once. The files are parsed once, into the
-    ``intake`` tables; lines that don't parse under the contract's types are
-    set aside as delivered (``quarantine/<label>_lines``).
+    ``intake`` tables (of the run, if one is given); lines that don't parse
+    under the contract's types are set aside as delivered
+    (``quarantine/<label>_lines``).
     """
     base = source_dir.rstrip("/")
     files.require_inputs(spark, {f"{e}.csv": f"{base}/{e}.csv" for e in contract})
     good, bad = {}, []
     for e, schema in contract.items():
-        rows = write_table(files.read_csv(spark, f"{base}/{e}.csv", schema, corrupt_column=CORRUPT),
-                           f"{out_dir}/intake/{label}_{e}")
+        def parsed(e=e, schema=schema) -> DataFrame:
+            return files.read_csv(spark, f"{base}/{e}.csv", schema, corrupt_column=CORRUPT)
+
+        rows = run.table(f"intake/{label}_{e}", parsed) if run else write_table(parsed(), f"{out_dir}/intake/{label}_{e}")
         good[e] = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
         bad.append(rows.where(F.col(CORRUPT).isNotNull()).select(F.lit(e).alias("entity"), F.col(CORRUPT).alias("line")))
     every = bad[0]
     for more in bad[1:]:
         every = every.unionByName(more)
-    write_table(every, f"{out_dir}/quarantine/{label}_lines")
+
+    def aside() -> None:
+        write_table(every, f"{out_dir}/quarantine/{label}_lines")
+
+    run.once(f"lines/{label}", aside) if run else aside()
     return good
 
 
-def _set_aside(bronze: dict, out_dir: str) -> DataFrame:
+def _set_aside(bronze: dict, out_dir: str, run: Run) -> None:
     """Q12: the delivered rows that break a contract rule, written with every reason."""
-    return write_table(contracts.quarantined(bronze), f"{out_dir}/quarantine/rows")
+    def aside() -> None:
+        write_table(contracts.quarantined(bronze), f"{out_dir}/quarantine/rows")
+
+    run.once("quarantine", aside)
+
+
+def _gated(run: Run, build) -> tuple[DataFrame, dict[str, int]]:
+    """The gate report, computed once per run and read by the gate and the
+    evidence; the run is held if a check fails."""
+    report = run.table("gate/report", lambda: build().coalesce(1))
+    try:
+        return report, Q.gate(report)
+    except Q.QualityGateError as err:
+        run.held(err.report)
+        raise
+
 
+def _tested(run: Run, tests: list, models: dict) -> dict[str, int]:
+    """The model tests; the run is held if one fails."""
+    try:
+        return run.once("tests", lambda: _fail_on_tests(Q.run_tests(tests, models)))
+    except Q.QualityGateError as err:
+        run.held(err.report)
+        raise
 
-def _written_report(report: DataFrame, out_dir: str) -> DataFrame:
-    """A gate report computed once: written, then read by the gate and the evidence."""
-    return write_table(report.coalesce(1), f"{out_dir}/gate/run={_stamp()}")
+
+def _export(run: Run, gold: dict[str, DataFrame], out_dir: str) -> None:
+    """The published deliverables at the place where clients pick them up."""
+    for name, df in gold.items():
+        run.once(f"export/{name}", lambda name=name, df=df: write_table(df, f"{out_dir}/gold/{name}") and None)
+
+
+def _published_evidence(run: Run, row, out_dir: str) -> dict:
+    return run.once("evidence", lambda: _write_evidence(row(), f"{out_dir}/evidence/run={run.id}"))
 
 
 def _counts_frame(spark: SparkSession, layers: dict[str, dict[str, int]]) -> DataFrame:
@@ -148,75 +191,86 @@ def run_revenue(spark: SparkSession, sf_dir: str | None, out_dir: str, increment
     """E: the revenue run, on the CSV files of ``source_dir`` or on entities
     derived from the driver tables of ``sf_dir``; ``incremental_load`` appends orders above the key
     watermark to the versioned fact instead of replacing it; ``upsert``
-    applies the change set against the stored fact instead (new, changed and
+    applies the change set against the published fact instead (new, changed and
     removed orders, so corrections to old orders are picked up)."""
-    started = time.time()
+    mode = "upsert" if upsert else "incremental" if incremental_load else "full_refresh"
     if source_dir is not None:
-        raw = intake(spark, contracts.REVENUE, source_dir, out_dir, "revenue")
+        base = source_dir.rstrip("/")
+        files.require_inputs(spark, {f"{e}.csv": f"{base}/{e}.csv" for e in contracts.REVENUE})
+    run = Run(spark, out_dir, files.fingerprint(spark, [source_dir or sf_dir]), {"product": "revenue", "mode": mode})
+    if source_dir is not None:
+        raw = intake(spark, contracts.REVENUE, source_dir, out_dir, "revenue", run)
     else:
         t = Tables(spark, sf_dir)
         raw = {n: b(t) for n, b in adapters.REVENUE_SOURCES.items()}
     issues = contracts.check_schemas(raw, contracts.REVENUE)
     if issues:
         raise ValueError(f"contract violations: {issues}")
-    observed = {"bronze": {}, "silver": {}, "gold": {}}
-    bronze = write_layer(raw, f"{out_dir}/bronze", counts=observed["bronze"])
-    s = revenue.Silver.from_silver(write_layer({n: revenue.SILVER[n](bronze[n]) for n in revenue.SILVER},
-                                               f"{out_dir}/silver", counts=observed["silver"]))
-    _set_aside({("revenue", e): df for e, df in bronze.items()}, out_dir)
-    report = _written_report(revenue.quality_report(s), out_dir)
-    checks = Q.gate(report)
-
-    fact_base = f"{out_dir}/gold/fact_order"
-    existing = incremental.read_current(spark, fact_base) if (incremental_load or upsert) else None
-    changes = None
-    if existing is None:
-        incremental.write_version(revenue.fact_order(s), fact_base)
-    elif upsert:
-        current = revenue.fact_order(s)
-        cs = write_table(incremental.changed_keys(existing, current, "order_id"), f"{out_dir}/changes/run={_stamp()}")
-        changes = {r["change_type"]: int(r["n"]) for r in cs.groupBy("change_type")
-                   .agg(F.count(F.lit(1)).alias("n")).collect()}
-        incremental.write_version(incremental.apply_changes(existing, current, "order_id", cs),
-                                  fact_base, expected_schema=existing.schema)
-    else:
-        mark = incremental.watermark(existing, "order_id")
-        new = revenue.fact_order(s, incremental.above(s.orders, "order_id", mark))
-        incremental.write_version(incremental.append_above_watermark(existing, new, "order_id", mark),
-                                  fact_base, expected_schema=existing.schema)
-    fact = incremental.read_current(spark, fact_base)
+    bronze = run.layer("bronze", raw)
+    s = revenue.Silver.from_silver(run.layer("silver", {n: revenue.SILVER[n](bronze[n]) for n in revenue.SILVER}))
+    _set_aside({("revenue", e): df for e, df in bronze.items()}, out_dir, run)
+    report, checks = _gated(run, lambda: revenue.quality_report(s))
+
+    loaded = run.once("fact", lambda: _load_fact(spark, s, revenue_fact(spark, out_dir), run, mode))
+    fact = revenue_fact(spark, out_dir).read(loaded["version"])
     models = revenue.gold_models(s, fact)
-    gold = write_layer({k.removeprefix("gold_"): v for k, v in models.items() if k != "gold_fact_order"},
-                       f"{out_dir}/gold", counts=observed["gold"])
-    gold = {f"gold_{k}": v for k, v in gold.items()}
-    gold["gold_fact_order"] = fact
-    observed["gold"]["fact_order"] = fact.count()    # parquet row-group metadata
-    tests = _fail_on_tests(Q.run_tests(revenue.gold_tests(), gold))
-
-    counts = _counts_frame(spark, observed)
-    summary = evidence.run_summary(counts, report, revenue.run_totals(fact),
-                                   "upsert" if upsert else "incremental" if incremental_load else "full_refresh",
-                                   round(time.time() - started, 3))
-    out = _write_evidence(summary, f"{out_dir}/evidence/run={_stamp()}")
+    gold = run.layer("gold", {k.removeprefix("gold_"): v for k, v in models.items() if k != "gold_fact_order"})
+    gold = {**{f"gold_{k}": v for k, v in gold.items()}, "gold_fact_order": fact}
+    tests = _tested(run, revenue.gold_tests(), gold)
+    run.publish(fact_version=loaded["version"])
+
+    observed = {layer: run.counts(layer) for layer in ("bronze", "silver", "gold")}
+    observed["gold"]["fact_order"] = loaded["rows"]
+    out = dict(_published_evidence(run, lambda: evidence.run_summary(
+        _counts_frame(spark, observed), report, revenue.run_totals(fact), mode, round(time.time() - run.started, 3)), out_dir))
+    run.finish()
     out["quality_checks"] = checks
     out["data_tests"] = len(tests)
-    if changes is not None:
-        out["fact_changes"] = changes
+    if loaded["changes"] is not None:
+        out["fact_changes"] = loaded["changes"]
     return out
 
 
-def _stamp() -> str:
-    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+def revenue_fact(spark: SparkSession, out_dir: str) -> KeyedTable:
+    """The order fact of a revenue run's folder. A run's version is there
+    before it is published: readers take the one the pointer names."""
+    return KeyedTable(spark, f"{out_dir}/tables/fact_order", "order_id")
+
+
+def read_revenue_fact(spark: SparkSession, out_dir: str) -> DataFrame | None:
+    """The published order fact."""
+    pointer = runs.published(spark, out_dir)
+    return None if pointer is None else revenue_fact(spark, out_dir).read(pointer["fact_version"])
+
+
+def _load_fact(spark: SparkSession, s: revenue.Silver, table: KeyedTable, run: Run, mode: str) -> dict:
+    """The fact's next version on top of the published one: its version, rows
+    and change counts."""
+    done = table.version_of(run.id)  # loaded, but the run died before its journal said so
+    parent = None if run.parent is None else run.parent["fact_version"]
+    changes = None
+    if mode == "upsert" and parent is not None:
+        current, existing = revenue.fact_order(s), table.read(parent)
+        cs = run.table("changes/fact_order", lambda: incremental.changed_keys(existing, current, "order_id"))
+        changes = {r["change_type"]: int(r["n"]) for r in cs.groupBy("change_type")
+                   .agg(F.count(F.lit(1)).alias("n")).collect()}
+        take = cs.where(F.col("change_type") != "removed").select("_key")
+        taken = current.join(take, current["order_id"].eqNullSafe(take["_key"]), "left_semi")
+        version = done or (table.merge(cs, taken, parent, run.id) if changes else parent)
+    elif mode == "incremental" and parent is not None:
+        new = revenue.fact_order(s, incremental.above(s.orders, "order_id", table.watermark(parent)))
+        version = done or table.append(new, parent, run.id)
+    else:
+        version = done or table.replace(revenue.fact_order(s), run.id)
+    return {"version": version, "rows": table.row_count(version), "changes": changes}
 
 
 def latest_run(spark: SparkSession, out_dir: str) -> dict | None:
-    """V5: the newest evidence row of a product's runs (for freshness)."""
-    path = f"{out_dir}/evidence"
-    if not files.exists(spark, path):
-        return None
-    runs = spark.read.json(path)
-    row = runs.orderBy(F.col("generated_at_utc").desc()).limit(1).toJSON().collect()
-    return json.loads(row[0]) if row else None
+    """V5: the evidence of a product's newest published run, whatever the
+    product; a run that was held or died is none."""
+    row = (runs.journal(spark, out_dir).where("step = 'evidence'")
+           .agg(F.max_by("detail", "at").alias("detail")).first())
+    return None if row["detail"] is None else json.loads(row["detail"])
 
 
 # ------------------------------------------------------------------- C ---
@@ -225,30 +279,34 @@ def run_client(spark: SparkSession, sf_dir: str | None, out_dir: str, client_id:
                source_dir: str | None = None) -> dict:
     """C: delivery run → gold deliverables and the delivery manifest (V3), on
     the CSV files of ``source_dir`` or on the driver tables of ``sf_dir``."""
-    started = time.time()
     if source_dir is not None:
-        raw = intake(spark, contracts.CLIENT, source_dir, out_dir, "client")
+        base = source_dir.rstrip("/")
+        files.require_inputs(spark, {f"{e}.csv": f"{base}/{e}.csv" for e in contracts.CLIENT})
+    run = Run(spark, out_dir, files.fingerprint(spark, [source_dir or sf_dir]),
+              {"product": "client", "client_id": client_id, "period": reporting_period, "target_hours": target_hours})
+    if source_dir is not None:
+        raw = intake(spark, contracts.CLIENT, source_dir, out_dir, "client", run)
     else:
         t = Tables(spark, sf_dir)
         raw = {n: b(t) for n, b in adapters.CLIENT_SOURCES.items()}
     issues = contracts.check_schemas(raw, contracts.CLIENT)
     if issues:
         raise ValueError(f"contract violations: {issues}")
-    source_rows: dict[str, int] = {}
-    bronze = write_layer(raw, f"{out_dir}/bronze", counts=source_rows)
-    s = client.Silver.from_silver(write_layer({n: client.SILVER[n](bronze[n]) for n in client.SILVER},
-                                              f"{out_dir}/silver"))
-    _set_aside({("client", e): df for e, df in bronze.items()}, out_dir)
-    report = _written_report(client.quality_report(s), out_dir)
-    Q.gate(report)
-    gold = write_layer({"gold_client_scorecard": client.client_scorecard(s, client_id, reporting_period),
-                        "gold_account_health": client.account_health(s),
-                        "gold_daily_operations": client.daily_operations(s)}, f"{out_dir}/gold")
-    _fail_on_tests(Q.run_tests(client.gold_tests(), gold))
-    duration = round(time.time() - started, 3)
-    manifest = delivery_manifest(gold["gold_client_scorecard"], _counts_frame(spark, {"bronze": source_rows}), report,
-                                 client_id, reporting_period, duration, target_hours)
-    return _write_evidence(manifest, f"{out_dir}/evidence/run={_stamp()}")
+    bronze = run.layer("bronze", raw)
+    s = client.Silver.from_silver(run.layer("silver", {n: client.SILVER[n](bronze[n]) for n in client.SILVER}))
+    _set_aside({("client", e): df for e, df in bronze.items()}, out_dir, run)
+    report, _ = _gated(run, lambda: client.quality_report(s))
+    gold = run.layer("gold", {"gold_client_scorecard": client.client_scorecard(s, client_id, reporting_period),
+                              "gold_account_health": client.account_health(s),
+                              "gold_daily_operations": client.daily_operations(s)})
+    _tested(run, client.gold_tests(), gold)
+    run.publish()
+    _export(run, gold, out_dir)
+    out = _published_evidence(run, lambda: delivery_manifest(
+        gold["gold_client_scorecard"], _counts_frame(spark, {"bronze": run.counts("bronze")}), report,
+        client_id, reporting_period, round(time.time() - run.started, 3), target_hours), out_dir)
+    run.finish()
+    return dict(out)
 
 
 def delivery_manifest(scorecard: DataFrame, counts: DataFrame, report: DataFrame, client_id: str,
@@ -298,14 +356,16 @@ def run_migration(spark: SparkSession, sf_dir: str | None, out_dir: str,
     migration manifest (V4). ``source_dir`` has the folders ``source`` and
     ``target`` with a CSV file an entity; else the snapshots are derived from
     the driver tables of ``sf_dir``."""
-    started = time.time()
     raw = {}
     if source_dir is not None:
         base = source_dir.rstrip("/")
         files.require_inputs(spark, {f"{side}/{e}.csv": f"{base}/{side}/{e}.csv"
                                      for side in migration.SIDES for e in migration.ENTITIES})
+    run = Run(spark, out_dir, files.fingerprint(spark, [source_dir or sf_dir]),
+              {"product": "migration", "migration_id": migration_id, "target_hours": target_hours})
+    if source_dir is not None:
         for side in migration.SIDES:
-            found = intake(spark, contracts.MIGRATION, f"{base}/{side}", out_dir, side)
+            found = intake(spark, contracts.MIGRATION, f"{base}/{side}", out_dir, side, run)
             raw.update({(side, e): df for e, df in found.items()})
     else:
         t = Tables(spark, sf_dir)
@@ -318,21 +378,21 @@ def run_migration(spark: SparkSession, sf_dir: str | None, out_dir: str,
                   if i["issue"] in ("missing", "missing_entity", "extra")]  # target amounts may be wider decimals
         if issues:
             raise ValueError(f"contract violations in the {side}: {issues}")
-    bronze = write_layer(raw, f"{out_dir}/bronze")
-    m = migration.Snapshots.from_silver(write_layer({k: migration.silver(k[1], b) for k, b in bronze.items()},
-                                                    f"{out_dir}/silver"))
-    _set_aside({(f"migration_{side}", e): df for (side, e), df in bronze.items()}, out_dir)
-    report = _written_report(migration.quality_report(m), out_dir)
-    checks = Q.gate(report)
-    found = write_table(migration.exceptions(m), f"{out_dir}/silver/exceptions")
-    gold = write_layer({"gold_reconciliation": migration.reconciliation(m),
-                        "gold_exception_queue": migration.numbered_queue(found)}, f"{out_dir}/gold")
+    bronze = run.layer("bronze", raw)
+    m = migration.Snapshots.from_silver(run.layer("silver", {k: migration.silver(k[1], b) for k, b in bronze.items()}))
+    _set_aside({(f"migration_{side}", e): df for (side, e), df in bronze.items()}, out_dir, run)
+    report, checks = _gated(run, lambda: migration.quality_report(m))
+    found = run.table("exceptions/found", lambda: migration.exceptions(m))
+    gold = run.layer("gold", {"gold_reconciliation": migration.reconciliation(m),
+                              "gold_exception_queue": lambda: migration.numbered_queue(found)})
     ready = migration.cutover_readiness(gold["gold_exception_queue"], gold["gold_reconciliation"], migration_id)
-    gold.update(write_layer({"gold_cutover_readiness": ready}, f"{out_dir}/gold"))
-    _fail_on_tests(Q.run_tests(migration.gold_tests(), gold))
-    manifest = migration_manifest(gold, report, migration_id,
-                                  round(time.time() - started, 3), target_hours)
-    out = _write_evidence(manifest, f"{out_dir}/evidence/run={_stamp()}")
+    gold.update(run.layer("gold", {"gold_cutover_readiness": ready}))
+    _tested(run, migration.gold_tests(), gold)
+    run.publish()
+    _export(run, gold, out_dir)
+    out = dict(_published_evidence(run, lambda: migration_manifest(
+        gold, report, migration_id, round(time.time() - run.started, 3), target_hours), out_dir))
+    run.finish()
     out["quality_checks"] = checks
     return out
 

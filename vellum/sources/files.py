@@ -84,6 +84,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """A digest of the names, sizes and times of all files under ``paths``
+    (their contents are not read): equal as long as no file changes."""
+    from pyspark.sql import functions as F
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+               .select(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)").alias("h")))
+    row = listing.agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("s")).first()
+    return f"{row['n']}:{row['s']}"
+
+
 def require_inputs(spark: SparkSession, paths: dict[str, str]) -> None:
     """Fail naming every missing input at once."""
     missing = [name for name, path in paths.items() if not exists(spark, path)]
