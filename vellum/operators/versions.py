@@ -8,7 +8,7 @@ version keeps reading the files of that version. Compaction is a step of its
 own.
 
 Layout under ``base``: ``data/<load>/part-*`` (rows, in key ranges),
-``manifest/v=<n>`` and ``log/v=<n>`` (the commit; written last). One writer at
+``manifest/v=<n>`` and ``log/<n>.json`` (the commit; written last). One writer at
 a time commits to a table; a load that dies before its commit leaves files
 that no version names.
 
@@ -46,7 +46,7 @@ class KeyedTable:
         path = f"{self.base}/log"
         if not files.exists(self.spark, path):
             return self.spark.createDataFrame([], _LOG)
-        return self.spark.read.schema(_LOG).option("recursiveFileLookup", "true").parquet(path)
+        return self.spark.read.schema(_LOG).json(path)
 
     def current(self) -> int | None:
         """The newest committed version, None for a new table."""
@@ -150,14 +150,14 @@ class KeyedTable:
     def _next(self) -> int:
         """A number above every version and every abandoned attempt."""
         n = (self.current() or 0) + 1
-        while files.exists(self.spark, f"{self.base}/manifest/v={n}") or files.exists(self.spark, f"{self.base}/log/v={n}"):
+        while files.exists(self.spark, f"{self.base}/manifest/v={n}"):
             n += 1
         return n
 
     def _commit(self, manifest: DataFrame, version: int, parent: int | None, kind: str, tag: str | None, schema: T.StructType) -> int:
         manifest.coalesce(1).write.parquet(f"{self.base}/manifest/v={version}")
-        row = [(version, parent, kind, tag, schema.json())]
-        self.spark.createDataFrame(row, _LOG).coalesce(1).write.parquet(f"{self.base}/log/v={version}")
+        row = {"version": version, "parent": parent, "kind": kind, "tag": tag, "schema": schema.json()}
+        files.put_text(self.spark, f"{self.base}/log/{version:08d}.json", json.dumps(row) + "\n")
         return version
 
     def _check(self, rows: DataFrame, parent: int) -> T.StructType:

@@ -11,8 +11,8 @@ unfinished one takes that one over: finished steps are read, not run again.
 Steps are recorded after their data is written, so a step that died half way
 is run again and overwrites what it left.
 
-Layout under ``out_dir``: ``runs/<run>/<layer>/<table>``, ``journal/<run>/<n>``
-and ``published/<n>``; journal and pointer hold a few small rows a run.
+Layout under ``out_dir``: ``runs/<run>/<layer>/<table>``, ``journal/<run>/*``
+and ``published/<n>-<run>``, one line of JSON each.
 """
 
 from __future__ import annotations
@@ -37,17 +37,17 @@ _POINTER = "number long, run string, detail string, at timestamp"
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     if not files.exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
-
-
-def _put(spark: SparkSession, row: tuple, schema: str, path: str) -> None:
-    spark.createDataFrame([row], schema).coalesce(1).write.parquet(path)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)
 
 
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
+def _put(spark: SparkSession, path: str, **row) -> None:
+    files.put_text(spark, path, json.dumps({**row, "at": _now().isoformat()}) + "\n")
+
+
 # ------------------------------------------------------------- readers ---
 def published(spark: SparkSession, out_dir: str) -> dict | None:
     """The run that readers see: number, run and its detail; None before the first."""
@@ -99,8 +99,8 @@ class Run:
     def record(self, step: str, detail: dict | None = None) -> dict:
         """Journal a finished step."""
         detail = detail or {}
-        _put(self.spark, (self.id, step, json.dumps(detail, default=str), _now()), _JOURNAL,
-             f"{self.out_dir}/journal/{self.id}/{uuid.uuid4().hex}")
+        _put(self.spark, f"{self.out_dir}/journal/{self.id}/{uuid.uuid4().hex}.json", run=self.id, step=step,
+             detail=json.dumps(detail, default=str))
         self.done[step] = detail
         return detail
 
@@ -141,7 +141,8 @@ class Run:
         """Move the pointer to this run: the one step that readers notice."""
         def move() -> None:
             number = (published(self.spark, self.out_dir) or {"number": 0})["number"] + 1
-            _put(self.spark, (number, self.id, json.dumps(detail), _now()), _POINTER, f"{self.out_dir}/published/{number:08d}-{self.id}")
+            _put(self.spark, f"{self.out_dir}/published/{number:08d}-{self.id}.json", number=number, run=self.id,
+                 detail=json.dumps(detail))
 
         current = published(self.spark, self.out_dir)
         if current is None or current["run"] != self.id:

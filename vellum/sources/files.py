@@ -60,6 +60,24 @@ def write_json(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file that is there whole or not at all: written under a
+    name that readers skip, then renamed. No job runs for it."""
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - remote session: no gateway
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+        return
+    folder, name = path.rsplit("/", 1)
+    hidden, final = jvm.org.apache.hadoop.fs.Path(f"{folder}/_{name}"), jvm.org.apache.hadoop.fs.Path(path)
+    fs = final.getFileSystem(conf)
+    out = fs.create(hidden, True)
+    out.write(text.encode())
+    out.close()
+    if not fs.rename(hidden, final):
+        raise FileExistsError(path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """True if ``path`` exists, asked of the Hadoop file system the session
     uses (any URI scheme the cluster is configured for).
