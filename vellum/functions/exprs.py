@@ -95,8 +95,8 @@ def display_time(c: str | Column) -> Column:
 
 
 def money_text(c: str | Column) -> Column:
-    """``$1,234.50`` display text; NULL stays NULL."""
-    return F.concat(F.lit("$"), F.format_number(col(c).cast("double"), 2))
+    """``$1,234.50`` display text of a decimal, exact at any width; NULL stays NULL."""
+    return F.concat(F.lit("$"), F.format_number(col(c), 2))
 
 
 def avg_money(c: str | Column) -> Column:

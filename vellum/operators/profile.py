@@ -41,6 +41,15 @@ def profile(df: DataFrame, table_name: str, columns: list[str] | None = None,
     return reduce(DataFrame.unionByName, parts)
 
 
+def value_counts(df: DataFrame, column: str, domain) -> DataFrame:
+    """Exact counts of a column's values: value, in_domain, row_count. Rows
+    are added up map-side first, so a value that fills the table is one row a
+    task; counts of two loads add up to those of their union."""
+    value = F.col(column)
+    return (df.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("row_count"))
+            .select("value", F.coalesce(F.col("value").isin(*domain), F.lit(False)).alias("in_domain"), "row_count"))
+
+
 def referential_coverage(child: DataFrame, fk: str, parent: DataFrame, pk: str,
                          label: str) -> DataFrame:
     """How many child rows find their parent (per-key counts joined to the

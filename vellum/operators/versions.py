@@ -192,7 +192,7 @@ class KeyedTable:
         shared = self.manifest(parent).where(~F.col("file").isin(hit)) if hit else self.manifest(parent)
         return self._commit(shared.unionByName(self._write(new, "merge", version)), version, parent, "merge", tag, schema)
 
-    def compact(self, small_bytes: int, upto: int | None = None, parent: int | None = None) -> int:
+    def compact(self, small_bytes: int, upto: int | None = None, parent: int | None = None, tag: str | None = None) -> int:
         """Files below ``small_bytes`` written again in larger ones; the rows
         stay. ``upto`` leaves files of later loads alone, which a reader of
         the change feed has yet to see. Nothing to join: no new version."""
@@ -204,4 +204,4 @@ class KeyedTable:
             return parent
         schema, version = self.schema(parent), self._next()
         manifest = held.where(~F.col("file").isin(names)).unionByName(self._write(self._rows(names, schema), "compact", version))
-        return self._commit(manifest, version, parent, "compact", None, schema)
+        return self._commit(manifest, version, parent, "compact", tag, schema)

@@ -29,8 +29,8 @@ def register(name: str):
 # tables. The exceptions are the queries that are about a written table (a
 # numbered queue, a versioned fact, a file round trip, tests of written models).
 WRITES_WHILE_BUILDING = frozenset((
-    "exception_queue", "rules_gold", "csv_round_trip", "parquet_round_trip", "fact_order_incremental",
-    "fact_order_stream", "fact_order_corrections", "fact_order_upsert"))
+    "exception_queue", "rules_gold", "csv_round_trip", "csv_round_trip_all", "parquet_round_trip", "fact_order_incremental",
+    "fact_order_stream", "fact_order_arrivals", "fact_order_corrections", "fact_order_upsert", "fact_order_as_of"))
 
 
 def _raw_trips(spark, sf):
@@ -246,8 +246,9 @@ from functools import reduce as _reduce  # noqa: E402
 from pyspark.sql import DataFrame as _DF  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from vellum.functions import money_text, title_label  # noqa: E402
+from vellum.functions import display_time, money_text, title_label  # noqa: E402
 from vellum.operators import incremental, profile as _profile, quality as Q  # noqa: E402
+from vellum.operators.versions import KeyedTable  # noqa: E402
 from vellum import contracts  # noqa: E402
 from vellum.plans import evidence  # noqa: E402
 from vellum.session import work_dir  # noqa: E402
@@ -459,6 +460,46 @@ def _q_csv_round_trip(spark, sf):
     return files.read_csv(spark, path, bronze.schema)
 
 
+@register("csv_round_trip_all")
+def _q_csv_round_trip_all(spark, sf):
+    """Every bronze entity of the three products written as CSV and read
+    back under its schema: its rows, and the rows that differ on either side."""
+    entities = {f"revenue_{e}": df for e, df in _silver(spark, sf).bronze.items()}
+    entities.update({f"client_{e}": df for e, df in _client(spark, sf).bronze.items()})
+    entities.update({f"migration_{side}_{e}": df for (side, e), df in _snap(spark, sf).bronze.items()})
+    base, parts = _scratch(spark, "csv-entities"), []
+    for name, df in entities.items():
+        files.write_csv(df, f"{base}/{name}")
+        back = files.read_csv(spark, f"{base}/{name}", df.schema)
+        # a row is there as often on both sides where its signed copies cancel out
+        both = df.withColumn("_side", F.lit(1)).unionByName(back.withColumn("_side", F.lit(-1)))
+        per_row = both.groupBy(*df.columns).agg(F.sum("_side").alias("_left"), F.count_if(F.col("_side") > 0).alias("_rows"))
+        parts.append(per_row.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count"),
+                                 F.coalesce(F.sum(F.abs("_left")), F.lit(0)).alias("differing_rows"))
+                     .select(F.lit(name).alias("entity"), "row_count", "differing_rows"))
+    return _reduce(_DF.unionByName, parts)
+
+
+@register("domain_counts")
+def _q_domain_counts(spark, sf):
+    """How often each value of every contract domain column occurs, and
+    whether the contract knows it (a NULL is a value that it doesn't know)."""
+    parts = []
+    for product, entity, column, values in CONTRACT_DOMAINS:
+        counts = _profile.value_counts(_product_table(spark, sf, product, entity), column, values)
+        parts.append(counts.select(F.lit(entity).alias("entity"), F.lit(column).alias("column_name"), "value", "in_domain", "row_count"))
+    return _reduce(_DF.unionByName, parts)
+
+
+@register("order_times_display")
+def _q_order_times_display(spark, sf):
+    """X11: per status, the first and last order as the dashboard shows times."""
+    orders = _silver(spark, sf).bronze["orders"]
+    g = orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("orders"), F.min("order_date").alias("a"), F.max("order_date").alias("b"))
+    return g.select(title_label("order_status").alias("status"), "orders", display_time("a").alias("first_order"),
+                    display_time("b").alias("last_order"))
+
+
 @register("parquet_round_trip")
 def _q_parquet_round_trip(spark, sf):
     """The order fact written as a parquet snapshot and read back."""
@@ -478,17 +519,32 @@ def _arrivals(orders):
 @register("fact_order_incremental")
 def _q_fact_incremental(spark, sf):
     """The second run appends the orders above the stored key
-    watermark (delete+insert on order_id); both loads make the full fact."""
+    watermark, which the table's manifest knows; the new version shares the
+    files of the first. Both loads make the full fact."""
     s = _silver(spark, sf)
-    base = _scratch(spark, "fact-incremental")
+    table = KeyedTable(spark, _scratch(spark, "fact-incremental"), "order_id")
     first, _ = _arrivals(s.orders)
-    incremental.write_version(revenue.fact_order(s, first), base)
-    existing = incremental.read_current(spark, base)
-    mark = incremental.watermark(existing, "order_id")
-    candidates = revenue.fact_order(s, incremental.above(s.orders, "order_id", mark))
-    merged = incremental.append_above_watermark(existing, candidates, "order_id", mark=mark)
-    incremental.write_version(merged, base, expected_schema=existing.schema)
-    return incremental.read_current(spark, base)
+    loaded = table.replace(revenue.fact_order(s, first))
+    candidates = revenue.fact_order(s, incremental.above(s.orders, "order_id", table.watermark(loaded)))
+    return table.read(table.append(candidates, loaded))
+
+
+@register("fact_order_arrivals")
+def _q_fact_arrivals(spark, sf):
+    """S5 with late children: all seven tables land in two arrivals, half of
+    the orders after their children and half before; the fact is rebuilt for
+    the touched orders only and ends as the full refresh."""
+    from vellum.streaming.late_arrivals import STORE_KEYS, ArrivingFact
+    bronze = _silver(spark, sf).bronze
+    arriving, landing = ArrivingFact(spark, _scratch(spark, "fact-arrivals")), _scratch(spark, "landing")
+    for arrival in (0, 1):
+        for e, key in STORE_KEYS.items():
+            half = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(2))
+            late = 1 - half if e == "orders" else half
+            files.append_parquet(bronze[e].where(late == arrival), f"{landing}/{e}")
+        arriving.take_in(landing)
+        arriving.rebuild()
+    return arriving.read()
 
 
 @register("fact_order_stream")
@@ -672,27 +728,38 @@ def _stored_fact(spark, sf):
     s = _silver(spark, sf)
     known = s.refunds.where(F.col("refund_date") < F.lit(REFUNDS_KNOWN_BEFORE).cast("date"))
     earlier = revenue.Silver.from_silver({**{n: getattr(s, n) for n in revenue.SILVER}, "refunds": known})
-    base = _scratch(spark, "fact-versions")
-    incremental.write_version(revenue.fact_order(earlier), base)
-    return base
+    table = KeyedTable(spark, _scratch(spark, "fact-versions"), "order_id")
+    table.replace(revenue.fact_order(earlier))
+    return table
 
 
 @register("fact_order_corrections")
 def _q_fact_corrections(spark, sf):
     """Orders whose fact row changed since the stored version (later
     refunds are corrections to old keys, which the watermark load can't see)."""
-    existing = incremental.read_current(spark, _stored_fact(spark, sf))
-    cs = incremental.change_set(existing, _fact(spark, sf), "order_id")
+    cs = incremental.change_set(_stored_fact(spark, sf).read(), _fact(spark, sf), "order_id")
     return cs.groupBy("change_type").agg(F.count(F.lit(1)).alias("orders"))
 
 
+def _corrected(spark, sf):
+    """The stored fact with every changed, new or removed order applied, as its next version."""
+    table, current = _stored_fact(spark, sf), _fact(spark, sf)
+    changes = materialized(incremental.changed_keys(table.read(), current, "order_id"), name="changes")
+    take = changes.where(F.col("change_type") != "removed").select("_key")
+    table.merge(changes, current.join(take, current["order_id"].eqNullSafe(take["_key"]), "left_semi"))
+    return table
+
+
 @register("fact_order_upsert")
 def _q_fact_upsert(spark, sf):
-    """S5 upsert mode: the stored version with every changed, new or removed
-    order applied, stored as the next version — equal to a full refresh."""
-    base = _stored_fact(spark, sf)
-    existing, current = incremental.read_current(spark, base), _fact(spark, sf)
-    changes = materialized(incremental.changed_keys(existing, current, "order_id"), name="changes")
-    incremental.write_version(incremental.apply_changes(existing, current, "order_id", changes), base,
-                              expected_schema=existing.schema)
-    return incremental.read_current(spark, base)
+    """S5 upsert mode: the corrected version, equal to a full refresh; files
+    without a changed order are shared with the version before."""
+    return _corrected(spark, sf).read()
+
+
+@register("fact_order_as_of")
+def _q_fact_as_of(spark, sf):
+    """A reader of the version before the corrections still sees its rows."""
+    table = _corrected(spark, sf)
+    first = table.log().agg(F.min("version").alias("v")).first()["v"]
+    return table.read(first)

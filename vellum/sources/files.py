@@ -44,7 +44,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    """A CSV snapshot that reads back as it was: an empty text is quoted, a
+    NULL is nothing at all."""
+    df.write.mode("overwrite").options(**{**CSV_OPTIONS, "emptyValue": '""'}).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -55,6 +57,11 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
+def append_parquet(df: DataFrame, path: str) -> None:
+    """One more arrival in a landing folder."""
+    df.write.mode("append").parquet(path)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """Evidence rows (structs, maps, arrays) as JSON lines, one file."""
     df.coalesce(1).write.mode("overwrite").json(path)
