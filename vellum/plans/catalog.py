@@ -469,8 +469,8 @@ def _q_csv_round_trip_all(spark, sf):
     entities.update({f"migration_{side}_{e}": df for (side, e), df in _snap(spark, sf).bronze.items()})
     base, parts = _scratch(spark, "csv-entities"), []
     for name, df in entities.items():
-        files.write_csv(df, f"{base}/{name}")
-        back = files.read_csv(spark, f"{base}/{name}", df.schema)
+        files.write_csv(df, f"{base}/{name}", exact=True)
+        back = files.read_csv(spark, f"{base}/{name}", df.schema, exact=True)
         # a row is there as often on both sides where its signed copies cancel out
         both = df.withColumn("_side", F.lit(1)).unionByName(back.withColumn("_side", F.lit(-1)))
         per_row = both.groupBy(*df.columns).agg(F.sum("_side").alias("_left"), F.count_if(F.col("_side") > 0).alias("_rows"))

@@ -22,19 +22,28 @@ CSV_OPTIONS = {
 }
 
 
+#: for snapshots that are to read back as they were
+EXACT_OPTIONS = {
+    **CSV_OPTIONS,
+    "nullValue": "\\N",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def monthly_file(source_dir: str, month: str) -> str:
     """The file of one month of trips (month validated by the caller)."""
     return f"{source_dir.rstrip('/')}/yellow_tripdata_{month}.parquet"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             corrupt_column: str | None = None) -> DataFrame:
+             corrupt_column: str | None = None, exact: bool = False) -> DataFrame:
     """Header CSV; with a contract schema there is no inference pass.
 
     Without a schema every column is read as text (bronze keeps the source
     as is). ``corrupt_column`` keeps unparseable lines for quarantine.
     """
-    reader = spark.read.options(**CSV_OPTIONS)
+    reader = spark.read.options(**(EXACT_OPTIONS if exact else CSV_OPTIONS))
     if schema is not None:
         if corrupt_column:
             schema = T.StructType(list(schema.fields) + [T.StructField(corrupt_column, T.StringType())])
@@ -43,10 +52,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return reader.csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A CSV snapshot that reads back as it was: an empty text is quoted, a
-    NULL is nothing at all."""
-    df.write.mode("overwrite").options(**{**CSV_OPTIONS, "emptyValue": '""'}).csv(path)
+def write_csv(df: DataFrame, path: str, exact: bool = False) -> None:
+    """A CSV snapshot. An ``exact`` one, which the reader is told as well,
+    keeps a NULL and an empty text apart and times to the microsecond; in
+    another, as in files that users deliver, both are read as NULL."""
+    df.write.mode("overwrite").options(**({**EXACT_OPTIONS, "emptyValue": '""'} if exact else CSV_OPTIONS)).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
