@@ -121,3 +121,31 @@ def test_band_recall_at_the_threshold():
         rows = fs.bands(fs.sketches([np.unique(u[:185]), np.unique(np.concatenate((u[:170], u[185:])))], s.t), s.n_bands, s.rows)
         missed += not (rows[0] == rows[1]).any()
     assert missed == 0
+
+
+def test_sketches_of_many_long_texts_take_bounded_memory(spark, make_docs):
+    """500 texts of 20,000 words in one batch: the arrays at work are those of
+    about a million bytes of text."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from vellum.llm import near_dedup as nd
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(5000)]
+    texts = [" ".join(rng.choices(words, k=20_000)) for _ in range(20)]
+    parts = list(nd._stretches(np.array([len(texts[i % 20]) for i in range(500)])))
+    assert [a for a, _ in parts] == [0, *[b for _, b in parts[:-1]]] and parts[-1][1] == 500
+    sign = {}
+    class Frame:  # takes the function that the tasks run
+        def select(self, *_):
+            return self
+        def mapInArrow(self, f, _):
+            sign["f"] = f
+    nd.signatures(Frame(), "doc_id", "text", nd.Settings())
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(500)), "text": [texts[i % 20] for i in range(500)]})
+    tracemalloc.start()
+    rows = sum(len(b) for b in sign["f"](iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 500 and peak < 100e6

@@ -33,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,14 +59,30 @@ class Settings:
     block: int = 512
 
 
+#: texts, and bytes of texts, whose sketches are made at a time
+TEXTS_AT_ONCE, BYTES_AT_ONCE = 500, 1 << 20
+
+
+def _stretches(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(from, to) of runs of texts within both bounds; a longer text alone."""
+    at, held = 0, 0
+    for i, n in enumerate(lengths.tolist()):
+        if i > at and (held + n > BYTES_AT_ONCE or i - at == TEXTS_AT_ONCE):
+            yield at, i
+            at, held = i, 0
+        held += n
+    if at < len(lengths):
+        yield at, len(lengths)
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
     """(id, n_shingles, k1, k2, sketch, bands) of each row; no sketch where
     the set is empty."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.large_binary())
-            for at in range(0, len(texts), 500):  # sketches of a bounded number of texts at a time
-                sets = [fs.shingle_hashes(x.as_py() or b"", s.shingle) for x in texts[at:at + 500]]
+            texts = batch.column(1)
+            for at, to in _stretches(pc.binary_length(texts.cast(pa.large_binary())).fill_null(0).to_numpy()):
+                sets = [fs.shingle_hashes((x.as_py() or "").encode("utf-8", "surrogatepass"), s.shingle) for x in texts[at:to]]
                 full = [i for i, x in enumerate(sets) if len(x)]
                 rows = fs.sketches([sets[i] for i in full], s.t)
                 bands = fs.bands(rows, s.n_bands, s.rows).view(np.int64)
