@@ -60,3 +60,16 @@ def test_empty_table(spark, make_docs):
     folder = new_folder(spark)
     assert write_token_files(make_docs([]), folder, PATH, end_id=1, vocab_size=49408).collect() == []
     assert read(spark, folder) == []
+
+
+def test_special_tokens_as_by_the_plain_call(spark, make_docs):
+    """Strings of special tokens in texts, against the library as it is."""
+    plain = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "x<|startoftext|><|endoftext|>y", "<|ENDOFTEXT|> <|endoftext |>", "no mark", "", "A<|endoftext|>"]
+    coder = WordIds(PATH, "<u2", special_tokens=True)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [320, 49407, 321]
+    assert [np.frombuffer(b, "<u2").tolist() for b in coder.encode(texts)] == want
+    folder = new_folder(spark)
+    write_token_files(make_docs(list(enumerate(texts))), folder, PATH, end_id=1, vocab_size=49408, parts=2, special_tokens=True)
+    assert [ids for _, _, ids in read(spark, folder)] == [[*x, 1] for x in want]

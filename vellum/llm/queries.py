@@ -32,7 +32,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     folder = new_folder(spark)
-    write_token_files(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1, vocab_size=49408)
+    write_token_files(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1, vocab_size=49408,
+                      special_tokens=True)
     return read_token_files(spark, folder, "doc_id long, start long, n_tokens long, ids_crc32 long", digest_row)
 
 

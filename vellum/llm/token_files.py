@@ -50,14 +50,20 @@ _PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f
 
 class WordIds:
     """The ids of whole texts by a tokenizer that drops white space and never
-    joins across it, and lower-cases. The tokenizers library encodes every distinct word; the
+    joins across it, and lower-cases. With ``special_tokens`` their strings in
+    a text have their own ids, as by the library's plain call; else they are
+    ordinary text. The tokenizers library encodes every distinct word; the
     results are kept in a bounded table, since words repeat."""
 
-    def __init__(self, path: str, dtype: str):
+    def __init__(self, path: str, dtype: str, special_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share out the cores
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # a word of the table is no special token
+        self.library = Tokenizer.from_file(path)
+        # a text with the string of a special token goes to the library whole
+        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()] if special_tokens else []
+        self.special = re.compile("|".join(special) or "(?!)").search
         self.dtype = np.dtype(dtype)
         self.kept: dict[bytes, bytes] = {}
 
@@ -90,7 +96,10 @@ class WordIds:
             self.kept = dict(itertools.islice(self.kept.items(), FIRST_KEPT))
         fresh = dict(self._encode(list(new)))
         self.kept.update((w, ids) for w, ids in fresh.items() if len(w) <= MAX_LENGTH)
-        for words, ids in zip(split, found):
+        for text, words, ids in zip(texts, split, found):
+            if self.special(text):
+                yield np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+                continue
             yield b"".join([fresh[w] if i is None else i for w, i in zip(words, ids)] if None in ids else ids)
 
 
@@ -106,7 +115,8 @@ _PARTS = "part int, name string, n_docs long, n_ids long"
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, vocab_size: int,
-                      id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
+                      id_col: str = "doc_id", text_col: str = "text", parts: int | None = None,
+                      special_tokens: bool = False) -> DataFrame:
     """Encode ``docs`` into ``folder`` (a URI on storage that all executors
     see) and return the manifest: part, name, n_docs, n_ids, base.
 
@@ -129,7 +139,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         out = None
         for batch in batches:
             if out is None and len(batch):
-                coder, out = WordIds(tokenizer_path, dtype), _put(fs, f"{base}/{name}.ids")
+                coder, out = WordIds(tokenizer_path, dtype, special_tokens), _put(fs, f"{base}/{name}.ids")
             for at in range(0, len(batch), 128):
                 some = batch.slice(at, 128)
                 ids += [no_id if i is None else i for i in some.column(0).to_pylist()]
