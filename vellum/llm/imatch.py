@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.llm.text import whole_text, written
@@ -134,31 +134,39 @@ def likeness(a: Column, b: Column, a_text: Column, b_text: Column) -> Column:
 
 
 NO_ID = -(1 << 63)
+#: ranges of rows for each shuffle partition; more of them even out what one partition gets
+RANGES = 4
 
 
-def with_edited(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """The distinct (id, text) rows with an edited text each, and their number:
-    rn (1, 2, … by id), id, h, text, edited, n_chars.
+def dealt(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The distinct (id, text) rows in ranges of ascending (id, h), h a hash
+    of the text: part, guest, id, h, text.
 
-    The last floor(n_chars / 4) code points are replaced by the first as many
-    of the next row by id (after the last row: the first). Rows are numbered
-    by their ids alone; a text then goes to its own key, and only the piece
-    that its predecessor needs goes on to that one's key.
+    The first row of each range also stands in the range before as its guest
+    (that of the first range in the last one), so every other row has its next
+    one in its own range. Ranges hold equally many rows whatever the ids are;
+    their first rows are found on ids and hashes alone, and those few (one a
+    range) are all that the driver sees.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), whole_text(text_col).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
-    ids = rows.select("id", "h", F.char_length("text").cast("long").alias("n_chars")).distinct()
-    numbered = written(number_rows(ids, [F.col("id"), F.col("h")], "rn"), "numbered")
-    n = numbered.count()
-    before = numbered.select((F.col("rn") % max(n, 1) + 1).alias("rn"), F.col("id").alias("to_id"), F.col("h").alias("to_h"),
-                             F.expr("n_chars div 4").alias("piece"))
-    placed = rows.join(numbered.join(before, "rn"), ["id", "h"]).dropDuplicates(["id", "h"])
-    pieces = placed.select(F.col("to_id").alias("id"), F.col("to_h").alias("h"),
-                           F.substring("text", F.lit(1), F.col("piece").cast("int")).alias("head"))
-    both = placed.select("id", "h", "rn", "text", "n_chars").join(pieces, ["id", "h"])
-    keep = F.expr("cast(n_chars - n_chars div 4 as int)")
-    return both.select("rn", "id", "h", "text", "n_chars",
-                       F.concat(F.substring("text", F.lit(1), keep), "head").alias("edited")), n
+    counted = rows.groupBy("id", "h").agg(F.count(F.lit(1)).alias("copies"))
+    numbered = written(number_rows(counted, [F.col("id"), F.col("h")], "rn"), "numbered")
+    n, most = numbered.agg(F.count(F.lit(1)), F.max("copies")).first()
+    if (most or 1) > 1:  # repeated rows fold in the tasks that read them, before they are dealt
+        rows = rows.dropDuplicates(["id", "h"])
+    size = max(1, -(-n // (RANGES * int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    firsts = numbered.where((F.col("rn") - 1) % size == 0).orderBy("rn").select("id", "h").collect() or [(NO_ID, 0)]
+    begins = F.array(*[F.struct(F.lit(i).cast("long").alias("id"), F.lit(h).cast("long").alias("h")) for i, h in firsts])
+    own = F.struct("id", "h")
+    part = F.size(F.filter(begins, lambda b: b <= own))
+    rows = rows.select("id", "h", "text", part.alias("part"))
+    before = F.when(F.col("part") == 1, F.lit(len(firsts))).otherwise(F.col("part") - 1)
+    place = lambda at, guest: F.array(F.struct(at.alias("part"), F.lit(guest).alias("guest")))
+    places = F.when(F.get(begins, F.col("part") - 1) == own, F.concat(place(F.col("part"), False), place(before, True))
+                    ).otherwise(place(F.col("part"), False))
+    return rows.select(F.explode(places).alias("at"), "id", "h", "text").select("at.part", "at.guest", "id", "h", "text")
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -166,6 +174,11 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """One row per distinct (id, text): id, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited, near_next.
 
+    The edited text has the last floor(n_chars / 4) code points replaced by
+    the first as many of the next row by id (after the last row: the first).
+    Whole texts are shuffled once, into ranges of rows; edits, slots and the
+    comparison with the next row follow in the same tasks.
+
     Edge cases: a NULL text counts as empty; rows that repeat an id and a text
     are one row, rows that share an id only are documents in the order of a
     hash of their texts; a row without an id comes first and keeps its NULL
@@ -173,18 +186,22 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     result.
     """
     words = lexicon(docs, text_col, settings)
-    rows, n = with_edited(docs, id_col, text_col)
+    in_order = Window.partitionBy("part").orderBy("guest", "id", "h")
+    piece = F.expr("cast(n_chars div 4 as int)")
+    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - piece),
+                      F.substring("next_text", F.lit(1), piece))
+    rows = (dealt(docs, id_col, text_col).withColumn("next_text", F.lead("text").over(in_order))
+            .withColumn("n_chars", F.char_length("text").cast("long")).withColumn("edited", F.coalesce(edited, F.lit(""))))
     sha = lambda c: F.sha2(F.col(c).cast("binary"), 256)
-    rows = rows.withColumn("sha", sha("text")).withColumn("edited_sha256", sha("edited"))
-    done = written(slot_values(rows, ["id", "h"], {"own": "text", "other": "edited"},
-                               ["rn", "n_chars", "sha", "edited_sha256"], words), "fingerprints")
-    # only the slots and digests go through the last join; texts of fingerprints are made after it
-    after = done.select(((F.col("rn") + max(n, 1) - 2) % max(n, 1) + 1).alias("rn"), F.col("own").alias("next_own"),
-                        F.col("sha").alias("next_sha"))
+    key = ["part", "guest", "id", "h"]
+    rows = rows.select(*key, "text", "edited", "n_chars", sha("text").alias("sha"), sha("edited").alias("edited_sha256"))
+    done = slot_values(rows, key, {"own": "text", "other": "edited"}, ["n_chars", "sha", "edited_sha256"], words)
+    done = (done.withColumn("next_own", F.lead("own").over(in_order)).withColumn("next_sha", F.lead("sha").over(in_order))
+            .where(~F.col("guest")))
     own = fingerprint_text(F.col("own"), F.col("sha"))
     other = fingerprint_text(F.col("other"), F.col("edited_sha256"))
     coming = fingerprint_text(F.col("next_own"), F.col("next_sha"))
-    return done.join(after, "rn").select(
+    return done.select(
         F.nullif("id", F.lit(NO_ID)).alias("id"), "n_chars", "edited_sha256", own.alias("fingerprint"),
         other.alias("edited_fingerprint"), likeness(F.col("own"), F.col("other"), own, other).alias("near_edited"),
         likeness(F.col("own"), F.col("next_own"), own, coming).alias("near_next"))
