@@ -29,7 +29,7 @@ def register(name: str):
 # tables. The exceptions are the queries that are about a written table (a
 # numbered queue, a versioned fact, a file round trip, tests of written models).
 WRITES_WHILE_BUILDING = frozenset((
-    "exception_queue", "rules_gold", "csv_round_trip", "csv_round_trip_all", "parquet_round_trip", "fact_order_incremental",
+    "exception_queue", "reconcile_digests", "rules_gold", "csv_round_trip", "csv_round_trip_all", "parquet_round_trip", "fact_order_incremental",
     "fact_order_stream", "fact_order_arrivals", "fact_order_corrections", "fact_order_upsert", "fact_order_as_of"))
 
 
@@ -207,6 +207,11 @@ def _q_reconcile_keys(spark, sf):
     return migration.key_reconciliation(_snap(spark, sf))
 
 
+@register("reconcile_digests")
+def _q_reconcile_digests(spark, sf):
+    return migration.digest_reconciliation(_snap(spark, sf))
+
+
 @register("exception_queue")
 def _q_exception_queue(spark, sf):
     return _queue(spark, sf)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import money, norm_lower, norm_upper
 from vellum.operators import quality as Q
+from vellum.operators.digests import digest, reconcile_by_digest
 from vellum.operators.numbering import number_rows
 from vellum.operators.reconcile import reconcile_keys, reconcile_totals
 from vellum.sources import adapters
@@ -145,6 +146,16 @@ def key_reconciliation(m: Snapshots) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def digest_reconciliation(m: Snapshots) -> DataFrame:
+    """G1 by digest tree: the same issues; only differing buckets are joined."""
+    made = materialize_all({(side, e): digest(m.get(side, e), key, amount)
+                            for e, (key, amount) in ENTITIES.items() for side in ("source", "target")}, "digest")
+    parts = [reconcile_by_digest(m.get("source", e), m.get("target", e), key, amount, entity=e,
+                                 source_digest=made["source", e], target_digest=made["target", e])
+             for e, (key, amount) in ENTITIES.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def exceptions(m: Snapshots) -> DataFrame:
     """The five (entity, issue) pairs the queue carries, with severity,
     description and owner; one row per key and issue."""
