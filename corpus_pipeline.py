@@ -23,6 +23,7 @@ from vellum.llm.near_dedup import near_dedup
 from vellum.llm.quality_rules import quality_rules
 from vellum.llm.queries import TARGET, domain_of
 from vellum.llm.text import written
+from vellum.operators.numbering import number_rows
 
 #: the mix of the run: one epoch, since a second one would bring back copies
 MIX = replace(TARGET, max_epochs=1)
@@ -41,10 +42,28 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
             .select(*docs.columns))
 
 
+def with_row_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of its own for each row, ``_row``: its doc_id, or
+    for rows that repeat an id or have none a number above all ids. Of such
+    rows those with equal id and text are one document: one of them stays."""
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    unsure = written(ids.where("doc_id IS NULL OR n > 1").select("doc_id"), "unsure-ids")
+    if unsure.isEmpty():
+        return docs.withColumn("_row", F.col("doc_id"))
+    sure = docs.where("doc_id IS NOT NULL").join(unsure, "doc_id", "left_anti")
+    others = docs.where("doc_id IS NULL").unionByName(docs.join(unsure, "doc_id", "left_semi"))
+    top = docs.agg(F.max("doc_id")).first()[0] or 0
+    numbered = number_rows(others.dropDuplicates(["doc_id", "text"]), [F.col("doc_id"), F.xxhash64("text")], "_row")
+    return (sure.withColumn("_row", F.col("doc_id"))
+            .unionByName(numbered.withColumn("_row", F.col("_row") + F.lit(top))).select(*docs.columns, "_row"))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the least id) of each group of near copies."""
-    copies = near_dedup(docs).where(~F.col("kept")).select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near copies: the one of the least id, or
+    of rows that repeat an id or have none, any one if no other is in the group."""
+    keyed = with_row_keys(docs)
+    copies = near_dedup(keyed, id_col="_row").where(~F.col("kept")).select(F.col("id").alias("_row"))
+    return keyed.join(copies, "_row", "left_anti").select(*docs.columns)
 
 
 def mix_to_target(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
