@@ -51,3 +51,19 @@ def test_rows_with_nulls(spark, tmp_path):
     docs.unionByName(nulls).write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert got and None not in got and 10_000_000 not in got
+
+
+def test_near_copies_with_repeated_and_missing_ids(spark):
+    """Copies are found whatever their ids: one row of each group stays."""
+    words = lambda k: " ".join(f"w{k}x{j}" for j in range(60))
+    near = lambda k: words(k) + " and more"
+    rows = [(1, words(1)), (1, words(1)), (2, words(2)), (2, words(3)), (3, near(2)), (None, words(4)), (None, near(4)),
+            (None, words(4)), (None, near(1)), (9, words(5)), (8, near(5)), (None, words(6)), (7, None), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    group = lambda t: t.split("x")[0] if t else t
+    assert sorted(group(t) for _, t in got if t) == [f"w{k}" for k in range(1, 7)]
+    assert {i for i, t in got if not t} == {7, 6} and (8, near(5)) in got and (9, words(5)) not in got

@@ -111,11 +111,14 @@ def mix_sources(docs: DataFrame, levels: Sequence[Column], tokens: Column, mix:
 
     Edge cases: a NULL level value is read as the value "(none)"; a document
     without tokens fits whatever is left; rows that repeat an id are each a
-    document (equal order, ties by position); a leaf without tokens gets
-    nothing; an empty table gives an empty result.
+    document (equal order; fewer tokens first, then by a hash of the row, so
+    a repeated task decides alike); a leaf without tokens gets nothing; an
+    empty table gives an empty result.
     """
     names = list(mix.levels)
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]  # maps have no hash
     rows = docs.select(row_struct(docs).alias("doc"), F.col(id_col).alias("_id"), tokens.cast("long").alias("n_tokens"),
+                       F.xxhash64(*hashed).alias("_tie"),
                        *[F.coalesce(c.cast("string"), F.lit("(none)")).alias(n) for n, c in zip(names, levels)])
     leaves = rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
     plan = leaf_budgets(leaves, mix).select(
@@ -132,7 +135,7 @@ def mix_sources(docs: DataFrame, levels: Sequence[Column], tokens: Column, mix:
     sums = rows.groupBy("_key", *names, "_bucket").agg(F.sum("n_tokens").alias("_sum"))
     before = Window.partitionBy(*names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("_key", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("_key").orderBy("_order", "_id").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_key").orderBy("_order", "_id", "n_tokens", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     ends = rows.withColumn("_end", F.sum("n_tokens").over(inside)).join(starts, "_key")
     taken = (F.col("rest") > 0) & (F.col("_start") + F.col("_end") <= F.col("rest"))
     return ends.select("doc", *names, "n_tokens", (F.col("epochs") + F.when(taken, 1).otherwise(0)).cast("long").alias("copies"))
