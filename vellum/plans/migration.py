@@ -190,6 +190,41 @@ def numbered_queue(written: DataFrame) -> DataFrame:
                            "description", "owner", "status")
 
 
+INCIDENT = ("entity", "record_key", "issue_type")
+
+
+def opened(queue: DataFrame, run: str) -> DataFrame:
+    """A first numbered queue with the history columns of ``carried_queue``."""
+    return queue.withColumns({"first_seen": F.lit(run), "closed_in": F.lit(None).cast("string")})
+
+
+def carried_queue(previous: DataFrame, current: DataFrame, run: str) -> DataFrame:
+    """The queue of ``run``: numbers, first-seen runs and closed states carried
+    over from the previous queue by incident (entity, record key, issue).
+
+    An incident of both keeps its number and first-seen run, and is open
+    (again, if it was closed). One that is gone stays in the queue as closed,
+    with the run that no longer found it. New ones are numbered on from the
+    largest number, in the order of a first queue. Both sides hold an incident
+    once, so the join can't skew; the same two inputs always give the same
+    numbers, so a run may be repeated.
+    """
+    was = previous.select(*[F.col(c).alias(f"was_{c}") for c in previous.columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"was_{c}")) for c in INCIDENT])
+    both = materialized(current.withColumn("found", F.lit(True)).join(was, same, "full_outer"), name="incidents")
+    found = F.col("found").isNotNull()
+    either = [F.when(found, F.col(c)).otherwise(F.col(f"was_{c}")).alias(c)
+              for c in (*INCIDENT, "severity", "description", "owner")]
+    known = both.where("was_exception_id IS NOT NULL").select(
+        F.col("was_exception_id").alias("exception_id"), *either, F.when(found, "open").otherwise("closed").alias("status"),
+        F.col("was_first_seen").alias("first_seen"),
+        F.when(~found, F.coalesce("was_closed_in", F.lit(run))).alias("closed_in"))
+    last = previous.agg(F.max("exception_id")).first()[0] or 0
+    new = numbered_queue(both.where("was_exception_id IS NULL").select(
+        *INCIDENT, "severity", "description", "owner", "status"))
+    return known.unionByName(opened(new.withColumn("exception_id", F.col("exception_id") + F.lit(last)), run))
+
+
 def exceptions_ranked(queue: DataFrame) -> DataFrame:
     """D-S4 / O3: business order, high first."""
     rank = F.when(F.col("severity") == "high", 1).otherwise(2)
