@@ -37,6 +37,17 @@ def test_words_are_encoded_as_in_whole_texts():
     assert got == library(texts)
 
 
+def test_marks_after_words_and_every_latin_letter():
+    """Runs of ASCII marks, with and without apostrophes, and all letters of the short path."""
+    rng = random.Random(6)
+    marks = "".join(chr(c) for c in range(0x21, 0x7f) if not chr(c).isalnum())
+    texts = [" ".join("".join(rng.choices("abstIR", k=rng.randint(0, 3))) + "".join(rng.choices(marks, k=rng.randint(0, 4)))
+                      for _ in range(8)) + rng.choice(["", " ", "\n", "\u0338", "\u0338 "]) for _ in range(6000)]
+    texts += [f"x{chr(c)}y {chr(c)} {chr(c)}{chr(c)}z" for c in range(0xc0, 0x250)]
+    got = [np.frombuffer(b, "<u2").tolist() for b in WordIds(PATH, "<u2").encode(texts)]
+    assert got == library(texts)
+
+
 def read(spark, folder):
     rows = read_token_files(spark, folder, "doc_id long, start long, n long, raw binary",
                             lambda i, s, ids: (i, s, len(ids), ids.astype("<u4").tobytes())).collect()

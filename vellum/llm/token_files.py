@@ -20,6 +20,7 @@ mounted, and read ranges through a file system client elsewhere.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import json
 import os
@@ -41,9 +42,9 @@ from vellum.session import work_dir
 #: words that a worker keeps the ids of (a full table goes back to the first
 #: ones, which are the common ones), the bytes of the longest word kept, and new
 #: words encoded at a time
-MAX_KEPT, FIRST_KEPT, MAX_LENGTH, AT_ONCE = 1_200_000, 600_000, 64, 500
-#: one mark that ends a word of ASCII letters; it is a token of its own with or without a space before it
-_MARK = re.compile(rb"(?<=[a-z])([.,;:!?])(?=[\x20\x09-\x0D])")
+MAX_KEPT, FIRST_KEPT, MAX_LENGTH, AT_ONCE = 800_000, 400_000, 64, 500
+#: ASCII marks between a letter and white space; they are one piece with or without a space before them
+_MARK = re.compile(rb"(?<=[a-z])([!-&(-/:-@\[-`{-~]+)(?=[\x20\x09-\x0D])")
 #: a run of Latin letters is one piece before and after lower-casing (U+0130 isn't)
 _PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+").fullmatch
 
@@ -57,10 +58,14 @@ class WordIds:
 
     def __init__(self, path: str, dtype: str, special_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share out the cores
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # a word of the table is no special token
         self.library = Tokenizer.from_file(path)
+        # of a lower-case run of Latin letters only its bytes' merges are left to do
+        self.letters = Tokenizer(self.library.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         # a text with the string of a special token goes to the library whole
         special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()] if special_tokens else []
         self.special = re.compile("|".join(special) or "(?!)").search
@@ -75,7 +80,7 @@ class WordIds:
             (plain if _PLAIN(text) else other).append((w, text))
         for at in range(0, len(plain), AT_ONCE):
             some = plain[at:at + AT_ONCE]
-            coded = self.tokenizer.encode(" ".join([t for _, t in some]), add_special_tokens=False)
+            coded = self.letters.encode(" ".join([t for _, t in some]).lower(), add_special_tokens=False)
             ids = np.array(coded.ids, self.dtype).tobytes()
             ends = np.searchsorted(np.array(coded.word_ids), np.arange(len(some)), "right") * self.dtype.itemsize
             start = 0
@@ -103,6 +108,12 @@ class WordIds:
             yield b"".join([fresh[w] if i is None else i for w, i in zip(words, ids)] if None in ids else ids)
 
 
+@functools.lru_cache(1)
+def _coder(path: str, dtype: str, special_tokens: bool) -> WordIds:
+    """One for all tasks of a worker, so that they share its table of words."""
+    return WordIds(path, dtype, special_tokens)
+
+
 def _folder(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
 
@@ -139,7 +150,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         out = None
         for batch in batches:
             if out is None and len(batch):
-                coder, out = WordIds(tokenizer_path, dtype, special_tokens), _put(fs, f"{base}/{name}.ids")
+                coder, out = _coder(tokenizer_path, dtype, special_tokens), _put(fs, f"{base}/{name}.ids")
             for at in range(0, len(batch), 128):
                 some = batch.slice(at, 128)
                 ids += [no_id if i is None else i for i in some.column(0).to_pylist()]
