@@ -15,7 +15,7 @@ SAMPLE = ["trips_daily_metrics", "trips_quality_report", "fact_order", "operatio
           "quality_client", "reconcile_totals", "reconcile_keys", "exception_queue", "cutover_readiness",
           "cutover_checklist", "duplicate_keys", "orphan_rows", "quarantine", "change_set",
           "fact_order_incremental", "fact_order_upsert", "fact_order_corrections", "run_evidence", "delivery_manifest",
-          "migration_manifest", "exception_severity_map"]
+          "migration_manifest", "exception_severity_map", "quality_over_loads"]
 
 
 def _norm(v):
