@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from vellum.operators import quality as Q
 from vellum.operators.numbering import number_rows
-from vellum.operators.profile import profile
+from vellum.operators.profile import profile, referential_coverage
 
 
 def test_fused_report_counts(spark):
@@ -34,6 +34,22 @@ def test_model_tests_semantics(spark):
     assert got == {"unique": 1, "not_null": 1, "accepted_values": 2, "relationships": 1}
 
 
+def test_key_checks_keep_the_number_of_partitions(spark):
+    """Small partitions of keys aren't joined up to a size in bytes: a task's
+    keys are a fixed share of them all."""
+    keys, some = spark.range(4000).withColumn("k", F.col("id") % 2000), spark.range(1000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for found in (Q.repeated_keys(keys, "k"), Q.missing_parents(keys, "k", some, "id")):
+            per_task = found.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.sum("_n").alias("rows")).collect()
+            assert len(per_task) == 8 and max(r.n for r in per_task) < 500
+            assert sum(r.n for r in per_task) in (1000, 2000) and sum(r.rows for r in per_task) == 2 * sum(r.n for r in per_task)
+        row = referential_coverage(keys, "k", some, "id", "k").first()
+        assert (row.child_rows, row.matched_rows) == (4000, 2000)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_quarantine_split(spark):
     df = spark.createDataFrame([(1, 5.0), (None, -1.0), (3, None)], "id long, amount double")
     valid, bad = Q.quarantine(df, {"missing_id": F.col("id").isNull(), "negative": F.col("amount") < 0})

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.functions import ratio_pct
+from vellum.sources.tables import dealt
 
 
 def profile(df: DataFrame, table_name: str, columns: list[str] | None = None,
@@ -55,7 +56,7 @@ def referential_coverage(child: DataFrame, fk: str, parent: DataFrame, pk: str,
     """How many child rows find their parent (per-key counts joined to the
     distinct parent keys, so a hot foreign key is one row before the join)."""
     per_key = child.groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    parents = parent.select(F.col(pk).alias("_k")).distinct().withColumn("_hit", F.lit(True))
+    parents = dealt(parent.select(F.col(pk).alias("_k")), "_k").distinct().withColumn("_hit", F.lit(True))
     j = per_key.join(parents, "_k", "left")
     g = j.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("child_rows"),
               F.coalesce(F.sum(F.when(F.col("_hit"), F.col("_n"))), F.lit(0)).alias("matched_rows"))

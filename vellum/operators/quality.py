@@ -5,11 +5,16 @@ DataFrame with the schema (check_name, entity, rule, incidents):
 
 * row rules of one table (null key, domain, custom predicate) share one
   aggregate over that table — one scan, however many rules;
-* duplicate keys group by the key (map-side partial counts, so a hot key
-  is one row per map task before the shuffle);
+* duplicate keys deal the key column out by the key and count there: keys
+  hardly repeat, so counting before the shuffle would only hold a map of all
+  keys of a split (a hot key is a long run of rows for one count);
 * orphans count child rows per foreign key first, then anti-join the
-  distinct parent keys, so the join input is bounded by distinct keys,
-  not rows, and a hot foreign key cannot skew the join.
+  parent keys, so the join input is bounded by distinct keys, not rows, and
+  a hot foreign key cannot skew the join.
+
+Both keep to the session's number of shuffle partitions. Joined up to a size
+in bytes, as small partitions are otherwise, 64 MB of packed keys are millions
+of groups, and a task's maps and sorts of them take over a gigabyte.
 
 The report is small (one row per check); only the gate collects it.
 """
@@ -22,6 +27,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vellum.sources.tables import dealt
+
 REPORT_SCHEMA = "check_name string, entity string, rule string, incidents long"
 
 
@@ -83,18 +90,27 @@ def _one(c: Check, incidents: Column) -> list[Column]:
             F.lit(c.rule).alias("rule"), incidents.cast("long").alias("incidents")]
 
 
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """_k, _n: the key values (NULL included, as GROUP BY does) with >1 row."""
+    keys = dealt(df.select(F.col(key).alias("_k")), "_k")
+    return keys.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+
+
+def missing_parents(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """_k, _n: the values of ``fk`` without a parent row (NULL too, as NOT
+    EXISTS) and their child rows."""
+    per_key = child.groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.join(dealt(parent.select(F.col(pk).alias("_k")), "_k"), "_k", "left_anti")
+
+
 def duplicate_key_count(df: DataFrame, key: str) -> DataFrame:
     """Number of key values (NULL included, as GROUP BY does) with >1 row."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-            .agg(F.count_if(F.col("_n") > 1).alias("incidents")))
+    return repeated_keys(df, key).agg(F.count(F.lit(1)).alias("incidents"))
 
 
 def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose ``fk`` has no parent row (NULL fk counts, as NOT EXISTS)."""
-    per_key = child.groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    parents = parent.select(F.col(pk).alias("_k")).distinct()
-    missing = per_key.join(parents, "_k", "left_anti")
-    return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("incidents"))
+    return missing_parents(child, fk, parent, pk).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("incidents"))
 
 
 def report(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
@@ -161,15 +177,13 @@ def test_failures(t: Test, models: dict[str, DataFrame]) -> DataFrame:
     if t.kind == "not_null":
         out = df.agg(F.count_if(c.isNull()).alias("failures"))
     elif t.kind == "unique":
-        out = (df.where(c.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-               .agg(F.count_if(F.col("_n") > 1).alias("failures")))
+        out = repeated_keys(df.where(c.isNotNull()), t.column).agg(F.count(F.lit(1)).alias("failures"))
     elif t.kind == "accepted_values":
         # one failure per distinct unexpected non-NULL value
         out = df.agg(F.count_distinct(F.when(~c.isin(*t.values), c)).alias("failures"))
     elif t.kind == "relationships":
-        child = df.where(c.isNotNull()).groupBy(c.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-        parent = models[t.to].select(F.col(t.field).alias("_k")).distinct()
-        out = child.join(parent, "_k", "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
+        missing = missing_parents(df.where(c.isNotNull()), t.column, models[t.to], t.field)
+        out = missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
     else:
         raise ValueError(t.kind)
     return out.select(F.lit(t.name).alias("test_name"), F.lit(t.model).alias("model"),

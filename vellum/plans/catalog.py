@@ -336,12 +336,9 @@ def _q_orphan_rows(spark, sf):
     """Orphan child rows per foreign-key value (counted per value)."""
     parts = []
     for product, child, fk, parent, pk in CONTRACT_FKS:
-        c = _product_table(spark, sf, product, child)
-        p = _product_table(spark, sf, product, parent).select(F.col(pk).alias("_k")).distinct()
-        per = c.groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("row_count"))
-        parts.append(per.join(p, "_k", "left_anti")
-                     .select(F.lit(child).alias("entity"), F.lit(fk).alias("foreign_key"),
-                             F.col("_k").cast("string").alias("key_value"), "row_count"))
+        found = Q.missing_parents(_product_table(spark, sf, product, child), fk, _product_table(spark, sf, product, parent), pk)
+        parts.append(found.select(F.lit(child).alias("entity"), F.lit(fk).alias("foreign_key"),
+                                  F.col("_k").cast("string").alias("key_value"), F.col("_n").alias("row_count")))
     return _reduce(_DF.unionByName, parts)
 
 

@@ -38,6 +38,13 @@ class Tables:
         return self._cache[name]
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """The rows in the session's number of partitions by ``key``, as the
+    planner would deal them, but never joined to fewer: 64 MB of packed keys are
+    millions of groups, and a task's maps and sorts of them over a gigabyte."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def materialized(df: DataFrame, enabled: bool = True, name: str = "layer") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
