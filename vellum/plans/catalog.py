@@ -310,11 +310,9 @@ def _q_duplicate_keys(spark, sf):
     """Every repeated key value of every contract entity, with its rows."""
     parts = []
     for product, entity, key in CONTRACT_KEYS:
-        df = _product_table(spark, sf, product, entity)
-        parts.append(df.groupBy(F.col(key).cast("string").alias("record_key"))
-                     .agg(F.count(F.lit(1)).alias("row_count"))
-                     .where(F.col("row_count") > 1)
-                     .select(F.lit(entity).alias("entity"), "record_key", "row_count"))
+        found = Q.repeated_keys(_product_table(spark, sf, product, entity), key)
+        parts.append(found.select(F.lit(entity).alias("entity"), F.col("_k").cast("string").alias("record_key"),
+                                  F.col("_n").alias("row_count")))
     return _reduce(_DF.unionByName, parts)
 
 

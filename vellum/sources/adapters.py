@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.sources.tables import Tables
+from vellum.sources.tables import Tables, dealt
 
 # --------------------------------------------------------------------------
 # fixed values of the adapters (domain spellings as they arrive in bronze)
@@ -167,7 +167,7 @@ def shipments(t: Tables) -> DataFrame:
     """One shipment per order that has lines; orders without lines have none."""
     lines = (t.lineitem.groupBy("l_orderkey")
              .agg(F.count(F.lit(1)).alias("n_lines"), F.max("l_shipdate").alias("last_ship")))
-    o = t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus")
+    o = dealt(t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus"), "o_orderkey")
     j = o.join(lines, o.o_orderkey == lines.l_orderkey, "inner")
     delivered = F.col("o_orderstatus") == "F"
     return j.select(
