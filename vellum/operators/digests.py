@@ -45,6 +45,20 @@ def bucket_of(key: str, tree: Tree) -> Column:
     return F.pmod(F.xxhash64(F.lit(17), key), F.lit(tree.buckets)).cast("int")
 
 
+def _row_hashes(columns: list[str]) -> tuple[Column, Column]:
+    """Two independent 64-bit hashes of a row. NULLs don't enter a hash, so their places do."""
+    row = [F.col(f"`{c}`") for c in columns] + [F.col(f"`{c}`").isNull() for c in columns]
+    return F.xxhash64(F.lit(1), *row), F.xxhash64(F.lit(2), *row)
+
+
+def table_sums(columns: list[str]) -> list[Column]:
+    """n_rows, s1, s2 of a whole table, as aggregates: tables with the same
+    rows, each as often, have the same sums, and others don't (but for a
+    chance of about 2**-128)."""
+    return [F.count(F.lit(1)).alias("n_rows"),
+            *[F.sum(h.cast("decimal(20,0)")).alias(f"s{i}") for i, h in enumerate(_row_hashes(columns), 1)]]
+
+
 def digest(df: DataFrame, key: str, amount: str | None = None, tree: Tree = Tree()) -> DataFrame:
     """bucket, n_rows, s1…s4, repeats of a snapshot; empty buckets have no row.
 
@@ -52,11 +66,7 @@ def digest(df: DataFrame, key: str, amount: str | None = None, tree: Tree = Tree
     the rows is one row per task), which tells exactly which buckets repeat a
     key. NULL is a key like any other.
     """
-    values = [c for c in (key, amount) if c]
-    # NULLs don't enter a hash, so their places do
-    row = [F.col(c) for c in values] + [F.col(c).isNull() for c in values]
-    one, two = F.xxhash64(F.lit(1), *row), F.xxhash64(F.lit(2), *row)
-    parts = [h for x in (one, two) for h in (x.bitwiseAND(F.lit(_LOW)), F.shiftrightunsigned(x, 32))]
+    parts = [h for x in _row_hashes([c for c in (key, amount) if c]) for h in (x.bitwiseAND(F.lit(_LOW)), F.shiftrightunsigned(x, 32))]
     per_key = df.groupBy(F.col(key).alias("_key")).agg(
         F.count(F.lit(1)).alias("n_rows"), *[F.sum(h).alias(f"s{i}") for i, h in enumerate(parts, 1)])
     return (per_key.groupBy(bucket_of("_key", tree).alias("bucket"))

@@ -292,8 +292,10 @@ def _m_invoices(t: Tables) -> DataFrame:
 
 
 def _m_transactions(t: Tables) -> DataFrame:
-    """One transaction per order line key, summed so the key is unique."""
-    li = (t.lineitem
+    """One transaction per order line key, summed so the key is unique. Lines
+    are dealt by their order once, for the sums and for the join."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate", "l_returnflag")
+    li = (dealt(lines, "l_orderkey")
           .groupBy("l_orderkey", "l_linenumber")
           .agg(F.sum(_dec("l_extendedprice")).alias("amount"),
                F.max("l_shipdate").alias("transaction_date"),

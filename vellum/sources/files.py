@@ -52,11 +52,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return reader.csv(path)
 
 
-def write_csv(df: DataFrame, path: str, exact: bool = False) -> None:
-    """A CSV snapshot. An ``exact`` one, which the reader is told as well,
+def write_csv(df: DataFrame, path: str, exact: bool = False, compression: str = "none") -> None:
+    """A CSV snapshot, packed if told so (a reader unpacks by the files' names). An ``exact`` one, which the reader is told as well,
     keeps a NULL and an empty text apart and times to the microsecond; in
     another, as in files that users deliver, both are read as NULL."""
-    df.write.mode("overwrite").options(**({**EXACT_OPTIONS, "emptyValue": '""'} if exact else CSV_OPTIONS)).csv(path)
+    options = {**EXACT_OPTIONS, "emptyValue": '""'} if exact else CSV_OPTIONS
+    df.write.mode("overwrite").options(**options).option("compression", compression).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
