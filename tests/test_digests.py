@@ -58,3 +58,20 @@ def test_hot_and_null_keys_and_empty_sides(spark):
         assert issues(reconcile_by_digest(a, b, "k", "amount", tree=SMALL)) == issues(reconcile_keys(a, b, "k", "amount"))
     bare = spark.createDataFrame([("a",), ("b",), ("b",)], "k string")
     assert issues(reconcile_by_digest(bare, bare, "k", tree=SMALL)) == issues(reconcile_keys(bare, bare, "k"))
+
+
+def test_rows_are_dealt_once_for_counts_and_join(spark):
+    """The full outer join takes the partitions of the counts (NULL is a key
+    like any other), and a digest's buckets those of its keys."""
+    from tests.test_skew import _plan
+    a = spark.createDataFrame([(None, 1), (None, 2), ("x", 3), ("y", 4)], "k string, n int").withColumn("n", F.col("n").cast("decimal(12,2)"))
+    b = spark.createDataFrame([(None, 1), ("x", 3), ("z", 4)], "k string, n int").withColumn("n", F.col("n").cast("decimal(12,2)"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = reconcile_keys(a, b, "k", "n")
+        assert _plan(found).count("Exchange hashpartitioning") == 2
+        assert _plan(digest(a, "k", "n")).count("Exchange hashpartitioning") == 1
+        assert {tuple(r)[1:] for r in found.collect()} == {
+            (None, "duplicate_source_key", 2, 1), (None, "amount_mismatch", 2, 1), ("y", "missing_in_target", 1, 0), ("z", "unexpected_in_target", 0, 1)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

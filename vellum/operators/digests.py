@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.operators.reconcile import reconcile_keys
-from vellum.sources.tables import materialized
+from vellum.sources.tables import dealt, materialized
 
 _SUMS = ["n_rows", "s1", "s2", "s3", "s4"]
 _LOW = (1 << 32) - 1
@@ -62,14 +62,16 @@ def table_sums(columns: list[str]) -> list[Column]:
 def digest(df: DataFrame, key: str, amount: str | None = None, tree: Tree = Tree()) -> DataFrame:
     """bucket, n_rows, s1…s4, repeats of a snapshot; empty buckets have no row.
 
-    Rows are added up per key first (map-side, so a key that holds a third of
-    the rows is one row per task), which tells exactly which buckets repeat a
-    key. NULL is a key like any other.
+    Keys hardly repeat, so rows are dealt by bucket as they are (a key and an
+    amount, not its hashes) and added up per key there, which tells exactly
+    which buckets repeat a key. NULL is a key like any other.
     """
-    parts = [h for x in _row_hashes([c for c in (key, amount) if c]) for h in (x.bitwiseAND(F.lit(_LOW)), F.shiftrightunsigned(x, 32))]
-    per_key = df.groupBy(F.col(key).alias("_key")).agg(
+    values = [c for c in (key, amount) if c]
+    parts = [h for x in _row_hashes(values) for h in (x.bitwiseAND(F.lit(_LOW)), F.shiftrightunsigned(x, 32))]
+    rows = dealt(df.select(*values, bucket_of(key, tree).alias("bucket")), "bucket")
+    per_key = rows.groupBy("bucket", F.col(key).alias("_key")).agg(
         F.count(F.lit(1)).alias("n_rows"), *[F.sum(h).alias(f"s{i}") for i, h in enumerate(parts, 1)])
-    return (per_key.groupBy(bucket_of("_key", tree).alias("bucket"))
+    return (per_key.groupBy("bucket")
             .agg(*[F.sum(c).alias(c) for c in _SUMS], (F.max("n_rows") > 1).alias("repeats")))
 
 

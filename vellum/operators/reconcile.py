@@ -30,7 +30,9 @@ def _per_key(df: DataFrame, key: str, amount: str | None, side: str) -> DataFram
     aggs = [F.count(F.lit(1)).alias(f"{side}_rows")]
     if amount:
         aggs += [F.min(amount).alias(f"{side}_min"), F.max(amount).alias(f"{side}_max")]
-    return df.groupBy(F.col(key).alias(f"{side}_key")).agg(*aggs)
+    # in a struct, a NULL key equals itself: the join then asks for the very
+    # partitions of the counts, where a NULL-safe one would shuffle them again
+    return df.groupBy(F.struct(F.col(key).alias("v")).alias(f"{side}_key")).agg(*aggs)
 
 
 def reconcile_keys(source: DataFrame, target: DataFrame, key: str,
@@ -40,7 +42,7 @@ def reconcile_keys(source: DataFrame, target: DataFrame, key: str,
     target_rows. NULL is a key like any other."""
     s = _per_key(source, key, amount, "s")
     t = _per_key(target, key, amount, "t")
-    j = s.join(t, s["s_key"].eqNullSafe(t["t_key"]), "full_outer")
+    j = s.join(t, s["s_key"] == t["t_key"], "full_outer")
     sr, tr = F.col("s_rows"), F.col("t_rows")
     conds: list[tuple[str, Column]] = [
         ("missing_in_target", sr.isNotNull() & tr.isNull()),
@@ -53,7 +55,7 @@ def reconcile_keys(source: DataFrame, target: DataFrame, key: str,
         widest = F.greatest(F.abs(F.col("s_max") - F.col("t_min")), F.abs(F.col("t_max") - F.col("s_min")))
         conds.append(("amount_mismatch", sr.isNotNull() & tr.isNotNull() & (widest >= tol)))
     issues = F.filter(F.array(*[F.when(c, F.lit(name)) for name, c in conds]), lambda x: x.isNotNull())
-    out = j.select(F.coalesce("s_key", "t_key").cast("string").alias("record_key"),
+    out = j.select(F.coalesce("s_key", "t_key")["v"].cast("string").alias("record_key"),
                    F.coalesce(sr, F.lit(0)).alias("source_rows"),
                    F.coalesce(tr, F.lit(0)).alias("target_rows"),
                    F.explode(issues).alias("issue_type"))

@@ -294,12 +294,13 @@ def _m_invoices(t: Tables) -> DataFrame:
 def _m_transactions(t: Tables) -> DataFrame:
     """One transaction per order line key, summed so the key is unique. Lines
     are dealt by their order once, for the sums and for the join."""
-    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate", "l_returnflag")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", _dec("l_extendedprice").alias("price"), "l_shipdate",
+                              F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("returned"))
     li = (dealt(lines, "l_orderkey")
           .groupBy("l_orderkey", "l_linenumber")
-          .agg(F.sum(_dec("l_extendedprice")).alias("amount"),
+          .agg(F.sum("price").alias("amount"),
                F.max("l_shipdate").alias("transaction_date"),
-               F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("returned")))
+               F.max("returned").alias("returned")))
     o = t.orders.select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     return j.select(
