@@ -65,8 +65,8 @@ def materialized(df: DataFrame, enabled: bool = True, name: str = "layer") -> Da
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as parquet at ``path`` and return the written table."""
-    df.write.mode("overwrite").parquet(path)
+    """Write ``df`` as parquet (zstd) at ``path`` and return the written table."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
