@@ -140,7 +140,7 @@ class KeyedTable:
         key = F.col(f"`{self.key}`")
         spread = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
         (rows.repartitionByRange(key, spread).sortWithinPartitions(key)
-         .write.parquet(f"{self.base}/data/{name}"))
+         .write.option("compression", "zstd").parquet(f"{self.base}/data/{name}"))
         return (self.spark.read.schema(rows.schema).parquet(f"{self.base}/data/{name}")
                 .select(key.alias("k"), self._file().alias("file"), F.col("_metadata.file_size").alias("bytes"))
                 .groupBy("file").agg(F.lit(load).cast("long").alias("load"), F.lit(kind).alias("kind"), F.min("k").alias("low"),

@@ -69,8 +69,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def append_parquet(df: DataFrame, path: str) -> None:
-    """One more arrival in a landing folder."""
-    df.write.mode("append").parquet(path)
+    """One more arrival in a landing folder (zstd)."""
+    df.write.mode("append").option("compression", "zstd").parquet(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
