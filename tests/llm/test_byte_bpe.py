@@ -6,7 +6,7 @@ import pytest
 import tiktoken
 
 from vellum.llm import queries
-from vellum.llm.byte_bpe import ByteBpe, coder, encode_decode, load_ranks
+from vellum.llm.byte_bpe import ByteBpe, Kept, coder, compiled_pattern, encode_decode, load_ranks
 
 from .conftest import SF
 
@@ -71,3 +71,36 @@ def test_time_is_linear_in_a_piece(library):
         assert bpe.decode(list(ids)) == letters[:n].encode()
     assert took[400_000] <= 2.5 * took[200_000]
     assert bpe.encode(letters[:50_000]) == library.encode_ordinary(letters[:50_000])
+
+
+def test_a_new_word_costs_its_own_work_only(monkeypatch):
+    """The known words around it are looked up as in a text without it."""
+    bpe, slow = ByteBpe(load_ranks(PATH), P.PATTERN), []
+    part = ByteBpe._part
+    monkeypatch.setattr(ByteBpe, "_part", lambda self, *a: slow.append(a) or part(self, *a))
+    known = "the quick, brown fox é 3.5 don't " * 50 + "end"
+    bpe.spans(known), bpe.encode(known)
+    text = known.replace("end", "qzorblatt, of\nthe end")
+    assert bpe.spans(text) == [(m.end() - m.start(), bpe.count(m.group())) for m in bpe.pattern.finditer(text)]
+    assert bpe.decode(bpe.encode(text)) == text.encode() and not slow
+    assert bpe.spans("a  b " + text)[-1] == (4, 1) and slow  # two spaces: part by part
+
+
+def test_a_full_table_keeps_what_is_asked_for():
+    made = []
+    table = Kept(lambda key: made.append(key) or key.upper(), 20)
+    for i in range(500):
+        assert table["often"] == "OFTEN" and table[f"once {i}"] == f"ONCE {i}" and len(table) + len(table.aside) <= 20
+    assert made.count("often") == 1 and table["x" * 65] == "X" * 65 and "x" * 65 not in table
+
+
+@pytest.mark.parametrize("pattern", [P.PATTERN, r"""\p{M}+|[\p{Mn}]|\p{L}+|[^\s\p{Lo}\p{M}]+|\s+"""])
+def test_smaller_classes_cut_alike(pattern):
+    """Characters in, over and at the ends of ASCII and the BMP."""
+    rng, bpe = random.Random(2), ByteBpe(load_ranks(PATH), pattern)
+    for last, alphabet in ((0x7F, "ab1 \n'sZ_,~\x7f\x1c"), (0xFFFF, "ab1 \n'é\u0301\u2028漢٣\uffff\ufb00!"),
+                           (0x10FFFF, "ab1 \n'é漢𝟙𐐀🙂\U00010000\U0010ffff!")):
+        for _ in range(300):
+            text = "".join(rng.choices(alphabet, k=rng.randint(0, 40))) + alphabet[-2]
+            assert bpe.pattern_for(text) is compiled_pattern(pattern, last) or last > 0x7F
+            assert bpe.pattern_for(text).findall(text) == bpe.pattern.findall(text)

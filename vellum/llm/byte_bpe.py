@@ -12,7 +12,8 @@ the one that merging pairs by rank would give.
 
 Texts are cut into pieces by the tokenizer's pattern first; the ids of pieces
 and of space-separated parts are kept in bounded tables per Python worker,
-since they repeat.
+since they repeat. A table makes what it lacks (``__missing__``), so a text
+of known and new parts is looked up in one pass.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import functools
 import hashlib
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pandas as pd
@@ -31,12 +32,38 @@ from pyspark.sql import functions as F
 
 from vellum.llm.text import python_workers_import, row_struct
 
-#: entries of each table that a worker keeps (a full table starts anew), and
-#: code points of the longest string kept
+#: entries of each table that a worker keeps, and code points of the longest
+#: string kept
 MAX_KEPT = 400_000
+MAX_SPANS_KEPT = 800_000  # small entries: equal spans are one object
 MAX_LENGTH = 64
 
 
+class NotAlone(Exception):
+    """The word doesn't stand for a part of its own, or is too long to be kept."""
+
+
+class Kept(dict):
+    """A bounded table of what ``make`` gives for a key. Half of the entries
+    are set aside when the other half is full, and those that are asked for
+    again come back; the rest go at the next time."""
+
+    def __init__(self, make: Callable, most: int = MAX_KEPT):
+        self.make, self.half, self.aside = make, most // 2, {}
+
+    def __missing__(self, key):
+        made = self.aside.get(key)
+        if made is None:
+            made = self.make(key)
+            if len(key) > MAX_LENGTH:
+                return made
+        if len(self) >= self.half:
+            self.aside = dict(self)
+            self.clear()
+        self[key] = made
+        return made
+
+
 def load_ranks(path: str) -> dict[bytes, int]:
     """token bytes → rank, from a file of ``base64 rank`` lines."""
     with open(path, "rb") as lines:
@@ -50,16 +77,19 @@ class ByteBpe:
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.pattern = compiled_pattern(pattern)
+        self.ascii_pattern, self.bmp_pattern = compiled_pattern(pattern, 0x7F), compiled_pattern(pattern, 0xFFFF)
         self.trie = ahocorasick.Automaton()
         for token, i in ranks.items():
-            self.trie.add_word(token.decode("latin-1"), (len(token), i))
+            self.trie.add_word(token.decode("latin-1"), i)
         self.trie.make_automaton()
         self.longest = max(map(len, ranks))
+        self.length_of = {i: len(b) for b, i in ranks.items()}
         # bounded tables of this worker
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.parts_kept: dict[str, tuple[int, ...]] = {}
-        self.spans_kept: dict[str, tuple[tuple[int, int], ...]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pieces = Kept(self._encode)
+        self.parts_kept = Kept(functools.partial(self._of_word, self._ids))
+        self.spans_kept = Kept(functools.partial(self._of_word, self._word_spans), MAX_SPANS_KEPT)
+        self.pairs = Kept(lambda pair: self._stands(*pair, 1 << 62))
+        self.shared_spans: dict[tuple[int, int], tuple[int, int]] = {}  # one object for all equal spans of kept words
         # one entry per token at most
         self.parts = functools.lru_cache(None)(self._parts)
         self.shorter = functools.lru_cache(None)(self._shorter)
@@ -108,15 +138,6 @@ class ByteBpe:
             else:
                 limit, right = min(limit, right + 1), parts_r[0]
 
-    def may_follow(self, left: int, right: int) -> bool:
-        """Whether ``right`` may stand after ``left`` (memoised)."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= MAX_KEPT:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self._stands(left, right, 1 << 62)
-        return known
-
     # -- encoding -----------------------------------------------------------
     def encode_piece(self, raw: bytes) -> tuple[int, ...]:
         """The ids of one piece of text."""
@@ -125,26 +146,29 @@ class ByteBpe:
             return (whole,)
         piece = raw.decode("latin-1")
         # every byte is a token, so the longest matches tile the piece
-        out = [token for _, (_, token) in self.trie.iter_long(piece)]
-        if all(map(self.may_follow, out, out[1:])):
+        out = [token for _, token in self.trie.iter_long(piece)]
+        stand = list(map(self.pairs.__getitem__, itertools.pairwise(out)))  # whether each may follow the one before
+        if all(stand):
             return tuple(out)
-        return self._step_back(piece)
+        # up to the first that may not, they are what stepping back comes to as well
+        first = stand.index(False) + 1
+        return self._step_back(piece, out[:first], out[first])
 
     def _longest(self, piece: str, at: int) -> int:
         """The longest token that starts at byte ``at``."""
-        if at == len(piece):
-            return -1
-        return next(self.trie.iter_long(piece[at:at + self.longest]))[1][1]  # no token is longer than the look-ahead
-
-    def _step_back(self, piece: str) -> tuple[int, ...]:
-        out: list[int] = []
-        is_open = bytearray(b"\x01") * (len(piece) + 1)  # 0: no encoding goes on from here
-        at, token = 0, self._longest(piece, 0)
+        return next(self.trie.iter_long(piece[at:at + self.longest]))[1]  # no token is longer than the look-ahead
+
+    def _step_back(self, piece: str, out: list[int], token: int) -> tuple[int, ...]:
+        """The ids of a piece that begins with ``out``, all longest matches
+        that may stand, where ``token`` is the longest match behind them."""
+        length_of, pairs, longest = self.length_of, self.pairs, self._longest
+        closed: set[int] = set()  # no encoding goes on from these places
+        at = sum(map(length_of.__getitem__, out))
         while at < len(piece):
-            end = at + len(self.bytes_of[token])
-            if is_open[end] and (not out or self.may_follow(out[-1], token)):
+            end = at + length_of[token]
+            if end not in closed and (not out or pairs[out[-1], token]):
                 out.append(token)
-                at, token = end, self._longest(piece, end)
+                at, token = end, longest(piece, end) if end < len(piece) else -1
                 continue
             less = self.shorter(token)
             if less is not None:
@@ -152,31 +176,36 @@ class ByteBpe:
                 continue
             if not out:
                 raise ValueError("the vocabulary lacks single bytes")
-            is_open[at] = 0
+            closed.add(at)
             token = out.pop()
-            at -= len(self.bytes_of[token])
+            at -= length_of[token]
         return tuple(out)
 
-    def ids_of(self, piece: str) -> tuple[int, ...]:
-        """The ids of one piece, from the table of pieces if it is there."""
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = self.encode_piece(piece.encode("utf-8", "surrogatepass"))
-            if len(piece) <= MAX_LENGTH:
-                if len(self.pieces) >= MAX_KEPT:
-                    self.pieces.clear()
-                self.pieces[piece] = ids
-        return ids
+    def _encode(self, piece: str) -> tuple[int, ...]:
+        return self.encode_piece(piece.encode("utf-8", "surrogatepass"))
 
     def count(self, piece: str) -> int:
         """The number of tokens of one piece."""
-        return len(self.ids_of(piece))
+        return len(self.pieces[piece])
+
+    def pattern_for(self, text: str) -> re.Pattern:
+        """The pattern with classes no larger than the text's characters need:
+        a class ends in a list of its ranges over U+FFFF, which every
+        character that is not in it would be compared with."""
+        if text.isascii():
+            return self.ascii_pattern
+        return self.pattern if OVER_BMP.search(text) else self.bmp_pattern
 
     def _ids(self, text: str) -> tuple[int, ...]:
-        return tuple(itertools.chain.from_iterable(map(self.ids_of, self.pattern.findall(text))))
+        return tuple(itertools.chain.from_iterable(map(self.pieces.__getitem__, self.pattern_for(text).findall(text))))
 
     def _spans(self, text: str) -> tuple[tuple[int, int], ...]:
-        return tuple([(len(p), self.count(p)) for p in self.pattern.findall(text)])
+        pieces = self.pieces
+        return tuple([(len(p), len(pieces[p])) for p in self.pattern_for(text).findall(text)])
+
+    def _word_spans(self, part: str) -> tuple[tuple[int, int], ...]:
+        spans = self._spans(part)
+        return tuple(map(self.shared_spans.setdefault, spans, spans))
 
     def encode(self, text: str) -> list[int]:
         """The ids of a whole text."""
@@ -186,7 +215,7 @@ class ByteBpe:
         """(code points, tokens) of each piece of a whole text."""
         return self._by_parts(text, self.spans_kept, self._spans)
 
-    def _by_parts(self, text: str, kept: dict, make) -> list:
+    def _by_parts(self, text: str, kept: Kept, make) -> list:
         """What ``make`` gives for the pieces of a text, part by part.
 
         A single space between two characters that aren't white space always
@@ -198,7 +227,7 @@ class ByteBpe:
         try:
             if rest and first and not first[-1].isspace():
                 return [*make(first), *itertools.chain.from_iterable(map(kept.__getitem__, rest))]
-        except KeyError:
+        except NotAlone:
             pass
         out: list = []
         part = first
@@ -211,17 +240,17 @@ class ByteBpe:
         out += self._part(part, kept, make)
         return out
 
-    def _part(self, part: str, kept: dict, make) -> tuple:
-        word = part[1:]
-        if part[:1] != " " or not word or len(part) > MAX_LENGTH or word[0].isspace() or word[-1].isspace() or " " in word:
+    def _part(self, part: str, kept: Kept, make) -> tuple:
+        try:
+            return kept[part[1:]] if part[:1] == " " else make(part)
+        except NotAlone:
             return make(part)
-        made = kept.get(word)
-        if made is None:
-            made = make(part)
-            if len(kept) >= MAX_KEPT:
-                kept.clear()
-            kept[word] = made
-        return made
+
+    def _of_word(self, make, word: str) -> tuple:
+        """What ``make`` gives for a space and a word, if the word can be kept."""
+        if not word or len(word) >= MAX_LENGTH or word[0].isspace() or word[-1].isspace() or " " in word:
+            raise NotAlone(word)
+        return make(" " + word)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -231,9 +260,13 @@ class ByteBpe:
 UNICODE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+#: a character outside the basic multilingual plane
+OVER_BMP = re.compile("[\U00010000-\U0010ffff]")
+
+
 @functools.lru_cache(None)
-def category_class(category: str) -> str:
-    """A Unicode category as the inside of a character class of ``re``."""
+def category_runs(category: str) -> list[tuple[int, int]]:
+    """The runs of code points of a Unicode category."""
     import sys
 
     import regex
@@ -243,13 +276,22 @@ def category_class(category: str) -> str:
         # a run of the string may jump the surrogates: cut it there
         first, last = ord(m.group()[0]), ord(m.group()[-1])
         runs += [(first, last)] if not (first < 0xD800 <= last) else [(first, 0xD7FF), (0xE000, last)]
+    return runs
+
+
+def category_class(category: str, last: int = 0x10FFFF) -> str:
+    """A Unicode category up to the code point ``last``, as the inside of a
+    character class of ``re`` (its first run if none begins by then: a class
+    can't be empty)."""
+    runs = [(a, min(b, last)) for a, b in category_runs(category) if a <= last] or category_runs(category)[:1]
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs)
 
 
 @functools.lru_cache(None)
-def compiled_pattern(pattern: str) -> re.Pattern:
+def compiled_pattern(pattern: str, last: int = 0x10FFFF) -> re.Pattern:
     r"""A tokenizer's pattern for the ``re`` module, which scans a few times
-    faster than ``regex``: \\p{..} and \\s become explicit classes."""
+    faster than ``regex``: \\p{..} and \\s become explicit classes. It holds
+    for texts without characters over ``last``."""
     inside = False
     out = []
     for part in re.findall(r"\\p\{\w+\}|\\.|\[\^?|\]|.", pattern):
@@ -259,7 +301,7 @@ def compiled_pattern(pattern: str) -> re.Pattern:
             inside = False
         known = {r"\s": UNICODE_SPACE, r"\S": None}
         if part.startswith(r"\p"):
-            body = category_class(part[3:-1])
+            body = category_class(part[3:-1], last)
             part = body if inside else f"[{body}]"
         elif part == r"\s":
             part = known[part] if inside else f"[{UNICODE_SPACE}]"

@@ -51,7 +51,11 @@ class SegmentTree:
             self.nodes[i] = self._under(i)
 
     def _sum(self, leaf: int) -> Span:
-        return sum(x for x, _ in self.leaves[leaf]), sum(t for _, t in self.leaves[leaf])
+        length = tokens = 0
+        for x, t in self.leaves[leaf]:
+            length += x
+            tokens += t
+        return length, tokens
 
     def _under(self, i: int) -> Span:
         (a, s), (b, t) = self.nodes[2 * i], self.nodes[2 * i + 1]
@@ -167,8 +171,8 @@ class EditedText:
         leaf, k, start = place
         old_leaf, old_k, old_end = leaf, k, start  # old pre-tokens before this place are replaced
         spans: list[Span] = []
-        here = start
-        for m in self.bpe.pattern.finditer(self.text, start):
+        here, pieces = start, self.bpe.pieces
+        for m in self.bpe.pattern_for(self.text).finditer(self.text, start):
             if here >= at + len(inserted):
                 # move on to the old cut at or behind this one
                 while old_end + shift < here and (old_leaf, old_k) != (len(tree.leaves), 0):
@@ -181,13 +185,14 @@ class EditedText:
                     old_k += 1
                 if old_end + shift == here and old_end >= at + n_deleted:
                     break
-            spans.append((m.end() - m.start(), self.bpe.count(m.group())))
-            self.encoded += 1
-            here = m.end()
+            piece = m.group()
+            spans.append((len(piece), len(pieces[piece])))
+            here += len(piece)
         else:
             old_leaf, old_k = len(tree.leaves) - 1, len(tree.leaves[-1])
         if old_leaf == len(tree.leaves):
             old_leaf, old_k = old_leaf - 1, len(tree.leaves[-1])
+        self.encoded += len(spans)
         tree.replace((leaf, k), (old_leaf, old_k), spans)
 
 
