@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.sources.tables import dealt
+from vellum.sources.tables import dealt, keyed_join
 
 REPORT_SCHEMA = "check_name string, entity string, rule string, incidents long"
 
@@ -100,7 +100,7 @@ def missing_parents(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Da
     """_k, _n: the values of ``fk`` without a parent row (NULL too, as NOT
     EXISTS) and their child rows."""
     per_key = child.groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.join(dealt(parent.select(F.col(pk).alias("_k")), "_k"), "_k", "left_anti")
+    return keyed_join(per_key, dealt(parent.select(F.col(pk).alias("_k")), "_k"), "_k", "left_anti")
 
 
 def duplicate_key_count(df: DataFrame, key: str) -> DataFrame:

@@ -15,7 +15,7 @@ from vellum.functions import (RATE, days_between, money, money_total, norm_lower
                               ratio_pct)
 from vellum.operators import quality as Q
 from vellum.sources import adapters
-from vellum.sources.tables import Tables, materialize_all, materialized
+from vellum.sources.tables import Tables, keyed_join, materialize_all, materialized
 
 KEY = "long"
 
@@ -197,7 +197,7 @@ def account_health(s: Silver) -> DataFrame:
                 F.count_if(F.col("ticket_status") == "open").alias("t_open"),
                 ratio_pct(F.count_if(F.coalesce(_resolved_within_sla(), F.lit(False))),
                           F.count_if(F.col("ticket_status") == "resolved")).alias("t_sla")))
-    j = s.accounts.join(inv, "account_id", "left").join(tck, "account_id", "left")
+    j = keyed_join(keyed_join(s.accounts, inv, "account_id", "left"), tck, "account_id", "left")
     overdue = F.coalesce(F.col("i_overdue"), F.lit(0))
     open_t = F.coalesce(F.col("t_open"), F.lit(0))
     segment = (F.when(F.col("account_status") == "churned", "churned")

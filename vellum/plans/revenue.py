@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from vellum.functions import (MONEY, MONEY_TOTAL, RATE, avg_money, days_between, money, money_total, norm_lower,
                               norm_upper, ratio_pct)
 from vellum.sources import adapters
-from vellum.sources.tables import Tables, materialize_all, materialized
+from vellum.sources.tables import Tables, keyed_join, materialize_all, materialized
 
 # Accepted order statuses
 ORDER_STATUSES = ("delivered", "shipped", "cancelled")
@@ -171,10 +171,9 @@ def fact_order(s: Silver, orders: DataFrame | None = None) -> DataFrame:
         "promised_delivery_date", "actual_delivery_date",
         F.col("shipping_cost").alias("sd_cost"))
 
-    j = (o.join(order_totals, "order_id", "left")
-         .join(payment_totals, "order_id", "left")
-         .join(refund_totals, "order_id", "left")
-         .join(shipment, "order_id", "left"))
+    j = o
+    for child in (order_totals, payment_totals, refund_totals, shipment):
+        j = keyed_join(j, child, "order_id", "left")
 
     # per-order sums keep the width of a total: one very large order must not
     # overflow row money
@@ -218,7 +217,7 @@ def _active_item_totals(s: Silver) -> DataFrame:
     collapsed to one row per product before any dimension join.
     """
     active = s.orders.where(F.col("order_status") != "cancelled").select("order_id")
-    lines = s.order_items.join(active, "order_id", "left_semi")
+    lines = keyed_join(s.order_items, active, "order_id", "left_semi")
     return (lines.groupBy("product_id")
             .agg(F.sum("quantity").alias("units_sold"),
                  F.sum(_line_amount()).alias("line_revenue")))
@@ -226,7 +225,7 @@ def _active_item_totals(s: Silver) -> DataFrame:
 
 def category_sales(s: Silver) -> DataFrame:
     """D-E11: units and revenue per category of non-cancelled orders."""
-    per_product = _active_item_totals(s).join(dim_product(s).select("product_id", "category"), "product_id")
+    per_product = keyed_join(_active_item_totals(s), dim_product(s).select("product_id", "category"), "product_id")
     return (per_product.groupBy("category")
             .agg(F.sum("units_sold").cast("long").alias("units_sold"),
                  money_total(F.sum("line_revenue")).alias("revenue")))
@@ -235,7 +234,7 @@ def category_sales(s: Silver) -> DataFrame:
 def product_sales(s: Silver) -> DataFrame:
     """D-E12: the same per product."""
     dim = dim_product(s).select("product_id", "product_name", "category")
-    per_product = _active_item_totals(s).join(dim, "product_id")
+    per_product = keyed_join(_active_item_totals(s), dim, "product_id")
     # a product id may repeat in the dimension (the gate's duplicate check);
     # grouping keeps the reference's GROUP BY result either way
     return (per_product.groupBy("product_id", "product_name", "category")
@@ -249,7 +248,7 @@ def customer_sales(s: Silver, fact: DataFrame) -> DataFrame:
                     .agg(F.count("order_id").alias("order_count"),
                          F.sum("net_revenue").alias("ltv")))
     dim = dim_customer(s).select("customer_id", "full_name")
-    return (per_customer.join(dim, "customer_id")
+    return (keyed_join(per_customer, dim, "customer_id")
             .groupBy("customer_id", "full_name")
             .agg(F.sum("order_count").cast("long").alias("order_count"),
                  money_total(F.sum("ltv")).alias("lifetime_value")))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.sources.tables import Tables, dealt
+from vellum.sources.tables import Tables, dealt, keyed_join
 
 # --------------------------------------------------------------------------
 # fixed values of the adapters (domain spellings as they arrive in bronze)
@@ -168,7 +168,7 @@ def shipments(t: Tables) -> DataFrame:
     lines = (t.lineitem.groupBy("l_orderkey")
              .agg(F.count(F.lit(1)).alias("n_lines"), F.max("l_shipdate").alias("last_ship")))
     o = dealt(t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus"), "o_orderkey")
-    j = o.join(lines, o.o_orderkey == lines.l_orderkey, "inner")
+    j = keyed_join(o, lines, o.o_orderkey == lines.l_orderkey)
     delivered = F.col("o_orderstatus") == "F"
     return j.select(
         F.concat(F.lit("SHP-"), F.col("o_orderkey").cast("string")).alias("shipment_id"),
@@ -302,7 +302,7 @@ def _m_transactions(t: Tables) -> DataFrame:
                F.max("l_shipdate").alias("transaction_date"),
                F.max("returned").alias("returned")))
     o = t.orders.select("o_orderkey", "o_custkey")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    j = keyed_join(li, o, li.l_orderkey == o.o_orderkey)
     return j.select(
         F.col("l_orderkey").alias("_n"),
         F.concat(F.lit("TRX-"), F.col("l_orderkey").cast("string"), F.lit("-"),

@@ -45,6 +45,14 @@ def dealt(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
+def keyed_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join of two sides that both grow with the input: sorted and merged,
+    never broadcast. The planner takes a side's size from its packed files, and
+    10 MB of packed keys are millions of rows, which a broadcast would unpack on
+    the driver and keep there, several at a time when a layer is written."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def materialized(df: DataFrame, enabled: bool = True, name: str = "layer") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
